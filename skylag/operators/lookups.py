@@ -83,7 +83,7 @@ def airline_page(airlines: DataFrame, fleets: DataFrame, carrier: str | None = N
 
 def list_carriers(fleets: DataFrame) -> DataFrame:
     """All carriers that have airplanes, each once with the size of its fleet."""
-    return fleets.where(F.col("Part") == 0).select("Carrier", "FleetCount")
+    return fleets.groupBy("Carrier").agg(F.max("FleetCount").alias("FleetCount"))
 
 
 def day_range(column: str, day: str) -> Column:

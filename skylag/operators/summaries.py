@@ -46,27 +46,24 @@ def entries_in_parts(
     ``Entries`` (distinct) and ``Total`` (rows).
     """
     folded = df.groupBy(key, *entry).agg(F.count(F.lit(1)).alias("_n"))
-    totals = folded.groupBy(key).agg(
-        F.count(F.lit(1)).alias("Entries"), F.sum("_n").alias("Total")
+    totals = folded.groupBy(F.col(key).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_entries"), F.sum("_n").alias("_total")
     )
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entry]))
     spread = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    parts = F.ceil(F.col("Entries") / part_rows).cast("bigint")
+    parts = F.ceil(F.col("_entries") / part_rows).cast("bigint")
     # Null-safe: entries without a key stay together under the NULL key.
-    placed = (
-        folded.join(totals.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")))
-        .withColumn("Part", spread % parts)
-        .select(key, "Part", "Entries", "Total", *entry, "_n")
+    placed = folded.join(totals, F.col(key).eqNullSafe(F.col("_key"))).select(
+        key, (spread % parts).alias("Part"), "_entries", "_total", *entry, "_n"
     )
     fields: list[str | Column] = list(entry)
     if copies:
         fields.append(F.col("_n").alias(copies))
     # Shuffled by part as well: the join above only placed rows by key.
-    spreaded = placed.repartition(key, "Part")
-    return spreaded.groupBy(key, "Part").agg(
+    return placed.repartition(key, "Part").groupBy(key, "Part").agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(array),
-        F.first("Entries").alias("Entries"),
-        F.first("Total").alias("Total"),
+        F.first("_entries").alias("Entries"),
+        F.first("_total").alias("Total"),
     )
 
 

@@ -58,6 +58,10 @@ def shuffle_partitions_for(
     return max(cores, math.ceil(wanted / cores) * cores)
 
 
+# Fallback folders of local sessions, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
@@ -68,9 +72,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="skylag-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="skylag-")
+    return _LOCAL_ROOTS[app]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
