@@ -11,7 +11,8 @@ from skylag.operators import distances as dist
 from skylag.operators import features as feat
 from skylag.operators import model
 from skylag.session import materialise, tune, work_path
-from skylag.sources import testbed
+from skylag.sinks import files
+from skylag.sources import tables, testbed
 
 # Models trained in this process, by application and input.
 _MODELS: dict[tuple[str, str], object] = {}
@@ -29,6 +30,14 @@ def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dist.route_distances(flights(spark, sf_dir))
 
 
+def stored_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distance table written and read back, as scoring jobs find it: its size
+    is known, so requests are not shuffled to meet a small table."""
+    path = work_path(spark, "distances")
+    files.write_clustered(distances(spark, sf_dir), path, dist.ROUTE)
+    return tables.read_distances(spark, path)
+
+
 def full_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests with date parts, as messages carry them."""
     rows = testbed.requests(tune(spark), sf_dir)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skylag.checks import sql
 from skylag.checks.common import (
-    features, flights, full_requests, stored_features, times_as_text, trained,
+    features, flights, full_requests, stored_distances, stored_features, times_as_text, trained,
 )
 from skylag.operators import distances as dist
 from skylag.operators import features as feat
@@ -201,7 +201,7 @@ def batch_score(spark, sf_dir):
     """Requests with their distances, scored in one pass."""
     asked = dist.with_distance(
         full_requests(spark, sf_dir).drop("ts"),
-        dist.route_distances(flights(spark, sf_dir)),
+        stored_distances(spark, sf_dir),
     )
     return model.score(asked, trained(spark, sf_dir), keep_route=True)
 
@@ -213,7 +213,7 @@ def minutes_score(spark, sf_dir):
     fitted = model.train_regressor(stored_features(spark, sf_dir))
     asked = dist.with_distance(
         full_requests(spark, sf_dir).drop("ts"),
-        dist.route_distances(flights(spark, sf_dir)),
+        stored_distances(spark, sf_dir),
     )
     scored = model.score_minutes(asked, fitted)
     return scored.select("UUID", "Origin", "Dest", "FlightNum", "Distance", "Delay")

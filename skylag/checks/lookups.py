@@ -231,18 +231,16 @@ _PART_ROWS = 100
 _ENTRY = "concat_ws('|', \"FlightDate\", \"FlightNum\", \"Carrier\", \"Origin\", \"Dest\")"
 
 
-def _parts_sql(key, digest, part_rows):
+def _parts_sql(source, key, entry, part_rows):
     """Folded entries with the part each belongs to."""
     return f"""folded AS (
-  SELECT {key} AS k, {digest} AS entry, count(*) AS n FROM flights GROUP BY 1, 2
-),
-totals AS (
-  SELECT k, count(*) AS entries, CAST(sum(n) AS BIGINT) AS total FROM folded GROUP BY 1
+  SELECT {key} AS k, {entry} AS entry, count(*) AS n FROM {source} GROUP BY 1, 2
 ),
+totals AS (SELECT {key} AS k, count(*) AS total FROM {source} GROUP BY 1),
 placed AS (
-  SELECT folded.*, entries, total,
+  SELECT folded.*, total,
     CAST(concat('0x', substr(md5(entry), 1, 8)) AS BIGINT)
-      % CAST(ceil(entries / {part_rows}.0) AS BIGINT) AS part
+      % CAST(ceil(total / {part_rows}.0) AS BIGINT) AS part
   FROM folded JOIN totals ON folded.k = totals.k
 )"""
 
@@ -263,14 +261,14 @@ def _flat(fleet):
         ),
     )
     return fleet.select(
-        "TailNum", "Part", F.array_join(line, ";").alias("Flights"), "Entries", "Total"
+        "TailNum", "Part", F.array_join(line, ";").alias("Flights"), "Total"
     )
 
 
-_PARTED = _parts_sql('"TailNum"', _ENTRY, _PART_ROWS)
+_PARTED = _parts_sql("flights", '"TailNum"', _ENTRY, _PART_ROWS)
 _DOCUMENT = """SELECT k AS "TailNum", part AS "Part",
   string_agg(concat(entry, 'x', n), ';' ORDER BY string_split(entry, '|')) AS "Flights",
-  max(entries) AS "Entries", max(total) AS "Total"
+  max(total) AS "Total"
 FROM placed {where} GROUP BY 1, 2"""
 
 QUERIES["flights_per_airplane"] = flights_per_airplane
@@ -299,9 +297,11 @@ def airplanes_per_carrier(spark, sf_dir):
 
 
 QUERIES["airplanes_per_carrier"] = airplanes_per_carrier
-ORACLE["airplanes_per_carrier"] = f"""WITH {sql.FLIGHTS}, {_parts_sql('"Carrier"', '"TailNum"', 40)}
+ORACLE["airplanes_per_carrier"] = f"""WITH {sql.FLIGHTS},
+fleet AS (SELECT DISTINCT "Carrier", "TailNum" FROM flights),
+{_parts_sql("fleet", '"Carrier"', '"TailNum"', 40)}
 SELECT k AS "Carrier", part AS "Part", string_agg(entry, ',' ORDER BY entry) AS "TailNumbers",
-  max(entries) AS "FleetCount"
+  max(total) AS "FleetCount"
 FROM placed GROUP BY 1, 2"""
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skylag import schemas
 from skylag.checks import sql
-from skylag.checks.common import distances, full_requests, times_as_text
+from skylag.checks.common import full_requests, stored_distances, times_as_text
 from skylag.functions import messages as msg
 from skylag.functions.labels import delay_label
 from skylag.operators import distances as dist
@@ -90,7 +90,7 @@ SELECT '{READY}' AS value, count(*) AS n FROM requests WHERE NOT ({WELL_FORMED})
 
 def enrich_requests(spark, sf_dir):
     return times_as_text(
-        scoring.enrich_requests(request_messages(spark, sf_dir), distances(spark, sf_dir))
+        scoring.enrich_requests(request_messages(spark, sf_dir), stored_distances(spark, sf_dir))
     )
 
 
@@ -102,7 +102,7 @@ SELECT {_BASE}, "Distance", "Route" FROM enriched WHERE {WELL_FORMED}"""
 def enrich_requests_strict(spark, sf_dir):
     """Only routes with a distance."""
     asked = full_requests(spark, sf_dir).drop("ts")
-    return dist.with_distance(asked, distances(spark, sf_dir), "drop")
+    return dist.with_distance(asked, stored_distances(spark, sf_dir), "drop")
 
 
 QUERIES["enrich_requests_strict"] = enrich_requests_strict
@@ -111,7 +111,7 @@ SELECT {sql.cols(SENT)}, "Distance" FROM enriched WHERE found IS NOT NULL"""
 
 
 def routes_without_distance(spark, sf_dir):
-    return dist.routes_without_distance(full_requests(spark, sf_dir), distances(spark, sf_dir))
+    return dist.routes_without_distance(full_requests(spark, sf_dir), stored_distances(spark, sf_dir))
 
 
 QUERIES["routes_without_distance"] = routes_without_distance
@@ -141,7 +141,7 @@ def prepare_requests(spark, sf_dir):
     """Forms to complete requests, with the given ids and times."""
     forms = testbed.requests(tune(spark), sf_dir)
     made = requests.prepare_requests(
-        forms, distances(spark, sf_dir), "zero", F.col("UUID"), F.col("Timestamp")
+        forms, stored_distances(spark, sf_dir), "zero", F.col("UUID"), F.col("Timestamp")
     )
     return made.drop("ts")
 
@@ -213,7 +213,7 @@ ORACLE["match_responses"] = MATCH
 def _tasks(spark, sf_dir):
     """Requests with their distances, kept as a collection of tasks."""
     path = work_path(spark, "tasks")
-    made = dist.with_distance(full_requests(spark, sf_dir).drop("ts"), distances(spark, sf_dir))
+    made = dist.with_distance(full_requests(spark, sf_dir).drop("ts"), stored_distances(spark, sf_dir))
     files.append_collection(made, path)
     return path
 
@@ -254,7 +254,7 @@ WHERE "FlightDate" <> '{DAY}' OR "Carrier" = 'C1'"""
 
 def _results(spark, sf_dir):
     """Requests with given predictions."""
-    asked = dist.with_distance(full_requests(spark, sf_dir), distances(spark, sf_dir))
+    asked = dist.with_distance(full_requests(spark, sf_dir), stored_distances(spark, sf_dir))
     given = testbed.responses(spark, sf_dir).select("UUID", "Prediction")
     return asked.drop("ts").join(given, "UUID")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skylag.checks import sql
-from skylag.checks.common import distances, times_as_text, trained
+from skylag.checks.common import stored_distances, times_as_text, trained
 from skylag.checks.messages import MATCH, ORACLE as _BATCH_ORACLE
 from skylag.checks.messages import WELL_FORMED, request_messages
 from skylag.functions.messages import decode_text
@@ -31,16 +31,9 @@ def _topic(spark, rows=None, sf_dir=None):
     return path
 
 
-def _known_distances(spark, sf_dir):
-    """The distance table as a written table, as a stream should read it."""
-    path = work_path(spark, "distances")
-    files.write_clustered(distances(spark, sf_dir), path, ["Origin", "Dest"])
-    return tables.read_distances(spark, path)
-
-
 def _enriched_stream(spark, sf_dir, topic):
     stream = topics.stream_topic(spark, topic)
-    return scoring.enrich_requests(stream, _known_distances(spark, sf_dir)).select(*STORED)
+    return scoring.enrich_requests(stream, stored_distances(spark, sf_dir)).select(*STORED)
 
 
 def _run_to(spark, start, name):
@@ -54,7 +47,7 @@ def stream_score(spark, sf_dir):
     """The continuous job: topic to scored rows in files."""
     stream = topics.stream_topic(spark, _topic(spark, sf_dir=sf_dir))
     model = trained(tune(spark), sf_dir)
-    scored = scoring.score_stream(stream, _known_distances(spark, sf_dir), model)
+    scored = scoring.score_stream(stream, stored_distances(spark, sf_dir), model)
     out = _run_to(spark, lambda p, c: sinks.sink_parquet(scored, p, c, NOW), "scored")
     return spark.read.schema(SCORED).parquet(out)
 
@@ -189,7 +182,7 @@ ORACLE["stream_restart"] = ORACLE["stream_to_table"]
 def stream_foreach_batch(spark, sf_dir):
     """Scoring by micro-batch callback; the features beside each prediction."""
     stream = topics.stream_topic(spark, _topic(spark, sf_dir=sf_dir))
-    known = _known_distances(spark, sf_dir)
+    known = stored_distances(spark, sf_dir)
     out = work_path(spark, "responses")
     apply = scoring.score_batch(lambda: known, trained(tune(spark), sf_dir), out)
     sinks.drain(sinks.each_batch(stream, apply, work_path(spark, "batch-checkpoint"), NOW))

@@ -33,35 +33,37 @@ def keyed_messages(df: DataFrame, key: str = "UUID") -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), to_message().alias("value"))
 
 
-def _parsed(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    return messages.select(
-        F.col("value").cast("string").alias("value"),
-        from_message("value", schema).alias("flight"),
-    )
+def decode_messages(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """``value`` as text, with the fields of its document beside it.
 
-
-def is_readable(key: str = "UUID") -> Column:
-    """A message counts when it decodes and names its key."""
-    return F.coalesce(F.col(f"flight.{key}").isNotNull(), F.lit(False))
+    ``inline`` keeps the decoding in a step of its own. As a plain column it
+    would be copied into every filter on a decoded field and run once more there.
+    """
+    text = messages.select(F.col("value").cast("string").alias("value"))
+    return text.select("value", F.inline(F.array(from_message("value", schema))))
 
 
 def split_malformed(
     messages: DataFrame, schema: T.StructType = STREAM_REQUEST, key: str = "UUID"
 ) -> tuple[DataFrame, DataFrame]:
-    """(decoded messages as ``flight`` structs, raw text of all other messages)."""
-    parsed = _parsed(messages, schema)
-    good = parsed.where(is_readable(key)).select("flight")
-    bad = parsed.where(~is_readable(key)).select("value")
+    """(fields of readable messages, text of all others).
+
+    A message is readable when it decodes and names its key.
+    """
+    decoded = decode_messages(messages, schema)
+    good = decoded.where(F.col(key).isNotNull()).drop("value")
+    bad = decoded.where(F.col(key).isNull()).select("value")
     return good, bad
 
 
 def flatten_request(decoded: DataFrame) -> DataFrame:
     """The ten base columns of decoded requests. The request's own distance is
     left behind: the distance table has the last word."""
-    return decoded.select(*[F.col(f"flight.{name}") for name in REQUEST_COLUMNS])
+    return decoded.select(*REQUEST_COLUMNS)
 
 
 def parse_requests(messages: DataFrame) -> DataFrame:
     """Request messages to base columns, unreadable messages left out."""
-    good, _ = split_malformed(messages)
+    kept = T.StructType([STREAM_REQUEST[name] for name in REQUEST_COLUMNS])
+    good, _ = split_malformed(messages, kept)
     return flatten_request(good)

@@ -24,7 +24,7 @@ AIRPLANE_ORDER = ["Owner"]
 
 # A page that ends further down than this is not gathered as one top-n; its
 # place is found by counting first.
-TOP_ROWS = 10_000
+TOP_ROWS = 1_000
 
 
 def _check_fields(given: dict, allowed: Sequence[str]) -> dict:
@@ -140,7 +140,9 @@ def _skip_counted(
     For each key in turn: count rows by value within the values already fixed,
     find the value that row ``start`` has, keep that value and those after it.
     Only aggregated counts are ordered, and one row of them reaches the driver.
-    Keys are followed by the remaining columns until the rest is short.
+    Keys are followed by the remaining columns until the rest is short. If all
+    columns are used up, the page starts within a pile of equal rows, of which
+    as many are taken as the page still has.
     """
     fixed: list[Column] = []
     rest = [c for c in df.columns if c not in keys]
@@ -163,8 +165,10 @@ def _skip_counted(
             start -= before
         fixed.append(F.col(name).eqNullSafe(F.lit(value)))
         if start + size <= top_rows:
-            break
-    return kept, start
+            return kept, start
+    same = reduce(lambda a, b: a & b, fixed)
+    copies = df.where(same).limit(min(size, n - start))
+    return copies.unionByName(kept.where(~same)), 0
 
 
 def _before(name: str, value, falling: bool) -> Column:

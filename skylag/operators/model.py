@@ -81,7 +81,7 @@ def bins_for(labels: list[list[str]]) -> int:
 
 def train(
     features: DataFrame,
-    max_bins: int | None = None,
+    max_bins: int = 32,
     max_memory_mb: int = 1024,
     seed: int = 42,
     **forest: int,
@@ -89,7 +89,7 @@ def train(
     """Fit indexes, vector and forest. Pass features read from a written table:
     fitting reads them several times.
 
-    ``max_bins`` defaults to what the widest column needs; ``MAX_BINS`` is the
+    ``max_bins`` is raised to what the widest column needs; ``MAX_BINS`` is the
     value for the full flight data.
     """
     rows = training_rows(features)
@@ -98,7 +98,7 @@ def train(
         featuresCol=VECTOR,
         labelCol=LABEL,
         predictionCol="Prediction",
-        maxBins=max_bins or bins_for(indexes.labelsArray),
+        maxBins=max(max_bins, bins_for(indexes.labelsArray)),
         maxMemoryInMB=max_memory_mb,
         seed=seed,
         **forest,

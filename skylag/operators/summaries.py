@@ -11,10 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylag.session import materialise
+
 FLIGHT_ENTRY = ["FlightDate", "FlightNum", "Carrier", "Origin", "Dest"]
 
-# Entries in one part of a document. An airplane or carrier below this has
-# exactly one part, number 0.
+# Rows in one part of a document. An airplane or carrier with fewer has exactly
+# one part, number 0.
 PART_ROWS = 10_000
 
 
@@ -38,37 +40,40 @@ def entries_in_parts(
 ) -> DataFrame:
     """Sorted arrays of distinct entries for each key, in parts of bounded size.
 
-    Equal rows are folded into one entry before the shuffle; ``copies`` names a
-    field to hold how many there were. A key with more than ``part_rows``
-    entries gets several parts, entries going to parts by a hash of their
-    content, so neither a hot key nor a pile of copies meets in one task. Every
-    entry is in exactly one part. Each part also carries the key's totals:
-    ``Entries`` (distinct) and ``Total`` (rows).
+    A key with more than ``part_rows`` rows gets several parts; entries go to
+    parts by a hash of their content, and every entry is in exactly one. Equal
+    rows are folded into one entry before the shuffle, ``copies`` naming a field
+    that holds how many there were. So neither a hot key nor a pile of copies
+    meets in one task. ``Total`` is the number of rows of the key.
+
+    The totals need the key column only. They are counted first and written, so
+    that the planner knows their size: small ones are broadcast and the rows
+    shuffle twice, once folding and once collecting; large ones are joined by
+    sorting, where hot keys are split at run time.
     """
-    folded = df.groupBy(key, *entry).agg(F.count(F.lit(1)).alias("_n"))
-    totals = folded.groupBy(F.col(key).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_entries"), F.sum("_n").alias("_total")
+    totals = materialise(
+        df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_total")), "totals"
     )
-    digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entry]))
-    spread = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    parts = F.ceil(F.col("_entries") / part_rows).cast("bigint")
+    folded = df.groupBy(key, *entry).agg(F.count(F.lit(1)).alias("_n"))
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entry])
+    spread = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    parts = F.ceil(F.col("_total") / part_rows).cast("bigint")
     # Null-safe: entries without a key stay together under the NULL key.
     placed = folded.join(totals, F.col(key).eqNullSafe(F.col("_key"))).select(
-        key, (spread % parts).alias("Part"), "_entries", "_total", *entry, "_n"
+        key, (spread % parts).alias("Part"), "_total", *entry, "_n"
     )
     fields: list[str | Column] = list(entry)
     if copies:
         fields.append(F.col("_n").alias(copies))
-    # Shuffled by part as well: the join above only placed rows by key.
+    # By part as well: a join on the key alone leaves all its parts together.
     return placed.repartition(key, "Part").groupBy(key, "Part").agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(array),
-        F.first("_entries").alias("Entries"),
         F.first("_total").alias("Total"),
     )
 
 
 def flights_per_airplane(flights: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """The flights of each tail number: (TailNum, Part, Flights, Entries, Total)."""
+    """The flights of each tail number: (TailNum, Part, Flights, Total)."""
     return entries_in_parts(
         flights, "TailNum", FLIGHT_ENTRY, "Flights", part_rows, copies="Copies"
     )
@@ -77,12 +82,14 @@ def flights_per_airplane(flights: DataFrame, part_rows: int = PART_ROWS) -> Data
 def airplanes_per_carrier(flights: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """The fleet of each carrier: (Carrier, Part, TailNumbers, FleetCount)."""
     known = flights.where(F.col("TailNum").isNotNull())
-    parts = entries_in_parts(known, "Carrier", ["TailNum"], "fleet", part_rows)
+    # One row for each airplane of a carrier, read twice below.
+    fleet = materialise(known.select("Carrier", "TailNum").distinct(), "fleet")
+    parts = entries_in_parts(fleet, "Carrier", ["TailNum"], "fleet", part_rows)
     return parts.select(
         "Carrier",
         "Part",
         F.transform("fleet", lambda e: e["TailNum"]).alias("TailNumbers"),
-        F.col("Entries").alias("FleetCount"),
+        F.col("Total").alias("FleetCount"),
     )
 
 

@@ -39,7 +39,7 @@ class Training:
 
 def run_train(
     spark: SparkSession, features_path: str, model_path: str, bucketizer_path: str,
-    max_bins: int | None = model.MAX_BINS, holdout: float | None = None, seed: int = 42,
+    max_bins: int = model.MAX_BINS, holdout: float | None = None, seed: int = 42,
     **forest: int,
 ) -> Training:
     """Fit, save and evaluate the classifier.

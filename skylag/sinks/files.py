@@ -38,11 +38,13 @@ def write_daily(df: DataFrame, path: str, day: str) -> None:
 def write_days(df: DataFrame, path: str, date: str | Column) -> None:
     """Replace the folders of all days that occur in ``df``; other days stay.
 
-    Rows are not gathered by day first: a busy day is written by many tasks.
+    Rows are balanced by day first: small days are not scattered over the files
+    of all tasks, and a busy day is split over several.
     """
     dated = df.withColumn("request_date", F.col(date) if isinstance(date, str) else date)
     (
-        dated.write.mode("overwrite")
+        dated.hint("rebalance", F.col("request_date"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("request_date")
         .json(path)

@@ -27,14 +27,13 @@ def flights(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFram
 
     No side is marked for broadcast: the planner broadcasts what it measures as
     small and sorts the rest, and skewed keys are split at run time. With
-    ``row_key`` each row carries ``RowKey``, the file and position of its line
-    item: unique, and the same in every attempt of a task.
+    ``row_key`` each row carries ``RowKey``, a hash of the file and position of
+    its line item: it tells copies apart and is the same in every attempt of a task.
     """
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
         *(
-            [F.struct(F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.row_index").alias("row")).alias("RowKey")]
+            [F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("RowKey")]
             if row_key else []
         ),
     )
