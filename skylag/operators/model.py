@@ -107,11 +107,12 @@ def train(
 
 
 def for_serving(model: PipelineModel, handle_invalid: str = "keep") -> PipelineModel:
-    """The fitted stages set to let unseen or missing values through."""
-    for stage in model.stages:
+    """A copy whose stages let unseen and missing values through."""
+    ready = model.copy()
+    for stage in ready.stages:
         if isinstance(stage, (StringIndexerModel, VectorAssembler)):
             stage.setHandleInvalid(handle_invalid)
-    return model
+    return ready
 
 
 def save_model(model: PipelineModel, path: str) -> None:
