@@ -233,5 +233,5 @@ def accuracy(spark, sf_dir):
 
 QUERIES["accuracy"] = accuracy
 ORACLE["accuracy"] = f"""WITH {sql.FEATURES}
-SELECT avg(CASE WHEN {sql.bucket('"DepDelay"')} = {sql.bucket('"ArrDelay"')} THEN 1.0 ELSE 0.0 END) AS accuracy
+SELECT avg(CASE WHEN {sql.bucket('"DepDelay"')} = {sql.bucket('"ArrDelay"')} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS accuracy
 FROM features"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,11 +21,20 @@ from skylag.streaming import scoring, sinks
 
 def run_extract(
     spark: SparkSession, flights_path: str, out: str, fraction: float | None = None,
-    seed: int = 27, n_files: int | None = None,
+    seed: int = 27, n_files: int | None = None, fmt: str = "json",
 ) -> None:
-    """Flights to sorted training features, as bzip2 JSON lines."""
-    rows = feat.extract_features(tables.read_flights(spark, flights_path), fraction, seed)
-    files.write_json(feat.sort_features(rows), out, n_files, compression="bzip2")
+    """Flights to sorted training features, as bzip2 JSON lines or as Parquet.
+
+    Copies of a flight are told apart by their place in the flights table, so
+    that many of them do not share one sort range.
+    """
+    flights = tables.with_row_key(tables.read_flights(spark, flights_path))
+    rows = feat.extract_features(flights, fraction, seed, keep=["RowKey"])
+    ordered = feat.sort_features(rows, tie="RowKey")
+    if fmt == "json":
+        files.write_json(ordered, out, n_files, compression="bzip2")
+    else:
+        ordered.write.mode("overwrite").format(fmt).save(out)
 
 
 @dataclass
@@ -40,15 +50,18 @@ class Training:
 def run_train(
     spark: SparkSession, features_path: str, model_path: str, bucketizer_path: str,
     max_bins: int = model.MAX_BINS, holdout: float | None = None, seed: int = 42,
-    **forest: int,
+    fmt: str = "json", **forest: int,
 ) -> Training:
     """Fit, save and evaluate the classifier.
 
-    The features are decoded once and kept as a table, because fitting reads
-    them many times. Accuracy is taken on the training rows unless ``holdout``
+    Text features are decoded once and kept as a table, because fitting reads
+    them many times; a columnar table is read where it is. Accuracy is taken on the training rows unless ``holdout``
     sets a share apart.
     """
-    stored = materialise(tables.read_features(spark, features_path), "features")
+    if fmt == "json":
+        stored = materialise(tables.read_features(spark, features_path), "features")
+    else:
+        stored = spark.read.schema(schemas.FEATURES).format(fmt).load(features_path)
     nulls = {r["column_name"]: r["null_count"] for r in feat.null_profile(stored).collect()}
     if holdout:
         fit_on, test_on = stored.randomSplit([1 - holdout, holdout], seed)
@@ -85,17 +98,18 @@ def run_migrate(spark: SparkSession, source: str, target: str, fmt: str = "json"
     """
     reader = spark.read.schema(schemas.DISTANCES).format(fmt)
     changes = dist.select_distances(reader.load(source))
-    if _exists(spark, target):
-        stored = spark.read.schema(schemas.DISTANCES).parquet(target)
-    else:
-        stored = spark.createDataFrame([], schemas.DISTANCES)
+    stored = _table_or_empty(spark, target, schemas.DISTANCES)
     merged = materialise(dist.upsert(stored, changes, dist.ROUTE), "distances")
     files.write_clustered(merged, target, dist.ROUTE)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def _table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def run_fetch(
@@ -121,14 +135,8 @@ def run_load(
     fmt: str = "parquet", **options: str,
 ) -> None:
     """One day of results to the result collection. Times stay text, as sent."""
-    kept = [
-        (f.name, "string" if f.name in ("Timestamp", "FlightDate") else f.dataType.simpleString())
-        for f in schemas.BATCH_REQUEST.fields
-    ]
-    ddl = ", ".join(f"{name} {kind}" for name, kind in [*kept, ("Route", "string"), ("Prediction", "double")])
-    rows = tables.read_json_text(
-        spark, files.day_path(results_path, day), spark.createDataFrame([], ddl).schema
-    )
+    day_folder = files.day_path(results_path, day)
+    rows = tables.read_json_text(spark, day_folder, schemas.BATCH_RESULT)
     files.append_collection(rows, collection, fmt, **options)
 
 

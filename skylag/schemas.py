@@ -44,6 +44,15 @@ BATCH_REQUEST = _struct(
     ("Timestamp", T.TimestampType()),
 )
 
+# One scored request of the daily batch, as stored: dates and times stay text.
+BATCH_RESULT = T.StructType(
+    [
+        T.StructField(f.name, S if f.name in ("FlightDate", "Timestamp") else f.dataType, True)
+        for f in BATCH_REQUEST.fields
+    ]
+    + [T.StructField("Route", S, True), T.StructField("Prediction", D, True)]
+)
+
 # The batch request plus the id that micro-batch requests carry.
 CALLBACK_REQUEST = T.StructType([*BATCH_REQUEST.fields, T.StructField("UUID", S, True)])
 

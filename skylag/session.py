@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import shutil
 import tempfile
 import uuid
 
@@ -13,11 +15,16 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small but compute-heavy shuffles still keep all cores busy. Large ones are
+    # merged up to the advisory size as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot key is split even where the split costs one more shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Rewriting one day must never touch the other days.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # State of stream joins is kept on disk beside memory, not in the heap alone.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -75,6 +82,7 @@ def shared_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="skylag-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[app], ignore_errors=True)
     return _LOCAL_ROOTS[app]
 
 

@@ -16,6 +16,12 @@ def read_flights(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def with_row_key(df: DataFrame) -> DataFrame:
+    """A table read from Parquet with ``RowKey``, a hash of the file and position
+    of each row. It tells copies apart and is the same in every attempt of a task."""
+    return df.withColumn("RowKey", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+
+
 def register(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Give a table a name for SQL text and hand it back."""
     df.createOrReplaceTempView(name)

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylag.sources.tables import with_row_key
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -27,15 +29,12 @@ def flights(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFram
 
     No side is marked for broadcast: the planner broadcasts what it measures as
     small and sorts the rest, and skewed keys are split at run time. With
-    ``row_key`` each row carries ``RowKey``, a hash of the file and position of
-    its line item: it tells copies apart and is the same in every attempt of a task.
+    ``row_key`` each row carries the ``RowKey`` of its line item.
     """
-    line = table(spark, sf_dir, "lineitem").select(
+    line = table(spark, sf_dir, "lineitem")
+    line = (with_row_key(line) if row_key else line).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate",
-        *(
-            [F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("RowKey")]
-            if row_key else []
-        ),
+        *(["RowKey"] if row_key else []),
     )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("sn"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("cn"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import glob
-import math
 import os
 
 import duckdb
@@ -19,8 +18,6 @@ def connect(sf_dir: str):
 
 
 def _cell(value):
-    if isinstance(value, float) and not math.isnan(value):
-        return float(f"{value:.12g}")
     if isinstance(value, (dt.date, dt.datetime)):
         return str(value)
     return value

@@ -49,6 +49,15 @@ def test_extract_writes_all_flights_with_known_delays(spark, flights, base, trai
     assert any(f.endswith(".bz2") for f in stored.inputFiles())
 
 
+def test_features_as_columns_train_the_same_way(spark, flights, base, trained):
+    jobs.run_extract(spark, flights, f"{base}/features-p", fmt="parquet")
+    report = jobs.run_train(
+        spark, f"{base}/features-p", f"{base}/model-p", f"{base}/classes-p",
+        numTrees=2, max_bins=700, fmt="parquet",
+    )
+    assert sum(report.predicted.values()) == sum(trained[1].predicted.values())
+
+
 def test_extract_samples_before_filtering(spark, flights, base):
     jobs.run_extract(spark, flights, f"{base}/sampled", fraction=0.1)
     part = tables.read_features(spark, f"{base}/sampled").count()

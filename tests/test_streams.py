@@ -159,6 +159,22 @@ def test_periodic_trigger_runs_until_stopped(spark, tmp_path):
     assert not query.isActive
 
 
+def test_waiting_ends_when_any_query_fails(spark, tmp_path):
+    topic = str(tmp_path / "topic")
+    send(spark, topic, ["ready"])
+
+    def fail(batch, n):
+        raise RuntimeError("sink is gone")
+
+    stream = topics.stream_topic(spark, topic)
+    spark.streams.resetTerminated()
+    query = sinks.each_batch(stream, fail, str(tmp_path / "mark"))
+    with pytest.raises(Exception, match="sink is gone"):
+        sinks.run(spark)
+    assert not query.isActive
+    spark.streams.resetTerminated()
+
+
 def test_matching_waits_then_gives_up(spark, tmp_path):
     asked = spark.createDataFrame(
         [("fast", 0), ("edge", 0), ("slow", 0), ("never", 1), ("end", 10_000)], "UUID string, s int"
