@@ -118,6 +118,11 @@ def test_hot_airplane_is_split_before_it_is_collected(spark):
     assert len(hot) == 40 and max(hot) < 750
 
 
+def test_one_airplane_is_looked_up_in_the_scan(flights):
+    docs = lookups.airplane_flights(summaries.flights_per_airplane(flights), "N00042")
+    assert "EqualTo(TailNum,N00042)" in plan(docs)
+
+
 def test_repeated_responses_fold_before_the_shuffle(spark):
     sent = spark.range(0, 1000).select(
         F.lit("same").alias("UUID"), F.timestamp_seconds("id").alias("ts"), F.lit(1.0).alias("Prediction")
