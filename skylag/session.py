@@ -45,6 +45,10 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # All blocks are on this machine: reading them by mapper saves nothing
+            # and leaves cores idle when there are few input files.
+            conf.setdefault("spark.sql.adaptive.localShuffleReader.enabled", "false")
     builder = builder.config("spark.sql.session.timeZone", "UTC")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -118,6 +118,12 @@ def test_hot_airplane_is_split_before_it_is_collected(spark):
     assert len(hot) == 40 and max(hot) < 750
 
 
+def test_documents_shuffle_rows_twice_while_totals_are_small(flights):
+    text = plan(summaries.flights_per_airplane(flights))
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_one_airplane_is_looked_up_in_the_scan(flights):
     docs = lookups.airplane_flights(summaries.flights_per_airplane(flights), "N00042")
     assert "EqualTo(TailNum,N00042)" in plan(docs)
