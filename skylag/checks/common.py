@@ -38,9 +38,9 @@ def stored_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_distances(spark, path)
 
 
-def full_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_requests(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Requests with date parts, as messages carry them."""
-    rows = testbed.requests(tune(spark), sf_dir)
+    rows = testbed.requests(tune(spark), sf_dir, keep)
     return rows.withColumns(date_parts("FlightDate"))
 
 

@@ -14,7 +14,7 @@ from skylag.operators import model
 from skylag.operators.summaries import class_counts
 from skylag.session import work_path
 from skylag.sinks import files
-from skylag.sources import tables, testbed
+from skylag.sources import tables
 
 QUERIES = {}
 ORACLE = {}

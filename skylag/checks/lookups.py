@@ -71,9 +71,7 @@ def upsert_distances(spark, sf_dir):
         F.when(F.col("DayofMonth") != 7, F.col("Distance") + F.col("DayofMonth")).alias("Distance"),
         F.concat_ws(" ", "FlightDate", "FlightNum").alias("seq"),
     )
-    plain = dist.select_distances(changes.select("*")).columns
-    typed = changes.withColumn("Distance", F.coalesce(F.col("Distance"), F.lit(0.0)))
-    return dist.upsert(known, typed.select(*plain, "seq"), dist.ROUTE, seq="seq")
+    return dist.upsert(known, dist.select_distances(changes, "seq"), dist.ROUTE, seq="seq")
 
 
 QUERIES["upsert_distances"] = upsert_distances

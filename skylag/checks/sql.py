@@ -89,14 +89,14 @@ distances AS (
 
 AIRPLANES = """
 airplanes AS (
-  SELECT concat('N', lpad(CAST(p_partkey AS VARCHAR), 5, '0')) AS "TailNum",
+  SELECT printf('N%05d', p_partkey) AS "TailNum",
     p_name AS "Owner", concat('S', p_size % 5) AS "OwnerState",
     concat('Maker ', substr(p_brand, 7)) AS "Manufacturer", p_type AS "Model",
     CAST(1980 + p_size % 40 AS VARCHAR) AS "ManufacturerYear",
     concat('S', p_partkey) AS "SerialNumber",
     concat('Engine ', p_partkey % 7) AS "EngineManufacturer",
     concat('E', p_partkey % 11) AS "EngineModel"
-  FROM part WHERE p_partkey < 500
+  FROM part
 )"""
 
 AIRPLANE_COLUMNS = [
@@ -106,7 +106,7 @@ AIRPLANE_COLUMNS = [
 
 REQUESTS = """
 requests AS (
-  SELECT event_id, md5(CAST(event_id AS VARCHAR)) AS "UUID",
+  SELECT event_id, event_type, md5(CAST(event_id AS VARCHAR)) AS "UUID",
     concat('A', lpad(CAST(user_id % 25 AS VARCHAR), 2, '0')) AS "Origin",
     concat('A', lpad(CAST((user_id * 7 + event_id) % 25 AS VARCHAR), 2, '0')) AS "Dest",
     concat('C', event_id % 25 + 1) AS "Carrier",

@@ -29,12 +29,14 @@ def by_distance(distances: DataFrame, ascending: bool = True) -> DataFrame:
     return distances.orderBy(first, *ROUTE)
 
 
-def select_distances(df: DataFrame) -> DataFrame:
-    """The three columns of the distance table; a missing distance is 0.0."""
+def select_distances(df: DataFrame, *keep: str) -> DataFrame:
+    """The three columns of the distance table, and those to ``keep``; a missing
+    distance is 0.0."""
     return df.select(
         F.col("Origin"),
         F.col("Dest"),
         F.coalesce(F.col("Distance").cast("double"), F.lit(0.0)).alias("Distance"),
+        *keep,
     )
 
 

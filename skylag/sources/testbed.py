@@ -3,6 +3,8 @@ and responses, so that every query runs over whole tables."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,10 +94,9 @@ def flights(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFram
 
 def airplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry of airplanes behind the tail numbers."""
-    part = table(spark, sf_dir, "part").where(F.col("p_partkey") < 500)
     key = F.col("p_partkey")
-    return part.select(
-        _code("N", key, 5).alias("TailNum"),
+    return table(spark, sf_dir, "part").select(
+        F.format_string("N%05d", key).alias("TailNum"),
         F.col("p_name").alias("Owner"),
         F.concat(F.lit("S"), F.col("p_size") % 5).alias("OwnerState"),
         F.concat(F.lit("Maker "), F.expr("substr(p_brand, 7)")).alias("Manufacturer"),
@@ -124,8 +125,11 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction requests as a form sends them, with the event time in ``ts``."""
+def requests(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Prediction requests as a form sends them, with the event time in ``ts``.
+
+    ``keep`` names further columns of the events to carry.
+    """
     e = table(spark, sf_dir, "events")
     event, user = F.col("event_id"), F.col("user_id")
     return e.select(
@@ -140,6 +144,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Timestamp"
         ),
         "ts",
+        *keep,
     )
 
 

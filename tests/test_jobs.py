@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from skylag.operators import features as feat
 from skylag.plans import jobs
-from skylag.sinks import files
 from skylag.sources import tables, testbed, topics
 from skylag.streaming import sinks
 
@@ -108,12 +107,12 @@ def test_continuous_job_with_all_sinks(spark, sf_dir, base, trained, distances):
     forms = testbed.requests(spark, sf_dir).drop("ts", "UUID", "Timestamp").limit(40)
     made = jobs.run_prepare(spark, forms, distances, topic=f"{base}/request", on_missing="drop")
     started = jobs.run_stream_scoring(
-        spark, f"{base}/request", distances, trained[0], f"{base}/response", f"{base}/mongo",
+        spark, f"{base}/request", distances, trained[0], f"{base}/response", f"{base}/scored",
         f"{base}/archive", f"{base}/marks", trigger="available",
     )
     assert set(started) == {"collection", "topic", "files", "console"}
     sinks.drain(*started.values())
     ids = sorted(r["UUID"] for r in made.collect())
     assert sorted(r["key"] for r in topics.read_topic(spark, f"{base}/response").collect()) == ids
-    for path in (f"{base}/mongo", f"{base}/archive"):
+    for path in (f"{base}/scored", f"{base}/archive"):
         assert sorted(r["UUID"] for r in spark.read.parquet(path).collect()) == ids
