@@ -10,7 +10,7 @@ from skylag.checks.messages import MATCH, ORACLE as _BATCH_ORACLE
 from skylag.checks.messages import WELL_FORMED, request_messages
 from skylag.functions.messages import decode_text
 from skylag.schemas import SCORED
-from skylag.session import tune, work_path
+from skylag.session import state_partitions, tune, work_path
 from skylag.sinks import files
 from skylag.sources import tables, testbed, topics
 from skylag.streaming import matching, scoring, sinks
@@ -214,7 +214,8 @@ def stream_match(spark, sf_dir):
     matched = matching.match_stream(*streams, wait="20 seconds").select(
         "UUID", "status", "Prediction"
     )
-    out = _run_to(spark, lambda p, c: sinks.sink_parquet(matched, p, c, NOW), "matched")
+    with state_partitions(spark):
+        out = _run_to(spark, lambda p, c: sinks.sink_parquet(matched, p, c, NOW), "matched")
     return spark.read.schema(matched.schema).parquet(out).where(F.col("UUID") != late)
 
 

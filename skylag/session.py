@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import math
 import shutil
 import tempfile
@@ -69,6 +70,19 @@ def shuffle_partitions_for(
     return max(cores, math.ceil(wanted / cores) * cores)
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, count: int | None = None):
+    """Start stateful streams inside with ``count`` partitions, by default one for
+    each core. A stream keeps the number it first started with."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # Fallback folders of local sessions, by application.
 _LOCAL_ROOTS: dict[str, str] = {}
 

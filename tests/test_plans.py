@@ -150,6 +150,13 @@ def test_partition_counts():
     assert session.shuffle_partitions_for(100 * 1024**4, 8000) == 824_000
 
 
+def test_state_partitions_are_set_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.state_partitions(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert session.work_path(spark, "x").startswith(root + "/x-")
