@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag.session import materialise
 
-__all__ = ["lower_ascii", "materialise", "table"]
+__all__ = ["lower_ascii", "materialise", "on_workers", "table"]
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where it lies.
+
+    A cluster gets it by ``--py-files`` or an installed package; the extra path is
+    then one that does not exist.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

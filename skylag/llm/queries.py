@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import token_codes, url_filter
+from skylag.llm import token_codes, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
     "op9_url_filter": url_filter.query,
+    "op10_word_bpe": word_bpe.query,
 }
 
 ORACLE: dict[str, str] = {

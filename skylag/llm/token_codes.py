@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylag.llm.common import table
 from skylag.session import work_path
 
 END_ID = 2
@@ -325,6 +326,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = work_path(spark, "token-codes")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     write_codes(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return checksums(read_codes(spark, path))

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skylag.llm.common import lower_ascii, table
+
 # Rules as (verdict, host, path).
 RULES = (
     ("allow", "org", "/"),
@@ -38,8 +40,6 @@ SOFT_HITS = 2
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host, A-Z in lower case, and path of a url; both empty where it has none."""
-    from skylag.llm.common import lower_ascii
-
     url = F.coalesce(url, F.lit(""))
     pattern = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
     return lower_ascii(F.regexp_extract(url, pattern, 1)), F.regexp_extract(url, pattern, 2)
@@ -100,7 +100,7 @@ def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: in
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
