@@ -102,24 +102,6 @@ def with_candidates(docs: DataFrame, windows: DataFrame, bits: int = FILTER_BITS
 
     found = found.withColumn("_p", F.filter(every, lambda i: _in(pairs, pair(i), bits)))
     parts = [_hits(F.col("_p") if n > 1 else every, n, whole, bits) for n in sorted(lengths)]
-    return found.withColumn("maybe", none).drop("_w")
-    pairs = _bitmap(windows.select(F.xxhash64(F.get("window", F.lit(0)), F.get("window", F.lit(1))).alias("h")), bits)
-    whole = _bitmap(windows.select(F.xxhash64("window").alias("h")), bits)
-    every = F.when(F.size("_w") > 0, F.sequence(F.lit(1), F.size("_w"))).otherwise(F.array().cast("array<int>"))
-
-    def pair(i: Column) -> Column:
-        return F.xxhash64(F.get("_w", i - 1), F.get("_w", i))
-
-    found = found.withColumn("_p", F.filter(every, lambda i: _in(pairs, pair(i), bits)))
-    parts = []
-    for length in sorted(lengths):
-        starts = F.col("_p") if length > 1 else every
-
-        def at(i: Column, n: int = length) -> Column:
-            return F.slice("_w", i, n)
-
-        fits = F.filter(starts, lambda i, n=length: (i <= F.size("_w") - n + 1) & _in(whole, F.xxhash64(at(i)), bits))
-        parts.append(F.transform(fits, lambda i, n=length: F.struct(i.alias("start"), F.lit(n).alias("len"), at(i).alias("window"))))
     return found.withColumn("maybe", F.concat(none, *parts)).drop("_w", "_p")
 
 
