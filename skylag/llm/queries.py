@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, near_dups, token_codes, url_filter, word_bpe
+from skylag.llm import decontaminate, near_dups, secrets, token_codes, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
+    "op6_secrets": secrets.query,
     "op7_decontaminate": decontaminate.query,
     "op8_near_dups": near_dups.query,
     "op9_url_filter": url_filter.query,
