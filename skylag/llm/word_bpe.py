@@ -36,6 +36,8 @@ from skylag.llm.common import table
 
 BLOCK_CHARS = 16_000_000
 CHUNK_CHARS = 1_000_000
+# Encoded words a task gathers before it packs them by block.
+LINES_HELD = 500_000
 
 # Texts of these characters are split here; others by the library's own steps.
 # Left out: separators that only Python takes for white space, a capital with two
@@ -171,23 +173,36 @@ def _words_of_blocks(chunks: DataFrame, path: str, text_at: int) -> DataFrame:
 
 
 def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """``words`` (block, word) with codes, the ids in decimal joined by one space.
+    """Rows (block, size, payload): of ``words`` (block, word), the lines
+    "word id id ..." of some words of a block, compressed; ``size`` before that.
 
     Rows of a word come together and one after another, so each distinct word is
     encoded once.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, codes = vocabulary(path), None, None
+        known, last, line, held, count = vocabulary(path), None, "", {}, 0
+
+        def lines() -> pa.RecordBatch:
+            texts = ["\n".join(found).encode() for found in held.values()]
+            packed = [pa.compress(text, codec="zstd", asbytes=True) for text in texts]
+            columns = [pa.array(list(held), pa.int32()), pa.array(map(len, texts), pa.int64()), pa.array(packed, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["block", "size", "payload"])
+
         for batch in batches:
-            out = []
-            for word in batch.column(1).to_pylist():
+            for block, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if word != last:
-                    last, codes = word, " ".join(map(str, known.encode(word)))
-                out.append(codes)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["block", "word", "codes"])
+                    last, line = word, " ".join([word, *map(str, known.encode(word))])
+                held.setdefault(block, []).append(line)
+            count += batch.num_rows
+            if count >= LINES_HELD:
+                yield lines()
+                held, count = {}, 0
+        if held:
+            yield lines()
 
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(encode, "block int, word string, codes string")
+    placed = words.repartition("word").sortWithinPartitions("word")
+    return placed.mapInArrow(encode, "block int, size long, payload binary")
 
 
 # What is made of a document: from its ids in decimal and its decoded text, both
@@ -235,7 +250,10 @@ def encode_documents(
 
     def assemble(chunk_rows: pa.Table, code_rows: pa.Table) -> pa.Table:
         known = vocabulary(path)
-        of_word = dict(zip(code_rows.column("word").to_pylist(), code_rows.column("codes").to_pylist(), strict=True))
+        of_word: dict[str, str] = {}
+        for size, payload in zip(code_rows.column("size").to_pylist(), code_rows.column("payload"), strict=True):
+            text = pa.decompress(payload.as_py(), size, codec="zstd", asbytes=True).decode()
+            of_word.update([line.split(" ", 1) for line in text.split("\n")])
         pieces = {str(i): piece for i, piece in known.pieces.items()}
         of_run: dict[str, tuple[bytes, bytes]] = {}
 
