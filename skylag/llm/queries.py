@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, near_dups, secrets, token_codes, url_filter, word_bpe
+from skylag.llm import decontaminate, near_dups, page_text, secrets, token_codes, topk, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
+    "op4_page_text": page_text.query,
+    "op5_topk": topk.query,
     "op6_secrets": secrets.query,
     "op7_decontaminate": decontaminate.query,
     "op8_near_dups": near_dups.query,
@@ -18,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op5_topk": topk.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
 }
