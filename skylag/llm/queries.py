@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, near_dups, page_text, secrets, token_codes, topk, url_filter, word_bpe
+from skylag.llm import decontaminate, language, near_dups, page_text, secrets, token_codes, topk, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
+    "op3_language": language.query,
     "op4_page_text": page_text.query,
     "op5_topk": topk.query,
     "op6_secrets": secrets.query,
