@@ -20,6 +20,7 @@ empty table gives no segment. Columns other than doc_id and text are not stored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -53,6 +54,16 @@ _PIECES = re.compile(
 _INNER_SPACE = re.compile(f" (?<=[{_SPACE}] )[{_SPACE}]")
 
 
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: its own where it
+    prints, else the next of those from 256 on."""
+    prints = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in prints]
+    return {b: chr(b) if b in prints else chr(256 + rest.index(b)) for b in range(256)}
+
+
 class Encoder:
     """Ids of whole texts as little-endian unsigned 32-bit integers, by a byte-level BPE.
 
@@ -67,6 +78,7 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -79,7 +91,8 @@ class Encoder:
         for piece in _PIECES.findall(word):
             codes = pieces.get(piece)
             if codes is None:
-                codes = pieces[piece] = self._library(piece)
+                merged = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+                codes = pieces[piece] = struct.pack(f"<{len(merged)}I", *[t.id for t in merged])
             found.append(codes)
         return b"".join(found)
 
