@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, language, near_dups, page_text, secrets, token_codes, topk, url_filter, word_bpe
+from skylag.llm import decontaminate, language, near_dups, page_text, preferences, secrets, token_codes, topk, url_filter, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
+    "op2_preferences": preferences.query,
     "op3_language": language.query,
     "op4_page_text": page_text.query,
     "op5_topk": topk.query,
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_preferences": preferences.ORACLE_SQL,
     "op5_topk": topk.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
