@@ -30,6 +30,8 @@ WORDS = 10
 FILTER_BITS = 1 << 18
 # Windows that are broadcast for the verifying join; above it both sides shuffle.
 BROADCAST_WINDOWS = 1_000_000
+# Row numbers of contaminated documents that are broadcast to drop them.
+BROADCAST_ROWS = 2_000_000
 # Fixed value: a word.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -116,6 +118,18 @@ def _covered() -> Callable:
     return lambda spans: F.aggregate(F.array_sort(spans), zero, add, lambda done: done["n"].cast("long"))
 
 
+def _verified(docs: DataFrame, items: DataFrame, words: int, bits: int, drop: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The marked rows of ``docs``, written with a number ``_row``, and their hits
+    (_row, span, item_id)."""
+    windows = materialise(windows_of(items, words), "windows")
+    marked = with_candidates(docs, windows, bits).drop(*drop).withColumn("_row", F.monotonically_increasing_id())
+    marked = materialise(marked, "marked")
+    asked = marked.where(F.size("maybe") > 0).select("_row", F.explode("maybe").alias("m"))
+    asked = asked.select("_row", F.struct("m.start", "m.len").alias("span"), "m.window")
+    few = windows.count() <= BROADCAST_WINDOWS
+    return marked, asked.join(F.broadcast(windows) if few else windows, "window").select("_row", "span", "item_id")
+
+
 def decontaminate(
     docs: DataFrame, items: DataFrame, words: int = WORDS, bits: int = FILTER_BITS, drop: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -123,13 +137,7 @@ def decontaminate(
     words, from 1) and contaminated. Columns in ``drop`` are not carried on."""
     added = ["n_words", "n_hit", "item_ids", "spans", "contaminated"]
     docs = docs.select(*[c for c in docs.columns if c not in added])
-    windows = materialise(windows_of(items, words), "windows")
-    marked = with_candidates(docs, windows, bits).withColumn("_row", F.monotonically_increasing_id())
-    marked = materialise(marked.drop(*drop), "marked")
-    asked = marked.where(F.size("maybe") > 0).select("_row", F.explode("maybe").alias("m"))
-    asked = asked.select("_row", F.struct("m.start", "m.len").alias("span"), "m.window")
-    few = windows.count() <= BROADCAST_WINDOWS
-    hits = asked.join(F.broadcast(windows) if few else windows, "window")
+    marked, hits = _verified(docs, items, words, bits, drop)
     hits = hits.groupBy("_row").agg(F.collect_set("span").alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     hits = hits.withColumn("n_hit", _covered()(F.col("spans")))
     found = marked.drop("maybe").join(hits, "_row", "left").drop("_row")
@@ -143,9 +151,12 @@ def decontaminate(
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS) -> DataFrame:
+def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, bits: int = FILTER_BITS) -> DataFrame:
     """Documents of ``docs`` in which no window of an item occurs."""
-    return decontaminate(docs, items, words).where("not contaminated").select(*docs.columns)
+    marked, hits = _verified(docs, items, words, bits)
+    hit = materialise(hits.select("_row").distinct(), "hit-rows")
+    few = hit.count() <= BROADCAST_ROWS
+    return marked.join(F.broadcast(hit) if few else hit, "_row", "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,5 +262,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) ->
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest doc_id; of
+    rows that repeat a doc_id one stays."""
+    found = materialise(near_duplicates(docs, words, percent), "components")
+    gone = found.where("not kept").select("doc_id").distinct()
+    few = gone.count() <= BROADCAST_IDS
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = materialise(again, "repeated-ids")
+    if not again.take(1):
+        return left
+    few = again.count() <= BROADCAST_IDS
+    again = F.broadcast(again) if few else again
+    once = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)

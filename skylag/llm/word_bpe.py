@@ -212,7 +212,7 @@ Finish = tuple[T.StructType, Callable[[bytes, bytes], tuple]]
 
 def ids_and_text(codes: bytes, decoded: bytes) -> tuple:
     ids = np.array(codes.split(), dtype=np.int32)
-    return len(ids), ids.tolist(), decoded.decode()
+    return len(ids), ids, decoded.decode()
 
 
 def digests(codes: bytes, decoded: bytes) -> tuple:
