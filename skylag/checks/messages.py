@@ -186,21 +186,21 @@ ORACLE["label_results_batch"] = _label_sql(
     ]
 )
 
-MATCH = f"""WITH {sql.REQUESTS}, {sql.RESPONSES},
-matched AS (
-  SELECT r."UUID",
-    CASE WHEN a.ts BETWEEN r.ts AND r.ts + INTERVAL 20 SECOND THEN 'OK' ELSE 'WAIT' END AS status,
-    CASE WHEN a.ts BETWEEN r.ts AND r.ts + INTERVAL 20 SECOND THEN a."Prediction" END AS "Prediction"
-  FROM requests r LEFT JOIN responses a ON r."UUID" = a."UUID"
+MATCH = f"""WITH {sql.REQUESTS}, {sql.MIXED_RESPONSES},
+first AS (
+  SELECT r."UUID", min({{'ts': a.ts, 'p': a."Prediction"}}).p AS "Prediction"
+  FROM requests r JOIN responses a
+    ON r."UUID" = a."UUID" AND a.ts >= r.ts AND a.ts <= r.ts + INTERVAL 20 SECOND
+  GROUP BY r."UUID"
 )
-SELECT * FROM matched"""
+SELECT r."UUID", CASE WHEN f."UUID" IS NULL THEN 'WAIT' ELSE 'OK' END AS status, f."Prediction"
+FROM requests r LEFT JOIN first f ON r."UUID" = f."UUID\""""
 
 
 def match_responses(spark, sf_dir):
-    """Every response sent twice, the second time a minute later."""
-    answers = testbed.responses(tune(spark), sf_dir)
-    again = answers.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
-    return requests.match_responses(testbed.requests(spark, sf_dir), answers.unionByName(again))
+    """Answers that repeat, come before their request and come too late."""
+    answers = testbed.mixed_responses(tune(spark), sf_dir)
+    return requests.match_responses(testbed.requests(spark, sf_dir), answers)
 
 
 QUERIES["match_responses"] = match_responses

@@ -126,7 +126,16 @@ responses AS (
   SELECT md5(CAST(event_id AS VARCHAR)) AS "UUID",
     ts + (event_id % 30) * INTERVAL '1' SECOND AS ts,
     CAST(event_id % 4 AS DOUBLE) AS "Prediction"
-  FROM events WHERE event_id % 7 <> 0
+  FROM events
+)"""
+
+MIXED_RESPONSES = """
+responses AS (
+  SELECT md5(CAST(event_id AS VARCHAR)) AS "UUID",
+    ts + (event_id % 30 + s) * INTERVAL '1' SECOND AS ts,
+    CAST((event_id + p) % 4 AS DOUBLE) AS "Prediction"
+  FROM events, (VALUES (0, 0), (0, 0), (4, 1), (-40, 2)) AS shift(s, p)
+  WHERE event_id % 7 <> 0
 )"""
 
 # Requests with the distance of their route beside them.

@@ -95,7 +95,7 @@ def archive_topic(spark, sf_dir):
     out = _run_to(
         spark, lambda p, c: sinks.archive_topic(spark, topic, p, c, trigger=NOW), "archive"
     )
-    return spark.read.text(out)
+    return sinks.read_archive(spark, out)
 
 
 QUERIES["archive_topic"] = archive_topic
@@ -194,30 +194,39 @@ QUERIES["stream_foreach_batch"] = stream_foreach_batch
 ORACLE["stream_foreach_batch"] = ORACLE["stream_to_table"]
 
 
-def stream_match(spark, sf_dir):
-    """Requests and responses as streams. One late row on each side moves the
-    watermark past all others, so that every request is decided."""
-    late = "9999"
-    asked = testbed.requests(tune(spark), sf_dir).select("UUID", F.col("ts").cast("timestamp"))
-    answers = testbed.responses(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    closing = asked.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
-        F.lit(late).alias("UUID"), "ts"
-    )
-    streams = []
-    for name, rows, last in (
-        ("asked", asked, closing),
-        ("answers", answers, closing.withColumn("Prediction", F.lit(0.0))),
-    ):
-        path = work_path(spark, name)
-        rows.unionByName(last).write.parquet(path)
-        streams.append(spark.readStream.schema(rows.schema).parquet(path))
-    matched = matching.match_stream(*streams, wait="20 seconds").select(
-        "UUID", "status", "Prediction"
-    )
-    with state_partitions(spark):
-        out = _run_to(spark, lambda p, c: sinks.sink_parquet(matched, p, c, NOW), "matched")
-    return spark.read.schema(matched.schema).parquet(out).where(F.col("UUID") != late)
-
-
-QUERIES["stream_match"] = stream_match
-ORACLE["stream_match"] = MATCH
+def _arriving(spark, rows, name, last, order):
+    """Rows as a stream of four micro-batches in the given order, ``last`` after them."""
+    path = work_path(spark, name)
+    for part in order:
+        rows.where(F.pmod(F.xxhash64("UUID", "ts"), F.lit(4)) == part).write.mode("append").parquet(path)
+    last.write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _stream_match(order):
+    def query(spark, sf_dir):
+        late = "9999"
+        asked = testbed.requests(tune(spark), sf_dir).select("UUID", F.col("ts").cast("timestamp"))
+        answers = testbed.mixed_responses(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+        # Parts come in an order of their own: no row is late within the whole span.
+        # Then a row on each side, far later, moves the watermark past all others.
+        span = asked.agg((F.max("ts").cast("long") - F.min("ts").cast("long")).alias("s")).first().s
+        end = asked.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(3 * span + 86_400))).alias("ts"))
+        closing = end.select(F.lit(late).alias("UUID"), "ts").repartition(1)
+        streams = [
+            _arriving(spark, asked.coalesce(1), "asked", closing, order),
+            _arriving(spark, answers.coalesce(1), "answers", closing.withColumn("Prediction", F.lit(0.0)), order),
+        ]
+        matched = matching.match_stream(*streams, wait="20 seconds", lateness=f"{span + 120} seconds")
+        matched = matched.select("UUID", "status", "Prediction")
+        with state_partitions(spark):
+            out = _run_to(spark, lambda p, c: sinks.sink_parquet(matched, p, c, NOW), "matched")
+        return spark.read.schema(matched.schema).parquet(out).where(F.col("UUID") != late)
+
+    return query
+
+
+# The same rows in two orders of arrival.
+QUERIES["stream_match"] = _stream_match((0, 1, 2, 3))
+QUERIES["stream_match_reversed"] = _stream_match((3, 2, 1, 0))
+ORACLE["stream_match"] = ORACLE["stream_match_reversed"] = MATCH

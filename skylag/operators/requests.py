@@ -52,32 +52,39 @@ def prepare_requests(
     )
 
 
-def first_response(responses: DataFrame) -> DataFrame:
-    """The earliest response for each id. Repeated messages are folded before the
-    shuffle, so an id that was sent again and again stays one row per task."""
-    values = [c for c in responses.columns if c not in ("UUID", "ts")]
-    best = responses.groupBy("UUID").agg(F.min(F.struct("ts", *values)).alias("first"))
-    return best.select("UUID", *[F.col(f"first.{c}").alias(c) for c in ["ts", *values]])
-
-
 def match_responses(
     requests: DataFrame, responses: DataFrame, wait: str = "20 seconds"
 ) -> DataFrame:
-    """Each request as ``OK`` with its prediction, or ``WAIT``.
+    """Each request as ``OK`` with the prediction of its earliest answer, or ``WAIT``.
 
-    A response counts from the moment of the request until ``wait`` later. One
-    response is left for each id before joining, so requests never multiply.
+    A response counts from the moment of the request until ``wait`` later; one that
+    came before, or too late, does not hide another one in time. A request sent again
+    with the same id and time is one request. Equal responses are folded before they
+    meet the requests, and of those that meet one the earliest is kept by a minimum,
+    which is combined before its shuffle.
     """
-    answers = first_response(responses).select(
-        F.col("UUID").alias("_id"), F.col("ts").alias("_at"), "Prediction"
+    folded = responses.groupBy(F.col("UUID").alias("_id"), F.col("ts").alias("_at")).agg(
+        F.min("Prediction").alias("_prediction")
     )
-    joined = requests.select("UUID", "ts").join(answers, F.col("UUID") == F.col("_id"), "left")
-    in_time = (F.col("_at") >= F.col("ts")) & (
-        F.col("_at") <= F.col("ts") + F.expr(f"INTERVAL {wait}")
-    )
-    found = F.coalesce(in_time, F.lit(False))
-    return joined.select(
+    asked = requests.select("UUID", "ts").distinct()
+    until = F.col("ts") + F.expr(f"INTERVAL {wait}")
+    in_time = (F.col("UUID") == F.col("_id")) & F.col("_at").between(F.col("ts"), until)
+    met = asked.join(folded, in_time, "left").groupBy("UUID", "ts").agg(earliest_answer())
+    return answered(met).drop("ts")
+
+
+def earliest_answer() -> Column:
+    """The first answer of a group of rows with ``_at`` and ``_prediction``; of equal
+    times the smaller prediction. NULL where a request met none."""
+    answer = F.struct("_at", "_prediction")
+    return F.min(F.when(F.col("_at").isNotNull(), answer)).alias("_first")
+
+
+def answered(met: DataFrame) -> DataFrame:
+    """Status and prediction of requests beside their earliest answers."""
+    return met.select(
         "UUID",
-        F.when(found, "OK").otherwise("WAIT").alias("status"),
-        F.when(found, F.col("Prediction")).alias("Prediction"),
+        "ts",
+        F.when(F.col("_first").isNotNull(), "OK").otherwise("WAIT").alias("status"),
+        F.col("_first._prediction").alias("Prediction"),
     )

@@ -144,9 +144,10 @@ def run_stream_scoring(
     spark: SparkSession, request_topic: str, distances_path: str, model_path: str,
     response_topic: str, collection: str, archive: str, checkpoints: str,
     fmt: str = "parquet", collection_fmt: str = "parquet", servers: str = "localhost:9092",
-    trigger: str | None = None, console: bool = True,
+    trigger: str | None = None, console: bool = False,
 ):
-    """Start the continuous job with its four sinks; ``sinks.run`` waits for it."""
+    """Start the continuous job with its sinks; ``sinks.run`` waits for it.
+    ``console`` prints some rows of each micro-batch as well."""
     messages = topics.stream_topic(spark, request_topic, fmt, servers)
     known = tables.read_distances(spark, distances_path)
     scored = scoring.score_stream(messages, known, model.load_model(model_path))

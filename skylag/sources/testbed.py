@@ -149,10 +149,25 @@ def requests(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> Data
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers to six of seven requests, 0 to 29 seconds later."""
-    e = table(spark, sf_dir, "events").where(F.col("event_id") % 7 != 0)
+    """Answers to all requests, 0 to 29 seconds later."""
+    e = table(spark, sf_dir, "events")
     return e.select(
         F.md5(F.col("event_id").cast("string")).alias("UUID"),
         (F.col("ts") + F.make_dt_interval(secs=(F.col("event_id") % 30).cast("decimal(18,6)"))).alias("ts"),
         (F.col("event_id") % 4).cast("double").alias("Prediction"),
     )
+
+
+def mixed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers to match: one in seven requests has none; the others have theirs twice,
+    another one 4 seconds later, and one 40 seconds earlier, mostly before its request.
+    Each has a prediction of its own."""
+    e = table(spark, sf_dir, "events").where(F.col("event_id") % 7 != 0).select("event_id", "ts")
+    shifts = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(p).alias("p")) for s, p in ((0, 0), (0, 0), (4, 1), (-40, 2))])
+    e = e.withColumn("shift", F.explode(shifts))
+    seconds = (F.col("event_id") % 30 + F.col("shift.s")).cast("decimal(18,6)")
+    return e.select(
+        F.md5(F.col("event_id").cast("string")).alias("UUID"),
+        (F.col("ts") + F.make_dt_interval(secs=seconds)).alias("ts"),
+        ((F.col("event_id") + F.col("shift.p")) % 4).cast("double").alias("Prediction"),
+    )

@@ -62,21 +62,41 @@ def sink_parquet(
     return _start(writer, checkpoint, trigger)
 
 
-def sink_console(df: DataFrame, trigger: str | None = None) -> StreamingQuery:
-    """Print each micro-batch. For looking at a stream, not for keeping it."""
-    return _start(df.writeStream.outputMode("append").format("console"), None, trigger)
+def sink_console(
+    df: DataFrame, trigger: str | None = None, rows: int = 20, checkpoint: str | None = None
+) -> StreamingQuery:
+    """Print the first ``rows`` rows of each micro-batch; no more reach the driver.
+    For looking at a stream, not for keeping it."""
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"-- batch {batch_id}")
+        batch.limit(rows).show(rows, truncate=False)
+
+    return _start(df.writeStream.outputMode("append").foreachBatch(show), checkpoint, trigger)
 
 
 def archive_topic(
     spark: SparkSession, topic: str, path: str, checkpoint: str, fmt: str = "parquet",
     servers: str = "localhost:9092", trigger: str | None = PERIOD,
 ) -> StreamingQuery:
-    """Copy the messages of a topic, as they are, to text files."""
-    values = stream_topic(spark, topic, fmt, servers).select("value")
+    """Copy the messages of a topic to text files, one JSON object {"value": ...} a line.
+
+    A message with line breaks stays one line, and one without a value is a line
+    without the field. ``read_archive`` gives the messages back as they were.
+    """
+    values = stream_topic(spark, topic, fmt, servers).select(
+        F.to_json(F.struct(F.col("value").cast("string").alias("value"))).alias("value")
+    )
     writer = values.writeStream.outputMode("append").format("text").option("path", path)
     return _start(writer, checkpoint, trigger)
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of an archive: one column, ``value``."""
+    lines = spark.read.text(path)
+    return lines.select(F.from_json("value", "value string").alias("m")).select("m.value")
+
+
 def start_sinks(
     df: DataFrame, sinks: Mapping[str, Callable[[DataFrame], StreamingQuery]]
 ) -> dict[str, StreamingQuery]:

@@ -256,7 +256,7 @@ def test_prepared_requests_get_ids_and_times(spark, known):
 def test_first_response_in_time_counts(spark):
     asked = spark.createDataFrame([("a", 0), ("b", 0), ("c", 0), ("d", 100)], "UUID string, s int")
     sent = spark.createDataFrame(
-        [("a", 20, 1.0), ("a", 5, 3.0), ("b", 21, 2.0), ("d", 99, 1.0), ("z", 1, 1.0)],
+        [("a", 20, 1.0), ("a", 5, 3.0), ("b", 21, 2.0), ("d", 99, 1.0), ("d", 105, 2.0), ("z", 1, 1.0)],
         "UUID string, s int, Prediction double",
     )
     at = F.timestamp_seconds("s")
@@ -264,5 +264,5 @@ def test_first_response_in_time_counts(spark):
         asked.select("UUID", at.alias("ts")), sent.select("UUID", at.alias("ts"), "Prediction")
     )
     assert {r["UUID"]: (r["status"], r["Prediction"]) for r in got.collect()} == {
-        "a": ("OK", 3.0), "b": ("WAIT", None), "c": ("WAIT", None), "d": ("WAIT", None),
+        "a": ("OK", 3.0), "b": ("WAIT", None), "c": ("WAIT", None), "d": ("OK", 2.0),
     }
