@@ -140,7 +140,7 @@ def address_suffix(url: Column) -> Column:
     """Top-level domain of a url and, after it, a first path segment of two letters."""
     found = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*?\.([A-Za-z]+)(?::\d+)?(?:[/?#]|$)", 1))
     path = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"://[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", 1))
-    return F.when((found != "") | (path != ""), F.concat_ws("/", found, path))
+    return F.when((found != "") | (path != ""), F.concat_ws("/", *[F.when(x != "", x) for x in (found, path)]))
 
 
 _EVIDENCE = ["_host", "_domain", "_top", "_declared", "_suffix"]
@@ -154,7 +154,8 @@ def identify(rows: DataFrame, names: list[str], logs: np.ndarray, drop: tuple[st
     """
     rows = rows.select(*[c for c in rows.columns if c not in ("language", "confidence", "accepted")])
     all_names = [*names, OTHER]
-    level = dict(zip(_EVIDENCE, [*host_levels(F.col("host")), language_tag(F.col("declared")), F.lower("suffix")], strict=True))
+    suffix = F.when(F.col("suffix") != "", F.lower("suffix"))
+    level = dict(zip(_EVIDENCE, [*host_levels(F.col("host")), language_tag(F.col("declared")), suffix], strict=True))
     scored = rows.withColumns({"_ll": text_likelihoods(logs)(F.col("text")), **level})
     best = F.expr("if(_ll is null, null, array_position(_ll, array_max(_ll)) - 1)").cast("int")
     scored = materialise(scored.withColumn("_best", best).drop(*drop), "likelihoods")
