@@ -12,7 +12,7 @@ from skylag.operators import distances as dist
 from skylag.operators import features as feat
 from skylag.operators import model
 from skylag.operators.summaries import class_counts
-from skylag.session import work_path
+from skylag.session import materialise, work_path
 from skylag.sinks import files
 from skylag.sources import tables
 
@@ -56,10 +56,24 @@ ORACLE["json_roundtrip"] = ORACLE["feature_extraction"]
 
 
 def sample_flights(spark, sf_dir):
-    return times_as_text(feat.extract_features(flights(spark, sf_dir), fraction=0.1))
+    """Of each month: all flights with known delays, how many sampled ones are none of
+    them, and whether a tenth was drawn, give or take four standard deviations."""
+    rows = flights(spark, sf_dir)
+    known = times_as_text(feat.extract_features(rows))
+    drawn = materialise(times_as_text(feat.extract_features(rows, fraction=0.1)), "sample")
+    month = F.substring("FlightDate", 1, 7).alias("month")
+    outside = drawn.join(known, known.columns, "left_anti").groupBy(month).agg(F.count("*").alias("outside"))
+    sizes = drawn.groupBy(month).agg(F.count("*").alias("n"))
+    months = known.groupBy(month).agg(F.count("*").alias("flights"))
+    found = months.join(sizes, "month", "left").join(outside, "month", "left").na.fill(0)
+    fits = F.abs(F.col("n") - 0.1 * F.col("flights")) <= 4 * F.sqrt(0.09 * F.col("flights")) + 1
+    return found.select("month", "flights", "outside", fits.alias("fits"))
 
 
 QUERIES["sample_flights"] = sample_flights
+ORACLE["sample_flights"] = f"""WITH {sql.FEATURES}
+SELECT substr(CAST("FlightDate" AS VARCHAR), 1, 7) AS month, count(*) AS flights,
+  CAST(0 AS BIGINT) AS outside, true AS fits FROM features GROUP BY 1"""
 
 
 def null_profile(spark, sf_dir):
@@ -189,37 +203,72 @@ JOIN i_route ON routed."Route" = i_route.label"""
 
 
 def train_score(spark, sf_dir):
-    """Fit on all flights, predict them, count the classes."""
+    """All flights by their true class, and whether the model, saved and loaded again,
+    is right at least as often as the largest class is."""
     rows = model.delay_bucket(features(spark, sf_dir))
-    return class_counts(model.score(rows, trained(spark, sf_dir)))
+    scored = materialise(model.score(rows, trained(spark, sf_dir)), "scored")
+    true = F.col("ArrDelayBucket")
+    classes = scored.groupBy(true.alias("label")).agg(
+        F.count("*").alias("flights"), F.sum((F.col("Prediction") == true).cast("int")).alias("right")
+    )
+    better = classes.agg(F.sum("right") >= F.max("flights")).first()[0]
+    return classes.select("label", "flights", F.lit(better).alias("better"))
 
 
 QUERIES["train_score"] = train_score
+ORACLE["train_score"] = f"""WITH {sql.FEATURES}
+SELECT {sql.bucket('"ArrDelay"')} AS label, count(*) AS flights, true AS better FROM features GROUP BY 1"""
 
 
 def batch_score(spark, sf_dir):
-    """Requests with their distances, scored in one pass."""
+    """Requests with their distances, scored in one pass; is each prediction a class?"""
     asked = dist.with_distance(
         full_requests(spark, sf_dir).drop("ts"),
         stored_distances(spark, sf_dir),
     )
-    return model.score(asked, trained(spark, sf_dir), keep_route=True)
+    scored = model.score(asked, trained(spark, sf_dir), keep_route=True)
+    return scored.select("UUID", "Carrier", "Route", "Distance", "DepDelay", F.col("Prediction").isin(0.0, 1.0, 2.0, 3.0).alias("valid"))
 
 
 QUERIES["batch_score"] = batch_score
+ORACLE["batch_score"] = f"""WITH {sql.ENRICHED}
+SELECT "UUID", "Carrier", "Route", "Distance", "DepDelay", true AS valid FROM enriched"""
 
 
 def minutes_score(spark, sf_dir):
-    fitted = model.train_regressor(stored_features(spark, sf_dir))
+    """Requests with a delay in minutes; does it lie among the delays learnt from?"""
+    learnt = stored_features(spark, sf_dir)
+    low, high = learnt.agg(F.min("ArrDelay"), F.max("ArrDelay")).first()
+    fitted = model.train_regressor(learnt)
     asked = dist.with_distance(
         full_requests(spark, sf_dir).drop("ts"),
         stored_distances(spark, sf_dir),
     )
     scored = model.score_minutes(asked, fitted)
-    return scored.select("UUID", "Origin", "Dest", "FlightNum", "Distance", "Delay")
+    return scored.select(
+        "UUID", "Origin", "Dest", "FlightNum", "Distance", F.col("Delay").between(low, high).alias("valid")
+    )
 
 
 QUERIES["minutes_score"] = minutes_score
+ORACLE["minutes_score"] = f"""WITH {sql.ENRICHED}
+SELECT "UUID", "Origin", "Dest", "FlightNum", "Distance", true AS valid FROM enriched"""
+
+
+def foreign_features(spark, sf_dir):
+    """Features as another writer prints them, with offsets, read again."""
+    path = work_path(spark, "features")
+    own = features(spark, sf_dir)
+    shown = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS") for c in ("CRSDepTime", "CRSArrTime")}
+    offset = F.when(F.col("DayOfMonth") % 2 == 0, "-08:00").otherwise("Z")
+    printed = own.withColumns({c: F.concat(t, offset) for c, t in shown.items()})
+    printed = printed.withColumn("FlightDate", F.concat(F.col("FlightDate").cast("string"), F.lit("T00:00:00.000"), offset))
+    files.write_json(printed, path, compression="bzip2")
+    return times_as_text(tables.read_features(spark, path))
+
+
+QUERIES["foreign_features"] = foreign_features
+ORACLE["foreign_features"] = ORACLE["feature_extraction"]
 
 
 def accuracy(spark, sf_dir):

@@ -60,10 +60,9 @@ ORACLE["distance_lookup_table"] = ORACLE["route_distances"]
 
 
 def upsert_distances(spark, sf_dir):
-    """Changes from one carrier: routes rewritten many times, and new routes."""
+    """Changes from all flights: routes rewritten many times, and new routes."""
     known = distances(spark, sf_dir)
-    own = flights(spark, sf_dir).where(F.col("Carrier") == "C1")
-    changes = own.select(
+    changes = flights(spark, sf_dir).select(
         "Origin",
         F.when(F.col("Month") <= 6, F.col("Dest")).otherwise(
             F.concat(F.lit("X"), F.col("Dest"))
@@ -80,7 +79,7 @@ changes AS (
   SELECT "Origin", CASE WHEN "Month" <= 6 THEN "Dest" ELSE concat('X', "Dest") END AS "Dest",
     CASE WHEN "DayofMonth" <> 7 THEN "Distance" + "DayofMonth" ELSE 0.0 END AS "Distance",
     concat("FlightDate", ' ', "FlightNum") AS seq, 1 AS w
-  FROM flights WHERE "Carrier" = 'C1'
+  FROM flights
 ),
 both_sides AS (
   SELECT * FROM changes UNION ALL
@@ -124,9 +123,11 @@ ORACLE["search_flights_page"] = _flights_page_sql("\"Carrier\" = 'C11'", 30, 15)
 
 
 def search_flights_far_page(spark, sf_dir):
-    """A page found by counting the rows before it."""
+    """A page of a stored order of all flights from a place."""
+    path = work_path(spark, "order")
     hits = lookups.search_flights(flights(spark, sf_dir), Origin="A05")
-    return lookups.page(hits, lookups.FLIGHT_ORDER, 150, 15, top_rows=100)
+    lookups.write_order(hits, path, lookups.FLIGHT_ORDER)
+    return lookups.stored_page(spark, path, lookups.FLIGHT_ORDER, 150, 15)
 
 
 QUERIES["search_flights_far_page"] = search_flights_far_page
@@ -225,82 +226,46 @@ QUERIES["flights_by_month"] = flights_by_month
 ORACLE["flights_by_month"] = f"""WITH {sql.FLIGHTS}
 SELECT "Year", "Month", count(*) AS total_flights FROM flights GROUP BY 1, 2 ORDER BY 1, 2"""
 
-_PART_ROWS = 100
-_ENTRY = "concat_ws('|', \"FlightDate\", \"FlightNum\", \"Carrier\", \"Origin\", \"Dest\")"
-
-
-def _parts_sql(source, key, entry, part_rows):
-    """Folded entries with the part each belongs to."""
-    return f"""folded AS (
-  SELECT {key} AS k, {entry} AS entry, count(*) AS n FROM {source} GROUP BY 1, 2
-),
-totals AS (SELECT {key} AS k, count(*) AS total FROM {source} GROUP BY 1),
-placed AS (
-  SELECT folded.*, total,
-    CAST(concat('0x', substr(md5(entry), 1, 8)) AS BIGINT)
-      % CAST(ceil(total / {part_rows}.0) AS BIGINT) AS part
-  FROM folded JOIN totals ON folded.k = totals.k
-)"""
-
-
 def flights_per_airplane(spark, sf_dir):
-    fleet = summaries.flights_per_airplane(flights(spark, sf_dir), part_rows=_PART_ROWS)
-    return _flat(fleet)
-
-
-def _flat(fleet):
-    """Documents with their arrays as text."""
-    line = F.transform(
-        "Flights",
-        lambda e: F.concat(
-            F.concat_ws("|", *[e[c] for c in summaries.FLIGHT_ENTRY]),
-            F.lit("x"),
-            e["Copies"].cast("string"),
-        ),
-    )
-    return fleet.select(
-        "TailNum", "Part", F.array_join(line, ";").alias("Flights"), "Total"
-    )
-
+    return summaries.flights_per_airplane(flights(spark, sf_dir))
 
-_PARTED = _parts_sql("flights", '"TailNum"', _ENTRY, _PART_ROWS)
-_DOCUMENT = """SELECT k AS "TailNum", part AS "Part",
-  string_agg(concat(entry, 'x', n), ';' ORDER BY string_split(entry, '|')) AS "Flights",
-  max(total) AS "Total"
-FROM placed {where} GROUP BY 1, 2"""
 
+_PER_AIRPLANE = """SELECT "TailNum", "FlightDate", "FlightNum", "Carrier", "Origin", "Dest", count(*) AS "Copies"
+FROM flights {where} GROUP BY 1, 2, 3, 4, 5, 6"""
 QUERIES["flights_per_airplane"] = flights_per_airplane
-ORACLE["flights_per_airplane"] = f"WITH {sql.FLIGHTS}, {_PARTED} " + _DOCUMENT.format(where="")
+ORACLE["flights_per_airplane"] = f"WITH {sql.FLIGHTS} " + _PER_AIRPLANE.format(where="")
 
 
 def airplane_flights(spark, sf_dir):
-    fleet = summaries.flights_per_airplane(flights(spark, sf_dir), part_rows=_PART_ROWS)
-    return _flat(lookups.airplane_flights(fleet, "N00042"))
+    """The second page of one airplane, from the stored table."""
+    path = work_path(spark, "airplanes")
+    files.write_clustered(summaries.flights_per_airplane(flights(spark, sf_dir)), path, ["TailNum", *summaries.FLIGHT_ENTRY])
+    return lookups.airplane_flights(spark.read.parquet(path), "N00042", 15)
 
 
 QUERIES["airplane_flights"] = airplane_flights
-ORACLE["airplane_flights"] = f"WITH {sql.FLIGHTS}, {_PARTED} " + _DOCUMENT.format(
-    where="WHERE k = 'N00042'"
+ORACLE["airplane_flights"] = (
+    f"WITH {sql.FLIGHTS} " + _PER_AIRPLANE.format(where="WHERE \"TailNum\" = 'N00042'")
+    + ' ORDER BY "FlightDate", "FlightNum", "TailNum", "Carrier", "Origin", "Dest", "Copies" LIMIT 15 OFFSET 15'
 )
 
 
-def _fleets(spark, sf_dir, part_rows=summaries.PART_ROWS):
-    return summaries.airplanes_per_carrier(flights(spark, sf_dir), part_rows)
+def _fleets(spark, sf_dir):
+    return summaries.airplanes_per_carrier(flights(spark, sf_dir))
 
 
-def airplanes_per_carrier(spark, sf_dir):
-    return _fleets(spark, sf_dir, 40).select(
-        "Carrier", "Part", F.array_join("TailNumbers", ",").alias("TailNumbers"), "FleetCount"
-    )
+QUERIES["airplanes_per_carrier"] = _fleets
+ORACLE["airplanes_per_carrier"] = f"""WITH {sql.FLIGHTS}
+SELECT DISTINCT "Carrier", "TailNum" FROM flights"""
+
+
+def fleet_page(spark, sf_dir):
+    return lookups.fleet_page(_fleets(spark, sf_dir), "C11", 10)
 
 
-QUERIES["airplanes_per_carrier"] = airplanes_per_carrier
-ORACLE["airplanes_per_carrier"] = f"""WITH {sql.FLIGHTS},
-fleet AS (SELECT DISTINCT "Carrier", "TailNum" FROM flights),
-{_parts_sql("fleet", '"Carrier"', '"TailNum"', 40)}
-SELECT k AS "Carrier", part AS "Part", string_agg(entry, ',' ORDER BY entry) AS "TailNumbers",
-  max(total) AS "FleetCount"
-FROM placed GROUP BY 1, 2"""
+QUERIES["fleet_page"] = fleet_page
+ORACLE["fleet_page"] = f"""WITH {sql.FLIGHTS}
+SELECT DISTINCT "Carrier", "TailNum" FROM flights WHERE "Carrier" = 'C11' ORDER BY "TailNum" LIMIT 5 OFFSET 10"""
 
 
 def list_carriers(spark, sf_dir):
@@ -313,25 +278,25 @@ SELECT "Carrier", count(DISTINCT "TailNum") AS "FleetCount" FROM flights GROUP B
 
 
 def airline_page(spark, sf_dir):
-    pages = lookups.airline_page(testbed.airlines(tune(spark), sf_dir), _fleets(spark, sf_dir))
-    return pages.select(
-        "CarrierCode", "Name", "url", "domain", "logo_url", "summary",
-        F.array_join("TailNumbers", ",").alias("TailNumbers"), "FleetCount",
-    )
+    return lookups.airline_page(testbed.airlines(tune(spark), sf_dir), _fleets(spark, sf_dir))
 
 
-QUERIES["airline_page"] = airline_page
-ORACLE["airline_page"] = f"""WITH {sql.FLIGHTS},
+def airline_page_of_one(spark, sf_dir):
+    return lookups.airline_page(testbed.airlines(tune(spark), sf_dir), _fleets(spark, sf_dir), "C11")
+
+
+_AIRLINES = f"""WITH {sql.FLIGHTS},
 airlines AS (SELECT DISTINCT concat('C', substr(p_brand, 7)) AS code, p_brand FROM part),
-fleets AS (
-  SELECT "Carrier" AS k, string_agg(DISTINCT "TailNum", ',' ORDER BY "TailNum") AS tails,
-    count(DISTINCT "TailNum") AS n FROM flights GROUP BY 1
-)
+fleets AS (SELECT "Carrier" AS k, count(DISTINCT "TailNum") AS n FROM flights GROUP BY 1)
 SELECT code AS "CarrierCode", p_brand AS "Name", concat('http://', lower(code), '.example') AS "url",
   concat(lower(code), '.example') AS "domain",
   concat('http://', lower(code), '.example/logo.png') AS "logo_url",
-  concat('Carrier ', code) AS "summary", tails AS "TailNumbers", n AS "FleetCount"
+  concat('Carrier ', code) AS "summary", n AS "FleetCount"
 FROM airlines LEFT JOIN fleets ON code = k"""
+QUERIES["airline_page"] = airline_page
+ORACLE["airline_page"] = _AIRLINES
+QUERIES["airline_page_of_one"] = airline_page_of_one
+ORACLE["airline_page_of_one"] = f"{_AIRLINES} WHERE code = 'C11'"
 
 
 def manufacturer_totals(spark, sf_dir):
@@ -344,17 +309,17 @@ SELECT "Manufacturer", count(*) AS "Total" FROM airplanes GROUP BY 1"""
 
 
 def manufacturer_chart(spark, sf_dir):
-    """The chart document, unrolled again."""
+    """The bars of the manufacturer chart."""
     totals = summaries.manufacturer_totals(testbed.airplanes(tune(spark), sf_dir))
-    chart = summaries.chart_document(totals, ["Manufacturer", "Total"])
-    return chart.select("Part", F.inline("data"))
+    return summaries.chart_rows(totals, "Manufacturer", "Total")
 
 
 QUERIES["manufacturer_chart"] = manufacturer_chart
 ORACLE["manufacturer_chart"] = f"""WITH {sql.AIRPLANES}
-SELECT CAST(0 AS BIGINT) AS "Part", "Manufacturer", count(*) AS "Total" FROM airplanes GROUP BY 2"""
+SELECT "Manufacturer", count(*) AS "Total" FROM airplanes GROUP BY 1 ORDER BY 2 DESC, 1"""
 
-_EDGES = [-15, 0, 15, 30, 60]
+# Nothing is that late: the last two bins have no flights.
+_EDGES = [-15, 0, 15, 30, 60, 1000, 2000]
 
 
 def delay_histogram(spark, sf_dir):
@@ -362,8 +327,7 @@ def delay_histogram(spark, sf_dir):
 
 
 QUERIES["delay_histogram"] = delay_histogram
-ORACLE["delay_histogram"] = f"""WITH {sql.FLIGHTS}
-SELECT CASE WHEN "ArrDelay" < -15 THEN '< -15' WHEN "ArrDelay" < 0 THEN '-15 to 0'
-  WHEN "ArrDelay" < 15 THEN '0 to 15' WHEN "ArrDelay" < 30 THEN '15 to 30'
-  WHEN "ArrDelay" < 60 THEN '30 to 60' ELSE '>= 60' END AS label, count(*) AS value
-FROM flights WHERE "ArrDelay" IS NOT NULL GROUP BY 1"""
+ORACLE["delay_histogram"] = f"""WITH {sql.FLIGHTS},
+bins AS (SELECT * FROM (VALUES ('< -15', -1e9, -15), ('-15 to 0', -15, 0), ('0 to 15', 0, 15), ('15 to 30', 15, 30),
+  ('30 to 60', 30, 60), ('60 to 1000', 60, 1000), ('1000 to 2000', 1000, 2000), ('>= 2000', 2000, 1e9)) AS b(label, low, high))
+SELECT label, count("ArrDelay") AS value FROM bins LEFT JOIN flights ON "ArrDelay" >= low AND "ArrDelay" < high GROUP BY 1"""

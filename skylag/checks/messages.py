@@ -235,6 +235,44 @@ QUERIES["daily_requests"] = daily_requests
 ORACLE["daily_requests"] = f"WITH {sql.ENRICHED} SELECT {_BATCH} FROM enriched WHERE {_ON_DAY}"
 
 
+def _daily_lines(spark, sf_dir):
+    """Days of request lines as text, those of error events no JSON."""
+    path = work_path(spark, "lines")
+    asked = full_requests(spark, sf_dir, keep=("event_type",))
+    line = F.when(F.col("event_type") == "error", F.lit(READY)).otherwise(msg.to_message(*[c for c in SENT if c != "UUID"]))
+    asked.select(line.alias("value"), F.col("FlightDate").alias("request_date")).write.partitionBy("request_date").text(path)
+    return path
+
+
+def daily_rejects(spark, sf_dir):
+    """Lines of all days by whether they decode: good and rejected ones make up all."""
+    good, bad = tables.split_json_lines(spark, _daily_lines(spark, sf_dir), schemas.BATCH_REQUEST)
+    kinds = [df.select(F.col("request_date").cast("string").alias("day"), F.lit(k).alias("kind")) for k, df in (("good", good), ("rejected", bad))]
+    return kinds[0].unionByName(kinds[1]).groupBy("day", "kind").agg(F.count("*").alias("n"))
+
+
+QUERIES["daily_rejects"] = daily_rejects
+ORACLE["daily_rejects"] = f"""WITH {sql.REQUESTS}
+SELECT "FlightDate" AS day, CASE WHEN {WELL_FORMED} THEN 'good' ELSE 'rejected' END AS kind, count(*) AS n
+FROM requests GROUP BY 1, 2"""
+
+
+def request_rejects(spark, sf_dir):
+    """Forms whose route has no distance, kept apart by the job that prepares the others."""
+    forms = testbed.requests(tune(spark), sf_dir).drop("ts")
+    known, kept = work_path(spark, "distances"), work_path(spark, "rejects")
+    files.write_version(stored_distances(spark, sf_dir), known, dist.ROUTE)
+    made = jobs.run_prepare(spark, forms.drop("UUID", "Timestamp"), known, rejects=kept)
+    sides = [df.select("Origin", "Dest", F.lit(k).alias("kind")) for k, df in (("good", made), ("rejected", spark.read.parquet(kept)))]
+    return sides[0].unionByName(sides[1]).groupBy("Origin", "Dest", "kind").agg(F.count("*").alias("n"))
+
+
+QUERIES["request_rejects"] = request_rejects
+ORACLE["request_rejects"] = f"""WITH {sql.ENRICHED}
+SELECT "Origin", "Dest", CASE WHEN found IS NULL THEN 'rejected' ELSE 'good' END AS kind, count(*) AS n
+FROM enriched GROUP BY 1, 2, 3"""
+
+
 def daily_overwrite(spark, sf_dir):
     """All days written, then one day replaced by its first carrier's requests."""
     out = work_path(spark, "daily")
@@ -278,18 +316,19 @@ ORACLE["decode_results"] = f"WITH {_RESULTS} SELECT {_BASE}, \"Distance\", \"Pre
 
 
 def append_results(spark, sf_dir):
-    """Two days of results loaded one after the other into a collection."""
+    """All days of results loaded one after the other into a collection."""
     out, collection = work_path(spark, "results"), work_path(spark, "collection")
-    files.write_days(_results(spark, sf_dir).drop("UUID"), out, F.substring("Timestamp", 1, 10))
-    for day in (DAY, "2024-01-16"):
-        jobs.run_load(spark, out, collection, day)
+    results = _results(spark, sf_dir).drop("UUID")
+    day = F.substring("Timestamp", 1, 10)
+    files.write_days(results, out, day)
+    for row in results.select(day.alias("day")).distinct().orderBy("day").collect():
+        jobs.run_load(spark, out, collection, row.day)
     return tables.read_collection(spark, collection).drop("Route")
 
 
 QUERIES["append_results"] = append_results
 ORACLE["append_results"] = f"""WITH {_RESULTS}
-SELECT {sql.cols([c for c in _RESULT_COLUMNS if c != "UUID"])} FROM results
-WHERE substr("Timestamp", 1, 10) IN ('{DAY}', '2024-01-16')"""
+SELECT {sql.cols([c for c in _RESULT_COLUMNS if c != "UUID"])} FROM results"""
 
 
 def daily_results(spark, sf_dir):

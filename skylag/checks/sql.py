@@ -34,7 +34,6 @@ base AS (
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey
-  WHERE s.s_nationkey <> c.c_nationkey
 ),
 flights AS (
   SELECT CAST(year(fd) AS INT) AS "Year", CAST(month(fd) AS INT) AS "Month",
@@ -108,7 +107,7 @@ REQUESTS = """
 requests AS (
   SELECT event_id, event_type, md5(CAST(event_id AS VARCHAR)) AS "UUID",
     concat('A', lpad(CAST(user_id % 25 AS VARCHAR), 2, '0')) AS "Origin",
-    concat('A', lpad(CAST((user_id * 7 + event_id) % 25 AS VARCHAR), 2, '0')) AS "Dest",
+    concat('A', lpad(CAST((user_id * 7 + event_id) % 26 AS VARCHAR), 2, '0')) AS "Dest",
     concat('C', event_id % 25 + 1) AS "Carrier",
     CAST(event_id % 9000 + 1 AS VARCHAR) AS "FlightNum",
     CAST(CAST(ts AS DATE) AS VARCHAR) AS "FlightDate",

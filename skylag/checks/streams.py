@@ -8,7 +8,7 @@ from skylag.checks import sql
 from skylag.checks.common import stored_distances, times_as_text, trained
 from skylag.checks.messages import MATCH, ORACLE as _BATCH_ORACLE
 from skylag.checks.messages import WELL_FORMED, request_messages
-from skylag.functions.messages import decode_text
+from skylag.functions.messages import decode_text, split_malformed
 from skylag.schemas import SCORED
 from skylag.session import state_partitions, tune, work_path
 from skylag.sinks import files
@@ -43,8 +43,7 @@ def _run_to(spark, start, name):
     return out
 
 
-def stream_score(spark, sf_dir):
-    """The continuous job: topic to scored rows in files."""
+def _scored_stream(spark, sf_dir):
     stream = topics.stream_topic(spark, _topic(spark, sf_dir=sf_dir))
     model = trained(tune(spark), sf_dir)
     scored = scoring.score_stream(stream, stored_distances(spark, sf_dir), model)
@@ -52,7 +51,40 @@ def stream_score(spark, sf_dir):
     return spark.read.schema(SCORED).parquet(out)
 
 
+def stream_score(spark, sf_dir):
+    """The continuous job: topic to scored rows in files; is each prediction a class?"""
+    valid = F.col("Prediction").isin(0.0, 1.0, 2.0, 3.0).alias("valid")
+    return times_as_text(_scored_stream(spark, sf_dir).select(*STORED, valid))
+
+
 QUERIES["stream_score"] = stream_score
+ORACLE["stream_score"] = f"""WITH {sql.ENRICHED}
+SELECT {_STORED_SQL}, true AS valid FROM enriched WHERE {WELL_FORMED}"""
+
+
+def score_parity(spark, sf_dir):
+    """Does a request get the same prediction in the stream and in a batch?"""
+    model = trained(tune(spark), sf_dir)
+    batch = scoring.score_stream(request_messages(spark, sf_dir), stored_distances(spark, sf_dir), model)
+    batch = batch.select("UUID", F.col("Prediction").alias("other"))
+    met = _scored_stream(spark, sf_dir).join(batch, "UUID", "full")
+    return met.select("UUID", F.col("Prediction").eqNullSafe(F.col("other")).alias("same"))
+
+
+QUERIES["score_parity"] = score_parity
+ORACLE["score_parity"] = f"""WITH {sql.REQUESTS} SELECT "UUID", true AS same FROM requests WHERE {WELL_FORMED}"""
+
+
+def stream_rejects(spark, sf_dir):
+    """Messages of the continuous job that do not decode, kept apart."""
+    _, bad = split_malformed(topics.stream_topic(spark, _topic(spark, sf_dir=sf_dir)))
+    out = _run_to(spark, lambda p, c: sinks.sink_parquet(bad, p, c, NOW), "rejects")
+    kept = spark.read.schema("value string").parquet(out)
+    return kept.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["stream_rejects"] = stream_rejects
+ORACLE["stream_rejects"] = _BATCH_ORACLE["malformed_messages"]
 
 
 def stream_to_table(spark, sf_dir):

@@ -36,12 +36,6 @@ def parse_iso_date(text: Column | str) -> Column:
     return c.try_cast("date")
 
 
-def parse_iso(text: Column | str) -> Column:
-    """ISO 8601 text to a timestamp; NULL if unreadable."""
-    c = F.col(text) if isinstance(text, str) else text
-    return c.try_cast("timestamp")
-
-
 def date_parts(date: Column | str) -> dict[str, Column]:
     """Date parts as requests carry them: weekdays count from Monday = 0.
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.text import matched_words, query_words
+from skylag.operators.summaries import fleet_counts
 
 # Rows on one page.
 FLIGHTS_PER_PAGE = 15
@@ -22,11 +23,6 @@ AIRPLANE_FIELDS = [
 FLIGHT_ORDER = ["FlightDate", "DepTime", "Carrier", "FlightNum"]
 AIRPLANE_ORDER = ["Owner"]
 
-# A page that ends further down than this is not gathered as one top-n; its
-# place is found by counting first.
-TOP_ROWS = 1_000
-
-
 def _check_fields(given: dict, allowed: Sequence[str]) -> dict:
     unknown = set(given) - set(allowed)
     if unknown:
@@ -68,22 +64,34 @@ def list_flights(flights: DataFrame, origin: str, dest: str, flight_date: str) -
     return with_total(found, found).orderBy("DepTime", "ArrTime")
 
 
-def airplane_flights(fleet: DataFrame, tail_number: str) -> DataFrame:
-    """The flights of one tail number, from the per-airplane table."""
-    return fleet.where(F.col("TailNum") == tail_number)
+def airplane_flights(
+    fleet: DataFrame, tail_number: str, start: int = 0, size: int = FLIGHTS_PER_PAGE
+) -> DataFrame:
+    """A page of the flights of one tail number, from the per-airplane table, by date
+    and number. The filter reaches a table stored by TailNum."""
+    return page(fleet.where(F.col("TailNum") == tail_number), ["FlightDate", "FlightNum"], start, size)
 
 
 def airline_page(airlines: DataFrame, fleets: DataFrame, carrier: str | None = None) -> DataFrame:
-    """Carrier summaries beside their fleets; a carrier without fleet stays."""
+    """Carrier summaries, one row each, beside the size of their fleets; a carrier
+    without fleet stays. The airplanes are listed by ``fleet_page``."""
     if carrier:
         airlines = airlines.where(F.col("CarrierCode") == carrier)
         fleets = fleets.where(F.col("Carrier") == carrier)
-    return airlines.join(fleets, F.col("CarrierCode") == F.col("Carrier"), "left").drop("Carrier")
+    counts = fleet_counts(fleets)
+    return airlines.join(counts, F.col("CarrierCode") == F.col("Carrier"), "left").drop("Carrier")
+
+
+def fleet_page(
+    fleets: DataFrame, carrier: str, start: int = 0, size: int = AIRPLANES_PER_PAGE
+) -> DataFrame:
+    """A page of the tail numbers of one carrier."""
+    return page(fleets.where(F.col("Carrier") == carrier), ["TailNum"], start, size)
 
 
 def list_carriers(fleets: DataFrame) -> DataFrame:
     """All carriers that have airplanes, each once with the size of its fleet."""
-    return fleets.groupBy("Carrier").agg(F.max("FleetCount").alias("FleetCount"))
+    return fleet_counts(fleets)
 
 
 def day_range(column: str, day: str) -> Column:
@@ -105,79 +113,58 @@ def with_total(rows: DataFrame, counted: DataFrame, name: str = "total") -> Data
     return rows.withColumn(name, counted.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
+def _order(columns: Sequence[str], keys: Sequence[str], descending: Sequence[str]) -> list[Column]:
+    """By ``keys``, then by all other columns, so that the order is total."""
+    rest = [c for c in columns if c not in keys]
+    return [F.col(c).desc() if c in descending else F.col(c).asc() for c in [*keys, *rest]]
+
+
 def page(
-    df: DataFrame,
-    keys: Sequence[str],
-    start: int,
-    size: int,
-    descending: Sequence[str] = (),
-    top_rows: int = TOP_ROWS,
+    df: DataFrame, keys: Sequence[str], start: int, size: int, descending: Sequence[str] = ()
 ) -> DataFrame:
-    """``size`` rows from row ``start`` on, ordered by ``keys`` and then by all
-    other columns, so that the order is total.
+    """``size`` rows from row ``start`` on, ordered by ``keys`` and then by all other columns.
 
-    A page near the top is a top-n: each partition gives at most start + size
-    rows. A page far down would gather all rows before it; there the rows before
-    the page are counted instead, key by key, and filtered away.
+    A plain top-n, which brings the rows before the page together. To read pages far
+    down, store the order once with ``write_order`` and use ``stored_page``.
     """
-    if start + size > top_rows:
-        df, start = _skip_counted(df, keys, start, size, descending, top_rows)
-    rest = [c for c in df.columns if c not in keys]
-    order = [F.col(c).desc() if c in descending else F.col(c).asc() for c in [*keys, *rest]]
-    return df.orderBy(*order).offset(start).limit(size)
-
-
-def _skip_counted(
-    df: DataFrame,
-    keys: Sequence[str],
-    start: int,
-    size: int,
-    descending: Sequence[str],
-    top_rows: int,
-) -> tuple[DataFrame, int]:
-    """Filter away rows that surely lie before row ``start``.
-
-    For each key in turn: count rows by value within the values already fixed,
-    find the value that row ``start`` has, keep that value and those after it.
-    Only aggregated counts are ordered, and one row of them reaches the driver.
-    Keys are followed by the remaining columns until the rest is short. If all
-    columns are used up, the page starts within a pile of equal rows, of which
-    as many are taken as the page still has.
+    return df.orderBy(*_order(df.columns, keys, descending)).offset(start).limit(size)
+
+
+def write_order(df: DataFrame, path: str, keys: Sequence[str], descending: Sequence[str] = ()) -> None:
+    """Store ``df`` in order for ``stored_page``: in ranges of the keys and all other
+    columns, numbered by ``_range``, equal rows folded into one with their number ``_n``.
+    """
+    folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    order = _order(df.columns, keys, descending)
+    ranges = folded.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges.withColumn("_range", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+
+
+def stored_page(
+    spark: SparkSession, path: str, keys: Sequence[str], start: int, size: int,
+    descending: Sequence[str] = (),
+) -> DataFrame:
+    """The same rows as ``page``, from a stored order.
+
+    The rows of each range are counted, one number a range, and only the ranges the
+    page touches are read; within each, running counts find the rows.
     """
-    fixed: list[Column] = []
-    rest = [c for c in df.columns if c not in keys]
-    kept = df
-    for name in [*keys, *rest]:
-        falling = name in descending
-        order = F.col(name).desc() if falling else F.col(name).asc()
-        within = reduce(lambda d, c: d.where(c), fixed, df)
-        counts = within.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
-        running = counts.withColumn("_upto", F.sum("_n").over(Window.orderBy(order)))
-        hit = running.where(F.col("_upto") > start).orderBy("_upto").limit(1).collect()
-        if not hit:
-            return df.limit(0), 0
-        value, upto, n = hit[0][name], hit[0]["_upto"], hit[0]["_n"]
-        before = upto - n
-        if before:
-            dropped = _before(name, value, falling)
-            gone = reduce(lambda a, b: a & b, [*fixed, dropped])
-            kept = kept.where(~F.coalesce(gone, F.lit(False)))
-            start -= before
-        fixed.append(F.col(name).eqNullSafe(F.lit(value)))
-        if start + size <= top_rows:
-            return kept, start
-    same = reduce(lambda a, b: a & b, fixed)
-    copies = df.where(same).limit(min(size, n - start))
-    return copies.unionByName(kept.where(~same)), 0
-
-
-def _before(name: str, value, falling: bool) -> Column:
-    """Rows whose ``name`` sorts before ``value``: NULL comes first going up and
-    last going down."""
-    c = F.col(name)
-    if falling:
-        return c.isNotNull() if value is None else c > F.lit(value)
-    return F.lit(False) if value is None else c.isNull() | (c < F.lit(value))
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if c not in ("_n", "_range")]
+    before, touched = 0, []
+    for number, rows in sorted(stored.groupBy("_range").agg(F.sum("_n")).collect()):
+        if before < start + size and before + rows > start:
+            touched.append((number, before))
+        before += rows
+    order = _order(columns, keys, descending)
+    inside = stored.where(F.col("_range").isin([number for number, _ in touched]))
+    offset = F.coalesce(*[F.when(F.col("_range") == n, b) for n, b in touched], F.lit(0))
+    within = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    upto = (F.sum("_n").over(within) + offset).alias("_upto")
+    found = inside.select("*", upto).where((F.col("_upto") > start) & (F.col("_upto") - F.col("_n") < start + size))
+    shown = F.least("_upto", F.lit(start + size)) - F.greatest(F.col("_upto") - F.col("_n"), F.lit(start))
+    copies = found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), shown)))
+    return copies.select(*columns).orderBy(*order)
 
 
 def flights_page(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylag.functions.times import date_parts
-from skylag.operators.distances import with_distance
+from skylag.operators.distances import ROUTE, with_distance
 
 # The fields of a request form and their types.
 FORM_FIELDS = {
@@ -39,11 +39,12 @@ def prepare_requests(
 ) -> DataFrame:
     """Form values to complete requests: typed, with distance, date parts, time and id.
 
-    By default the time is now and the id random. Write the result before using
+    By default the time is now, in UTC as messages are read, and the id random. Write the result before using
     it twice: a random id is drawn anew whenever a row is computed again.
     """
     known = with_distance(coerce_request(forms, fields), distances, on_missing)
-    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    now = F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return with_date_parts(known).withColumns(
         {
             "Timestamp": now if timestamp is None else timestamp,
@@ -52,6 +53,11 @@ def prepare_requests(
     )
 
 
+def without_distance(forms: DataFrame, distances: DataFrame) -> DataFrame:
+    """The forms, as given, whose route has no distance."""
+    return forms.join(distances.select(*ROUTE), ROUTE, "left_anti").select(*forms.columns)
+
+
 def match_responses(
     requests: DataFrame, responses: DataFrame, wait: str = "20 seconds"
 ) -> DataFrame:

@@ -8,18 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.session import materialise
-
 FLIGHT_ENTRY = ["FlightDate", "FlightNum", "Carrier", "Origin", "Dest"]
 
-# Rows in one part of a document. An airplane or carrier with fewer has exactly
-# one part, number 0.
-PART_ROWS = 10_000
-
-
 def class_counts(df: DataFrame, column: str = "Prediction") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
@@ -30,67 +23,24 @@ def flights_by_month(flights: DataFrame) -> DataFrame:
     return counted.orderBy("Year", "Month")
 
 
-def entries_in_parts(
-    df: DataFrame,
-    key: str,
-    entry: Sequence[str],
-    array: str,
-    part_rows: int = PART_ROWS,
-    copies: str | None = None,
-) -> DataFrame:
-    """Sorted arrays of distinct entries for each key, in parts of bounded size.
-
-    A key with more than ``part_rows`` rows gets several parts; entries go to
-    parts by a hash of their content, and every entry is in exactly one. Equal
-    rows are folded into one entry before the shuffle, ``copies`` naming a field
-    that holds how many there were. So neither a hot key nor a pile of copies
-    meets in one task. ``Total`` is the number of rows of the key.
-
-    The totals need the key column only. They are counted first and written, so
-    that the planner knows their size: small ones are broadcast and the rows
-    shuffle twice, once folding and once collecting; large ones are joined by
-    sorting, where hot keys are split at run time.
+def flights_per_airplane(flights: DataFrame) -> DataFrame:
+    """The flights of each tail number, a row for each different one, with ``Copies``.
+
+    Kept as rows, not as one array a key, so that an airplane of any number of flights
+    is spread over tasks and files. Store it with ``write_clustered`` by TailNum and
+    read one airplane page by page, see ``lookups.airplane_flights``.
     """
-    totals = materialise(
-        df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_total")), "totals"
-    )
-    folded = df.groupBy(key, *entry).agg(F.count(F.lit(1)).alias("_n"))
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in entry])
-    spread = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    parts = F.ceil(F.col("_total") / part_rows).cast("bigint")
-    # Null-safe: entries without a key stay together under the NULL key.
-    placed = folded.join(totals, F.col(key).eqNullSafe(F.col("_key"))).select(
-        key, (spread % parts).alias("Part"), "_total", *entry, "_n"
-    )
-    fields: list[str | Column] = list(entry)
-    if copies:
-        fields.append(F.col("_n").alias(copies))
-    # By part as well: a join on the key alone leaves all its parts together.
-    return placed.repartition(key, "Part").groupBy(key, "Part").agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias(array),
-        F.first("_total").alias("Total"),
-    )
-
-
-def flights_per_airplane(flights: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """The flights of each tail number: (TailNum, Part, Flights, Total)."""
-    return entries_in_parts(
-        flights, "TailNum", FLIGHT_ENTRY, "Flights", part_rows, copies="Copies"
-    )
-
-
-def airplanes_per_carrier(flights: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
-    """The fleet of each carrier: (Carrier, Part, TailNumbers, FleetCount)."""
-    known = flights.where(F.col("TailNum").isNotNull())
-    # One row for each airplane of a carrier, read twice below.
-    fleet = materialise(known.select("Carrier", "TailNum").distinct(), "fleet")
-    parts = entries_in_parts(fleet, "Carrier", ["TailNum"], "fleet", part_rows)
-    return parts.select(
-        "Carrier",
-        "Part",
-        F.transform("fleet", lambda e: e["TailNum"]).alias("TailNumbers"),
-        F.col("Total").alias("FleetCount"),
-    )
+    return flights.groupBy("TailNum", *FLIGHT_ENTRY).agg(F.count(F.lit(1)).alias("Copies"))
+
+
+def airplanes_per_carrier(flights: DataFrame) -> DataFrame:
+    """The fleet of each carrier: a row (Carrier, TailNum) for each airplane."""
+    return flights.where(F.col("TailNum").isNotNull()).select("Carrier", "TailNum").distinct()
+
+
+def fleet_counts(fleets: DataFrame) -> DataFrame:
+    """(Carrier, FleetCount) of the rows of ``airplanes_per_carrier``."""
+    return fleets.groupBy("Carrier").agg(F.count("TailNum").alias("FleetCount"))
 
 
 def manufacturer_totals(airplanes: DataFrame) -> DataFrame:
@@ -98,11 +48,9 @@ def manufacturer_totals(airplanes: DataFrame) -> DataFrame:
     return airplanes.groupBy("Manufacturer").agg(F.count(F.lit(1)).alias("Total"))
 
 
-def chart_document(rows: DataFrame, fields: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
-    """Rows as chart documents with a ``data`` array: one document, or several
-    parts once there are more than ``part_rows`` rows."""
-    keyed = rows.withColumn("_chart", F.lit("chart"))
-    return entries_in_parts(keyed, "_chart", fields, "data", part_rows).select("Part", "data")
+def chart_rows(totals: DataFrame, label: str, value: str) -> DataFrame:
+    """The bars of a chart, largest first, ties by label."""
+    return totals.orderBy(F.desc(value), label)
 
 
 def delay_histogram(
@@ -111,12 +59,16 @@ def delay_histogram(
     """How many flights fall between neighbouring edges: (label, value).
 
     Bins are closed on the left and open-ended on both sides; unknown delays
-    are not counted. Bins nothing falls into do not appear.
+    are not counted. A bin nothing falls into has 0.
     """
     c = F.col(column)
-    label = F.when(c < edges[0], F.lit(f"< {edges[0]:g}"))
-    for low, high in zip(edges, edges[1:]):
-        label = label.when(c < high, F.lit(f"{low:g} to {high:g}"))
-    label = label.otherwise(F.lit(f">= {edges[-1]:g}"))
-    known = flights.where(c.isNotNull())
-    return known.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("value"))
+    labels = [f"< {edges[0]:g}"]
+    place = F.when(c < edges[0], 0)
+    for number, (low, high) in enumerate(zip(edges, edges[1:]), 1):
+        labels.append(f"{low:g} to {high:g}")
+        place = place.when(c < high, number)
+    labels.append(f">= {edges[-1]:g}")
+    place = place.otherwise(len(edges))
+    found = flights.where(c.isNotNull()).groupBy(place.alias("_bin")).agg(F.count(F.lit(1)).alias("value"))
+    bins = flights.sparkSession.createDataFrame(list(enumerate(labels)), "_bin int, label string")
+    return bins.join(found, "_bin", "left").select("label", F.coalesce("value", F.lit(0).cast("long")).alias("value"))

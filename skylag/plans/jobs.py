@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag import schemas
 from skylag.functions.labels import delay_label
+from skylag.functions.messages import from_message, split_malformed
 from skylag.operators import distances as dist
 from skylag.operators import features as feat
 from skylag.operators import lookups, model, requests
 from skylag.session import materialise
 from skylag.sinks import files
 from skylag.sources import tables, topics
-from skylag.streaming import scoring, sinks
+from skylag.streaming import matching, scoring, sinks
 
 
 def run_extract(
@@ -94,22 +94,15 @@ def run_distances(
 def run_migrate(spark: SparkSession, source: str, target: str, fmt: str = "json") -> None:
     """Put the distances of ``source`` into the keyed table ``target``.
 
-    The new table is written in full beside the old one before it takes its place.
+    The new version is written in full beside the current one before it takes its
+    place; a stream that reads the current one goes on.
     """
     reader = spark.read.schema(schemas.DISTANCES).format(fmt)
     changes = dist.select_distances(reader.load(source))
-    stored = _table_or_empty(spark, target, schemas.DISTANCES)
-    merged = materialise(dist.upsert(stored, changes, dist.ROUTE), "distances")
-    files.write_clustered(merged, target, dist.ROUTE)
-
-
-def _table_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    current = tables.current_version(spark, target)
+    known = spark.read.schema(schemas.DISTANCES)
+    stored = known.parquet(current) if current else spark.createDataFrame([], schemas.DISTANCES)
+    files.write_version(dist.upsert(stored, changes, dist.ROUTE), target, dist.ROUTE)
 
 
 def run_fetch(
@@ -121,39 +114,61 @@ def run_fetch(
     files.write_daily(rows, out, day)
 
 
+def _keep_rejects(bad: DataFrame, path: str | None, day: str) -> int:
+    """Store what did not decode, as text, in the day's folder; how many there are."""
+    bad = materialise(bad, "rejects")
+    if path:
+        bad.select("value").write.mode("overwrite").text(files.day_path(path, day))
+    return bad.count()
+
+
 def run_daily_scoring(
-    spark: SparkSession, requests_path: str, model_path: str, out: str, day: str
-) -> None:
-    """Score one day of requests into that day's folder of results."""
+    spark: SparkSession, requests_path: str, model_path: str, out: str, day: str,
+    rejects: str | None = None,
+) -> int:
+    """Score one day of requests into that day's folder of results.
+
+    Lines that do not decode go to the day's folder of ``rejects``; their number is
+    returned. A day that was never fetched stops the job and replaces nothing.
+    """
     asked = tables.read_requests(spark, requests_path, day)
     ready = model.for_serving(model.load_model(model_path))
     files.write_daily(model.score(asked, ready, keep_route=True), out, day)
+    return _keep_rejects(tables.read_request_rejects(spark, requests_path, day), rejects, day)
 
 
 def run_load(
     spark: SparkSession, results_path: str, collection: str, day: str,
-    fmt: str = "parquet", **options: str,
-) -> None:
-    """One day of results to the result collection. Times stay text, as sent."""
+    fmt: str = "parquet", rejects: str | None = None, **options: str,
+) -> int:
+    """One day of results to the result collection. Times stay text, as sent.
+    Lines that do not decode go to the day's folder of ``rejects``; returns how many."""
     day_folder = files.day_path(results_path, day)
-    rows = tables.read_json_text(spark, day_folder, schemas.BATCH_RESULT)
-    files.append_collection(rows, collection, fmt, **options)
+    good, bad = tables.split_json_lines(spark, day_folder, schemas.BATCH_RESULT)
+    files.append_collection(good, collection, fmt, **options)
+    return _keep_rejects(bad, rejects, day)
 
 
 def run_stream_scoring(
     spark: SparkSession, request_topic: str, distances_path: str, model_path: str,
     response_topic: str, collection: str, archive: str, checkpoints: str,
     fmt: str = "parquet", collection_fmt: str = "parquet", servers: str = "localhost:9092",
-    trigger: str | None = None, console: bool = False,
+    trigger: str | None = None, console: bool = False, rejects: str | None = None,
+    distances_fmt: str = "parquet", distances_options: dict[str, str] | None = None,
+    collection_options: dict[str, str] | None = None, topic_options: dict[str, str] | None = None,
 ):
     """Start the continuous job with its sinks; ``sinks.run`` waits for it.
-    ``console`` prints some rows of each micro-batch as well."""
-    messages = topics.stream_topic(spark, request_topic, fmt, servers)
-    known = tables.read_distances(spark, distances_path)
+
+    Messages that do not decode go to ``rejects``. ``topic_options`` may limit the
+    rate of a broker (``maxOffsetsPerTrigger``, ``minPartitions``). ``console`` prints
+    some rows of each micro-batch as well.
+    """
+    messages = topics.stream_topic(spark, request_topic, fmt, servers, **(topic_options or {}))
+    known = tables.read_distances(spark, distances_path, distances_fmt, **(distances_options or {}))
     scored = scoring.score_stream(messages, known, model.load_model(model_path))
     targets = {
         "collection": lambda d: sinks.sink_collection(
-            d, collection, f"{checkpoints}/collection", collection_fmt, trigger
+            d, collection, f"{checkpoints}/collection", collection_fmt, trigger, **(collection_options or {})
         ),
         "topic": lambda d: sinks.sink_topic(
             d, response_topic, f"{checkpoints}/topic", fmt, servers, trigger
@@ -162,25 +177,50 @@ def run_stream_scoring(
     }
     if console:
         targets["console"] = lambda d: sinks.sink_console(d, trigger)
-    return sinks.start_sinks(scored, targets)
+    started = sinks.start_sinks(scored, targets)
+    if rejects:
+        _, bad = split_malformed(messages)
+        started["rejects"] = sinks.sink_parquet(bad, rejects, f"{checkpoints}/rejects", trigger)
+    return started
+
+
+def run_match(
+    spark: SparkSession, request_topic: str, response_topic: str, out: str, checkpoint: str,
+    fmt: str = "parquet", servers: str = "localhost:9092", wait: str = "20 seconds",
+    trigger: str | None = None,
+):
+    """Start the job that pairs requests with their responses, by the topics' own times."""
+    sides = []
+    for topic, schema in ((request_topic, schemas.STREAM_REQUEST), (response_topic, schemas.SCORED)):
+        rows = topics.stream_topic(spark, topic, fmt, servers).select(
+            from_message("value", schema).alias("m"), F.col("timestamp").alias("ts")
+        )
+        sides.append(rows.where(F.col("m.UUID").isNotNull()).select("m.*", "ts"))
+    matched = matching.match_stream(*sides, wait=wait)
+    return sinks.sink_parquet(matched, out, checkpoint, trigger)
 
 
 def run_prepare(
     spark: SparkSession, forms: DataFrame, distances_path: str,
     topic: str | None = None, tasks: str | None = None, fmt: str = "parquet",
-    servers: str = "localhost:9092", on_missing: str = "error",
+    servers: str = "localhost:9092", on_missing: str = "error", tasks_fmt: str = "parquet",
+    rejects: str | None = None,
 ) -> DataFrame:
     """Form values to complete requests, sent to a topic or kept as daily tasks.
 
     The requests are written before they are sent, so that a request keeps its
-    id even if a task is repeated.
+    id even if a task is repeated. With ``rejects`` forms of routes without distance
+    are appended there and the others go on, whatever ``on_missing`` says.
     """
     known = tables.read_distances(spark, distances_path)
+    if rejects:
+        files.append_collection(requests.without_distance(forms, known), rejects)
+        on_missing = "drop"
     made = materialise(requests.prepare_requests(forms, known, on_missing), "requests")
     if topic:
         files.emit_requests(made, topic, fmt, servers)
     if tasks:
-        files.append_collection(made.drop("UUID"), tasks)
+        files.append_collection(made.drop("UUID"), tasks, tasks_fmt)
     return made
 
 

@@ -11,6 +11,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 
 S, I, D = T.StringType(), T.IntegerType(), T.DoubleType()
 
+# Field names, types and order of files and messages.
+
 # Training features. Schedule times carry no zone, so the session zone never
 # moves a flight to another day.
 FEATURES = _struct(
@@ -53,9 +55,6 @@ BATCH_RESULT = T.StructType(
     + [T.StructField("Route", S, True), T.StructField("Prediction", D, True)]
 )
 
-# The batch request plus the id that micro-batch requests carry.
-CALLBACK_REQUEST = T.StructType([*BATCH_REQUEST.fields, T.StructField("UUID", S, True)])
-
 # One request message of the continuous job.
 STREAM_REQUEST = _struct(
     ("Origin", S),

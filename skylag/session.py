@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import math
 import shutil
 import tempfile
 import uuid
@@ -58,18 +57,6 @@ def build_session(
     return builder.getOrCreate()
 
 
-def shuffle_partitions_for(
-    shuffled_bytes: int, cores: int, target_bytes: int = 128 * 1024 * 1024
-) -> int:
-    """Partition count that keeps one shuffle partition near ``target_bytes``.
-
-    Rounded up to whole waves of ``cores``; adaptive execution merges what turns
-    out too small, but it cannot split an ordinary partition that is too big.
-    """
-    wanted = max(1, math.ceil(shuffled_bytes / target_bytes))
-    return max(cores, math.ceil(wanted / cores) * cores)
-
-
 @contextlib.contextmanager
 def state_partitions(spark: SparkSession, count: int | None = None):
     """Start stateful streams inside with ``count`` partitions, by default one for

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,6 +70,20 @@ def write_clustered(
     ranges.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
 
 
+def write_version(df: DataFrame, path: str, keys: Sequence[str], pointer: str = "current") -> str:
+    """Write a new version of a clustered table, then switch the pointer to it.
+
+    Versions before it stay as they are, so a reader that has one open goes on
+    reading it; a crash before the switch leaves the old version current. Remove old
+    versions once nothing reads them.
+    """
+    version = f"version={uuid.uuid4().hex}"
+    write_clustered(df, f"{path}/{version}", keys)
+    named = df.sparkSession.createDataFrame([(version,)], "value string").coalesce(1)
+    named.write.mode("overwrite").text(f"{path}/{pointer}")
+    return f"{path}/{version}"
+
+
 def topic_rows(df: DataFrame, topic: str, key: str | None = "UUID", at: Column | None = None) -> DataFrame:
     """Rows as messages of a topic. ``key=None`` sends messages without key."""
     if key:

@@ -3,12 +3,14 @@ reach the scan."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skylag.functions.messages import decode_text
+from skylag.functions.messages import JSON_OPTIONS
 from skylag.schemas import BATCH_REQUEST, DISTANCES, FEATURES
+from skylag.sinks.files import day_path
 
 
 def read_flights(spark: SparkSession, path: str) -> DataFrame:
@@ -29,22 +31,55 @@ def register(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Training features from JSON lines. The file suffix names the codec."""
-    return spark.read.schema(FEATURES).json(path)
+    """Training features from JSON lines. The file suffix names the codec.
+
+    Times and dates may carry an offset, as other writers print them: the clock
+    shown is kept, whatever zone it is in. So a date that a writer moved to another
+    day by its own zone stays the day it shows.
+    """
+    timed = [f for f in FEATURES.fields if isinstance(f.dataType, (T.TimestampNTZType, T.DateType))]
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f in timed else f for f in FEATURES.fields])
+    clock = {f.name: F.col(f.name).try_cast("timestamp_ntz").cast(f.dataType) for f in timed}
+    return spark.read.schema(text).json(path).withColumns(clock)
+
+
+def split_json_lines(
+    spark: SparkSession, path: str, schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """(fields of the lines that decode, the others as ``value``).
+
+    A line with no field of the schema is none that decodes. Folder columns such as
+    ``request_date`` stay beside both. A path that is not there is an error.
+    """
+    lines = spark.read.text(path)
+    beside = [c for c in lines.columns if c != "value"]
+    full = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    document = F.from_json("value", full, {**JSON_OPTIONS, "columnNameOfCorruptRecord": "_bad"})
+    decoded = lines.select(*beside, "value", F.inline(F.array(document)))
+    empty = F.coalesce(*[F.col(f.name).cast("string") for f in schema.fields]).isNull()
+    bad = F.col("_bad").isNotNull() | empty
+    return decoded.where(~bad).drop("value", "_bad"), decoded.where(bad).select(*beside, "value")
 
 
 def read_requests(
     spark: SparkSession, path: str, day: str, schema: T.StructType = BATCH_REQUEST
 ) -> DataFrame:
-    """One day of requests; only that day's folder is listed and read."""
-    dated = T.StructType([*schema.fields, T.StructField("request_date", T.StringType())])
-    rows = spark.read.schema(dated).json(path)
-    return rows.where(F.col("request_date") == day).drop("request_date")
+    """One day of requests. Only that day's folder is listed and read; a day that was
+    never fetched is an error, and lines that do not decode are left to
+    ``read_request_rejects``."""
+    return split_json_lines(spark, day_path(path, day), schema)[0]
+
+
+def read_request_rejects(
+    spark: SparkSession, path: str, day: str, schema: T.StructType = BATCH_REQUEST
+) -> DataFrame:
+    """The lines of one day of requests that do not decode, as ``value``."""
+    return split_json_lines(spark, day_path(path, day), schema)[1]
 
 
 def read_json_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Text lines, each one JSON document, decoded to columns."""
-    return decode_text(spark.read.text(path), schema)
+    """Text lines, each one JSON document, decoded to columns; others left out."""
+    return split_json_lines(spark, path, schema)[0].select(*schema.fieldNames())
 
 
 def read_collection(
@@ -74,8 +109,11 @@ def read_distances(
     """The route distances, columns renamed to the names requests use.
 
     Pass ``keyspace`` and ``table`` as options for a wide-column store; stores
-    that fold names to lower case resolve all the same.
+    that fold names to lower case resolve all the same. Of a table kept in versions
+    the current one is read.
     """
+    if path and fmt == "parquet":
+        path = current_version(spark, path) or path
     reader = spark.read.format(fmt).options(**options)
     if fmt == "json":
         reader = reader.schema(DISTANCES)
@@ -85,3 +123,18 @@ def read_distances(
         F.col("dest").alias("Dest"),
         F.col("distance").alias("Distance"),
     )
+
+
+CURRENT = "current"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version of a table that its pointer names; None without one."""
+    pointer = f"{path}/{CURRENT}"
+    try:
+        names = spark.read.text(pointer).collect()  # one short line
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return f"{path}/{names[0].value}"

@@ -27,7 +27,7 @@ def _code(letter: str, number: Column, width: int = 2) -> Column:
 
 
 def flights(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFrame:
-    """One flight for each line item shipped between two nations.
+    """One flight for each line item, from the supplier's nation to the customer's.
 
     No side is marked for broadcast: the planner broadcasts what it measures as
     small and sorts the rest, and skewed keys are split at run time. With
@@ -53,7 +53,6 @@ def flights(spark: SparkSession, sf_dir: str, row_key: bool = False) -> DataFram
     rows = (
         line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .where(F.col("sn") != F.col("cn"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             "*",
@@ -128,14 +127,15 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
     """Prediction requests as a form sends them, with the event time in ``ts``.
 
-    ``keep`` names further columns of the events to carry.
+    One destination in 26 is a place no flight goes to. ``keep`` names further
+    columns of the events to carry.
     """
     e = table(spark, sf_dir, "events")
     event, user = F.col("event_id"), F.col("user_id")
     return e.select(
         F.md5(event.cast("string")).alias("UUID"),
         _code("A", user % 25).alias("Origin"),
-        _code("A", (user * 7 + event) % 25).alias("Dest"),
+        _code("A", (user * 7 + event) % 26).alias("Dest"),
         F.concat(F.lit("C"), event % 25 + 1).alias("Carrier"),
         (event % 9000 + 1).cast("string").alias("FlightNum"),
         F.to_date("ts").cast("string").alias("FlightDate"),

@@ -24,17 +24,19 @@ def stream_topic(
     fmt: str = "parquet",
     servers: str = "localhost:9092",
     files_per_trigger: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """Unbounded (key, value, topic, timestamp) rows of a topic.
 
     A broker is read from its latest offset, the default of the source. A
     file-backed topic is a folder: ``topic`` is its path, and
-    ``files_per_trigger`` bounds a micro-batch.
+    ``files_per_trigger`` bounds a micro-batch; ``options`` go to the source, such as
+    ``maxOffsetsPerTrigger`` or ``minPartitions`` of a broker.
     """
     if fmt == BROKER:
-        raw = spark.readStream.format(fmt).options(**broker_options(topic, servers)).load()
+        raw = spark.readStream.format(fmt).options(**broker_options(topic, servers), **options).load()
         return _message_columns(raw)
-    reader = spark.readStream.schema(TOPIC).format(fmt)
+    reader = spark.readStream.schema(TOPIC).format(fmt).options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return _message_columns(reader.load(topic))

@@ -110,9 +110,39 @@ def test_continuous_job_with_all_sinks(spark, sf_dir, base, trained, distances):
         spark, f"{base}/request", distances, trained[0], f"{base}/response", f"{base}/scored",
         f"{base}/archive", f"{base}/marks", trigger="available",
     )
-    assert set(started) == {"collection", "topic", "files", "console"}
+    assert set(started) == {"collection", "topic", "files"}
     sinks.drain(*started.values())
     ids = sorted(r["UUID"] for r in made.collect())
     assert sorted(r["key"] for r in topics.read_topic(spark, f"{base}/response").collect()) == ids
     for path in (f"{base}/scored", f"{base}/archive"):
         assert sorted(r["UUID"] for r in spark.read.parquet(path).collect()) == ids
+
+
+def test_bad_lines_and_missing_days(spark, base, trained):
+    day = "2024-03-01"
+    good = '{"Carrier":"C1","Origin":"A01","Dest":"A02","DayOfMonth":1,"DayOfWeek":4,"DayOfYear":61,"DepDelay":5.0,"Distance":100.0,"FlightNum":"1"}'
+    lines = spark.createDataFrame([(good,), ("ready",), ("",), ("{}",), ("[1]",)], "value string")
+    lines.write.text(f"{base}/bad/request_date={day}")
+    assert jobs.run_daily_scoring(spark, f"{base}/bad", trained[0], f"{base}/bad-out", day, f"{base}/bad-side") == 4
+    assert spark.read.json(f"{base}/bad-out").count() == 1
+    assert spark.read.text(f"{base}/bad-side").count() == 4
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.run_daily_scoring(spark, f"{base}/bad", trained[0], f"{base}/bad-out", "2024-03-02")
+    assert spark.read.json(f"{base}/bad-out").count() == 1
+
+
+def test_readers_of_a_version_survive_the_next(spark, base, distances):
+    before = tables.read_distances(spark, distances)
+    rows = before.count()
+    jobs.run_migrate(spark, f"{base}/distances-json", distances)
+    assert before.count() == rows
+    assert tables.read_distances(spark, distances).inputFiles() != before.inputFiles()
+
+
+def test_jobs_have_a_command(spark, flights, base):
+    from skylag import __main__ as command
+
+    given = vars(command.parser().parse_args(["train", "--features-path", "f", "--model-path", "m", "--bucketizer-path", "b", "--holdout", "0.2"]))
+    assert (given["job"], given["features_path"], given["holdout"]) == ("train", "f", 0.2)
+    command.main(["distances", "--flights-path", flights, "--out", f"{base}/by-command"])
+    assert spark.read.json(f"{base}/by-command").count() > 0

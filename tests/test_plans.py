@@ -101,40 +101,24 @@ def test_hot_route_is_split(spark, flights, tmp_path):
         assert joined.count() == 60_000
 
 
-def test_hot_airplane_is_split_before_it_is_collected(spark):
-    rows = spark.range(0, 60_000, numPartitions=8).select(
-        F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("N"), F.col("id") % 5000)).alias("TailNum"),
-        F.lit("2024-01-01").alias("FlightDate"), F.col("id").cast("string").alias("FlightNum"),
-        F.lit("C").alias("Carrier"), F.lit("A").alias("Origin"), F.lit("B").alias("Dest"),
-    )
-    with settings(spark, **SKEW):
-        docs = summaries.flights_per_airplane(rows, part_rows=500)
-        text = plan(docs, run=True)
-        assert "skew=true" in text
-        assert "hashpartitioning(TailNum" in text and "Part" in text
-        sizes = docs.select("TailNum", F.size("Flights").alias("n")).collect()
-    assert sum(r["n"] for r in sizes) == 60_000
-    hot = [r["n"] for r in sizes if r["TailNum"] == "HOT"]
-    assert len(hot) == 40 and max(hot) < 750
-
-
-def test_documents_shuffle_rows_twice_while_totals_are_small(flights):
+def test_airplanes_fold_before_the_shuffle(flights):
     text = plan(summaries.flights_per_airplane(flights))
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "partial_count" in text and "collect_list" not in text
 
 
-def test_one_airplane_is_looked_up_in_the_scan(flights):
-    docs = lookups.airplane_flights(summaries.flights_per_airplane(flights), "N00042")
-    assert "EqualTo(TailNum,N00042)" in plan(docs)
+def test_one_airplane_is_looked_up_in_the_scan(spark, flights, tmp_path):
+    path = str(tmp_path / "airplanes")
+    summaries.flights_per_airplane(flights).write.parquet(path)
+    text = plan(lookups.airplane_flights(spark.read.parquet(path), "N00042"))
+    assert "EqualTo(TailNum,N00042)" in text and "TakeOrderedAndProject" in text
 
 
 def test_repeated_responses_fold_before_the_shuffle(spark):
     sent = spark.range(0, 1000).select(
         F.lit("same").alias("UUID"), F.timestamp_seconds("id").alias("ts"), F.lit(1.0).alias("Prediction")
     )
-    text = plan(requests.first_response(sent))
-    assert "partial_min" in text
+    text = plan(requests.match_responses(sent.select("UUID", "ts").limit(1), sent))
+    assert text.count("partial_min") == 2
 
 
 def test_upsert_needs_no_window(spark, flights):
@@ -144,12 +128,6 @@ def test_upsert_needs_no_window(spark, flights):
     assert "Window" not in text and "partial_max" in text
 
 
-def test_partition_counts():
-    assert session.shuffle_partitions_for(0, 8) == 8
-    assert session.shuffle_partitions_for(1024 * 1024 * 1024, 3) == 9
-    assert session.shuffle_partitions_for(100 * 1024**4, 8000) == 824_000
-
-
 def test_state_partitions_are_set_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with session.state_partitions(spark, 3):

@@ -141,10 +141,18 @@ def test_callback_scoring_sees_new_distances(spark, fitted, tmp_path):
 
 def test_archive_keeps_messages_as_they_are(spark, tmp_path):
     topic, out = str(tmp_path / "topic"), str(tmp_path / "out")
-    sent = [message(1), "ready"]
+    sent = [message(1), "ready", "two\nlines", "", None]
     send(spark, topic, sent)
     sinks.drain(sinks.archive_topic(spark, topic, out, str(tmp_path / "mark"), trigger=NOW))
-    assert sorted(r["value"] for r in spark.read.text(out).collect()) == sorted(sent)
+    assert sorted(r["value"] or "" for r in sinks.read_archive(spark, out).collect()) == sorted(s or "" for s in sent)
+
+
+def test_console_brings_a_few_rows_to_the_driver(spark, tmp_path, capsys):
+    topic = str(tmp_path / "topic")
+    send(spark, topic, [str(i) * 50 for i in range(500)])
+    stream = topics.stream_topic(spark, topic)
+    sinks.drain(sinks.sink_console(stream.select("value"), NOW, rows=3))
+    assert capsys.readouterr().out.count("|") < 20
 
 
 def test_periodic_trigger_runs_until_stopped(spark, tmp_path):

@@ -129,6 +129,15 @@ def rows(spark):
     return spark.createDataFrame(data, "k string, n int, x double"), data
 
 
+@pytest.fixture(scope="module")
+def orders(rows, tmp_path_factory):
+    paths = {}
+    for falling in (False, True):
+        paths[falling] = str(tmp_path_factory.mktemp("order") / "rows")
+        lookups.write_order(rows[0], paths[falling], ["k", "n"], ["n"] if falling else [])
+    return paths
+
+
 def by_brute_force(data, falling):
     def up(v):
         return (v is not None, v if v is not None else 0)
@@ -140,13 +149,21 @@ def by_brute_force(data, falling):
 
 @pytest.mark.parametrize("falling", [False, True])
 @pytest.mark.parametrize("start", [0, 5, 99, 250, 333, 480, 590, 599, 600, 5000])
-@pytest.mark.parametrize("top_rows", [1000, 20])
-def test_pages_equal_slices_of_the_sorted_rows(rows, falling, start, top_rows):
+def test_pages_equal_slices_of_the_sorted_rows(spark, rows, orders, falling, start):
     df, data = rows
     desc = ["n"] if falling else []
-    got = lookups.page(df, ["k", "n"], start, 15, descending=desc, top_rows=top_rows)
     want = by_brute_force(data, falling)[start : start + 15]
-    assert [tuple(r) for r in got.collect()] == want
+    assert [tuple(r) for r in lookups.page(df, ["k", "n"], start, 15, descending=desc).collect()] == want
+    stored = lookups.stored_page(spark, orders[falling], ["k", "n"], start, 15, desc)
+    assert [tuple(r) for r in stored.collect()] == want
+
+
+def test_page_at_row_a_million(spark, tmp_path):
+    path = str(tmp_path / "order")
+    hot = spark.range(1_200_000).select(F.lit("hot").alias("k"), F.col("id").alias("n"))
+    lookups.write_order(hot, path, ["k"])
+    got = lookups.stored_page(spark, path, ["k"], 1_000_000, 3)
+    assert [r["n"] for r in got.collect()] == [1_000_000, 1_000_001, 1_000_002]
 
 
 def test_page_bounds(spark):
@@ -179,10 +196,10 @@ def test_list_of_flights_is_ordered_and_counted(spark):
     assert {r["total"] for r in found} == {3}
 
 
-# Documents in parts.
+# Airplanes and fleets.
 
 
-def test_hot_keys_and_copies_keep_every_flight(spark):
+def test_copies_fold_and_every_flight_is_kept(spark):
     hot = [("HOT", "2024-01-01", str(i), "C", "A", "B") for i in range(900)]
     copies = [("DUP", "2024-01-01", "7", "C", "A", "B")] * 700
     cold = [("COLD", "2024-01-02", "1", "C", "A", "B"), (None, "2024-01-02", "1", "C", "A", "B")]
@@ -190,20 +207,12 @@ def test_hot_keys_and_copies_keep_every_flight(spark):
         hot + copies + cold,
         "TailNum string, FlightDate string, FlightNum string, Carrier string, Origin string, Dest string",
     )
-    parts = summaries.flights_per_airplane(df, part_rows=100).collect()
-    seen = {}
-    for doc in parts:
-        assert len(doc["Flights"]) <= 200
-        assert [tuple(f) for f in doc["Flights"]] == sorted(tuple(f) for f in doc["Flights"])
-        for f in doc["Flights"]:
-            at = (doc["TailNum"], f["FlightDate"], f["FlightNum"])
-            assert at not in seen
-            seen[at] = f["Copies"]
-    assert sum(seen.values()) == len(hot + copies + cold)
-    assert seen[("DUP", "2024-01-01", "7")] == 700
-    assert len([d for d in parts if d["TailNum"] == "HOT"]) == 9
-    cold_docs = [d for d in parts if d["TailNum"] in ("COLD", None)]
-    assert [(d["Part"], d["Total"]) for d in cold_docs] == [(0, 1), (0, 1)]
+    table = summaries.flights_per_airplane(df)
+    rows = {(r["TailNum"], r["FlightNum"]): r["Copies"] for r in table.collect()}
+    assert len(rows) == 903 and sum(rows.values()) == len(hot + copies + cold)
+    assert rows[("DUP", "7")] == 700
+    page = lookups.airplane_flights(table, "HOT", 890, 15).collect()
+    assert [r["FlightNum"] for r in page] == sorted(str(i) for i in range(900))[890:]
 
 
 def test_fleet_lists_each_airplane_once(spark):
@@ -211,23 +220,24 @@ def test_fleet_lists_each_airplane_once(spark):
         [("AA", "N2"), ("AA", "N1"), ("AA", "N2"), ("DL", "N9"), ("DL", None)],
         "Carrier string, TailNum string",
     )
-    fleets = {r["Carrier"]: r for r in summaries.airplanes_per_carrier(df).collect()}
-    assert fleets["AA"]["TailNumbers"] == ["N1", "N2"] and fleets["AA"]["FleetCount"] == 2
-    assert fleets["DL"]["TailNumbers"] == ["N9"]
-    listed = lookups.list_carriers(summaries.airplanes_per_carrier(df, part_rows=1))
-    assert {tuple(r) for r in listed.collect()} == {("AA", 2), ("DL", 1)}
+    fleets = summaries.airplanes_per_carrier(df)
+    assert [r["TailNum"] for r in lookups.fleet_page(fleets, "AA").collect()] == ["N1", "N2"]
+    assert {tuple(r) for r in lookups.list_carriers(fleets).collect()} == {("AA", 2), ("DL", 1)}
+    airlines = spark.createDataFrame([("AA",), ("ZZ",)], "CarrierCode string")
+    assert {tuple(r) for r in lookups.airline_page(airlines, fleets).collect()} == {("AA", 2), ("ZZ", None)}
 
 
-def test_chart_is_one_document(spark, planes):
-    chart = summaries.chart_document(summaries.manufacturer_totals(planes), ["Manufacturer", "Total"])
-    (doc,) = chart.collect()
-    assert [tuple(d) for d in doc["data"]] == [("AIRBUS", 1), ("BOEING", 3)]
+def test_chart_is_ordered(spark, planes):
+    chart = summaries.chart_rows(summaries.manufacturer_totals(planes), "Manufacturer", "Total")
+    assert [tuple(d) for d in chart.collect()] == [("BOEING", 3), ("AIRBUS", 1)]
 
 
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(x,) for x in (-20.0, -15.0, -1.0, 0.0, 30.0, None)], "ArrDelay double")
     bins = {r["label"]: r["value"] for r in summaries.delay_histogram(df, [-15, 0, 30]).collect()}
     assert bins == {"< -15": 1, "-15 to 0": 2, "0 to 30": 1, ">= 30": 1}
+    empty = {r["label"]: r["value"] for r in summaries.delay_histogram(df.limit(0), [0]).collect()}
+    assert empty == {"< 0": 0, ">= 0": 0}
 
 
 # Requests and responses.

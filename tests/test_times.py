@@ -53,10 +53,3 @@ def test_request_weekdays_start_at_zero(spark):
     rows = df.select(*[c.alias(n) for n, c in times.date_parts("d").items()]).collect()
     assert tuple(rows[0]) == tuple(rows[1]) == (360, 25, 6)
     assert tuple(rows[2]) == (None, None, None)
-
-
-def test_iso_times(spark):
-    df = spark.createDataFrame([("2016-12-20T18:06:45.307114",), ("now",)], "t string")
-    good, bad = df.select(times.parse_iso("t").alias("t")).select(F.col("t").cast("string")).collect()
-    assert good[0] == "2016-12-20 18:06:45.307114"
-    assert bad[0] is None
