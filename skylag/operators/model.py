@@ -32,7 +32,8 @@ MODEL_INPUTS = [
     "FlightDate", "Carrier", "UUID", "Distance", *INDEX_COLUMNS,
 ]
 
-HELPERS = [*INDEX_COLUMNS, VECTOR, "indices", "values", "rawPrediction", "probability"]
+# What indexing, assembling and the forest put beside a request.
+HELPERS = [*INDEX_COLUMNS, VECTOR, "rawPrediction", "probability"]
 
 
 def delay_bucketizer() -> Bucketizer:
@@ -81,7 +82,7 @@ def bins_for(labels: list[list[str]]) -> int:
 
 def train(
     features: DataFrame,
-    max_bins: int = 32,
+    max_bins: int = MAX_BINS,
     max_memory_mb: int = 1024,
     seed: int = 42,
     **forest: int,
@@ -89,8 +90,8 @@ def train(
     """Fit indexes, vector and forest. Pass features read from a written table:
     fitting reads them several times.
 
-    ``max_bins`` is raised to what the widest column needs; ``MAX_BINS`` is the
-    value for the full flight data.
+    ``max_bins`` is raised to what the widest column needs; the default is the value
+    for the full flight data, in jobs and queries alike.
     """
     rows = training_rows(features)
     indexes = index_columns(rows)
@@ -181,8 +182,12 @@ REGRESSION_INDEXED = ["Origin", "Dest"]
 REGRESSION_NUMERIC = ["Distance", "DayOfYear", "DayOfMonth", "DayOfWeek"]
 
 
+# Places for hashed flight numbers, more than there are numbers of four digits.
+HASHED = 1 << 14
+
+
 def train_regressor(
-    features: DataFrame, seed: int = 42, hashed: int = 64, **forest: int
+    features: DataFrame, seed: int = 42, hashed: int = HASHED, **forest: int
 ) -> PipelineModel:
     """A forest that predicts the arrival delay in minutes from route, flight
     number, distance and date. The departure delay is not among its inputs."""
@@ -214,7 +219,11 @@ def train_regressor(
     return Pipeline(stages=stages).fit(rows)
 
 
-def score_minutes(df: DataFrame, model: PipelineModel) -> DataFrame:
-    """Requests with ``Delay`` in minutes."""
+def score_minutes(df: DataFrame, model: PipelineModel, align_dow: bool = False) -> DataFrame:
+    """Requests with ``Delay`` in minutes. ``align_dow`` as in ``score``."""
     helpers = [f"{c}_index" for c in REGRESSION_INDEXED]
-    return model.transform(df).drop(*helpers, "FlightNum_vec", VECTOR)
+    rows = df
+    if align_dow:
+        rows = df.withColumns({"_dow": F.col("DayOfWeek"), "DayOfWeek": F.col("DayOfWeek") + 1})
+    scored = model.transform(rows).drop(*helpers, "FlightNum_vec", VECTOR)
+    return scored.withColumn("DayOfWeek", F.col("_dow")).drop("_dow") if align_dow else scored

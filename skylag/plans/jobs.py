@@ -77,6 +77,29 @@ def run_train(
     return Training(nulls, model.accuracy(scored), counts, preview)
 
 
+def run_train_minutes(
+    spark: SparkSession, features_path: str, model_path: str, fmt: str = "json", seed: int = 42,
+) -> None:
+    """Fit and save the model that predicts the delay in minutes."""
+    if fmt == "json":
+        stored = materialise(tables.read_features(spark, features_path), "features")
+    else:
+        stored = spark.read.schema(schemas.FEATURES).format(fmt).load(features_path)
+    model.save_model(model.train_regressor(stored, seed=seed), model_path)
+
+
+def run_minutes(
+    spark: SparkSession, requests_path: str, model_path: str, out: str, day: str,
+    rejects: str | None = None,
+) -> int:
+    """One day of requests with their delay in minutes into that day's folder of results.
+    Requests count weekdays from 0, the model from 1. Rejects as in daily scoring."""
+    asked = tables.read_requests(spark, requests_path, day)
+    scored = model.score_minutes(asked, model.load_model(model_path), align_dow=True)
+    files.write_daily(scored, out, day)
+    return _keep_rejects(tables.read_request_rejects(spark, requests_path, day), rejects, day)
+
+
 def model_counts(scored: DataFrame) -> dict[float, int]:
     """Rows for each predicted class: four at most."""
     counted = scored.groupBy("Prediction").count()

@@ -131,6 +131,16 @@ def test_bad_lines_and_missing_days(spark, base, trained):
     assert spark.read.json(f"{base}/bad-out").count() == 1
 
 
+def test_minutes_are_trained_stored_and_scored(spark, base, trained):
+    day = "2024-03-01"
+    row = '{"Carrier":"C1","Origin":"A01","Dest":"A02","DayOfMonth":1,"DayOfWeek":4,"DayOfYear":61,"DepDelay":5.0,"Distance":100.0,"FlightNum":"1"}'
+    spark.createDataFrame([(row,)], "value string").write.text(f"{base}/minutes-in/request_date={day}")
+    jobs.run_train_minutes(spark, f"{base}/features", f"{base}/minutes")
+    assert jobs.run_minutes(spark, f"{base}/minutes-in", f"{base}/minutes", f"{base}/minutes-out", day) == 0
+    got = spark.read.json(f"{base}/minutes-out").first()
+    assert got["DayOfWeek"] == 4 and -100 < got["Delay"] < 200
+
+
 def test_readers_of_a_version_survive_the_next(spark, base, distances):
     before = tables.read_distances(spark, distances)
     rows = before.count()
