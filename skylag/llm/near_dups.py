@@ -7,11 +7,12 @@ its shingles, on a scale of powers of ``BASE``, cut to 16 bits. Registers of a
 union are the larger of two; equal registers are as likely as sets are similar.
 
 Bands of registers propose pairs. In a bucket each node is first held against one
-centre; nodes of a bucket that are still in different components after some such
-rounds are all held against each other, so every pair that shares a bucket is
-either in one component already or was decided. A pair is decided by the joint
-likelihood of its registers, which only rejects what is hopelessly far below the
-threshold, and then by the full sets.
+centre, the node that meets most others. In buckets that still hold several
+components, registers then rule out the pairs of different components that are
+hopelessly far below the threshold, by their joint likelihood. Nodes left in a bucket
+meet with their full sets, and each set is held against all others of other
+components there. So every pair that shares a bucket is in one component already, or
+was decided; only the links found leave a bucket, one for each two components.
 
 At a similarity of exactly 0.8 a pair shares no bucket with a probability of
 three in a million, at 0.85 of one in ten thousand million.
@@ -44,8 +45,11 @@ PERCENT = 80
 # A pair is rejected by its registers where the threshold is less likely than the
 # best estimate by more than this: odds of one in a million under the threshold.
 HOPELESS = 12.0
-# Rounds of pairs with a centre before pairs of all that is left.
-STAR_ROUNDS = 3
+# Equal registers below which a pair at the threshold is out of the question: six
+# standard deviations.
+FEWEST_EQUAL = 0.65
+# Nodes of a bucket compared in one go; larger buckets are cut, and the cuts meet in pairs.
+CUT = 4096
 # Ids that are broadcast to pick their texts; above it they are joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -145,7 +149,7 @@ def _registers(column: pa.Array) -> np.ndarray:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, size) of nodes that share a band with another one."""
+    """(bucket, band, n, node, size) of nodes that share a band with another one, n in all."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,52 +158,51 @@ def _buckets(nodes: DataFrame) -> DataFrame:
                 if some.num_rows:
                     keys = band_keys(_registers(some.column(2)))
                     repeat = [np.repeat(some.column(c).to_numpy(zero_copy_only=False), BANDS) for c in (0, 1)]
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *map(pa.array, repeat)], ["bucket", "node", "size"])
+                    band = np.tile(np.arange(BANDS, dtype=np.int32), some.num_rows)
+                    columns = [pa.array(x) for x in (keys.ravel(), band, *repeat)]
+                    yield pa.RecordBatch.from_arrays(columns, ["bucket", "band", "node", "size"])
 
-    rows = nodes.select("node", "size", "sketch").mapInArrow(bands, "bucket long, node long, size long")
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return rows.join(shared, "bucket", "left_semi")
+    rows = nodes.select("node", "size", "sketch").mapInArrow(bands, "bucket long, band int, node long, size long")
+    shared = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return rows.join(shared, "bucket").select("bucket", "band", "n", "node", "size")
 
 
 def _near_in_size(a: str, b: str, percent: int):
     return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
 
-def _decide(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) that are linked, by registers and then by full sets."""
-    sides = [nodes.select(F.col("node").alias(s), F.col("size").alias(f"size_{s}"), F.col("sketch").alias(f"sketch_{s}")) for s in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b")
-
-    def by_registers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
-                sizes = [some.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (2, 3)]
-                keep = hopeful(_registers(some.column(4)), _registers(some.column(5)), *sizes, percent)
-                yield pa.RecordBatch.from_arrays([some.column(c).filter(pa.array(keep)) for c in (0, 1)], ["a", "b"])
-
-    likely = materialise(both.mapInArrow(by_registers, "a long, b long"), "likely-pairs")
-    ids = likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct()
-    ids = materialise(ids, "pair-ids")
-    count = ids.count()
+def _contents(buckets: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, size, sketch, text) of the nodes in shared buckets."""
+    ids = materialise(buckets.select(F.col("node").alias("doc_id")).distinct(), "bucket-nodes")
+    few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(ids) if count <= BROADCAST_IDS else ids, "doc_id", "left_semi")
-    left, right = (texts.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
-    full = likely.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return materialise(nodes.join(texts, nodes["node"] == texts["doc_id"]).select("node", "size", "sketch", "text"), "contents")
+
+
+def _decide(pairs: DataFrame, contents: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the distinct ``pairs`` (a, b) that are linked, by registers and then by full sets."""
+    columns = ("size", "sketch", "text")
+    sides = [contents.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]) for s in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", *[f"{c}_{s}" for c in columns for s in "ab"])
 
     def by_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, one = None, np.zeros(0, dtype=np.uint64)
-        for batch in batches:
-            keep = []
-            for text_a, text_b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if text_b != last:
-                    last, one = text_b, shingles(text_b, words)
-                other = shingles(text_a, words)
-                common = len(np.intersect1d(one, other, assume_unique=True))
-                keep.append(100 * common >= percent * (len(one) + len(other) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in (0, 1)], ["a", "b"])
-
-    return full.mapInArrow(by_sets, "a long, b long")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                sizes = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in (2, 3)]
+                keep = hopeful(_registers(batch.column(4)), _registers(batch.column(5)), *sizes, percent)
+                likely, keep = batch.filter(pa.array(keep)), []
+                for text_a, text_b in zip(likely.column(6).to_pylist(), likely.column(7).to_pylist(), strict=True):
+                    if text_b != last:
+                        last, one = text_b, shingles(text_b, words)
+                    other = shingles(text_a, words)
+                    common = len(np.intersect1d(one, other, assume_unique=True))
+                    keep.append(100 * common >= percent * (len(one) + len(other) - common))
+                yield likely.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(by_sets, "a long, b long")
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -209,41 +212,134 @@ def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(spread.where("low < high").select("bucket"), "bucket", "left_semi")
 
 
-def _with_centre(rows: DataFrame, seed: int, percent: int) -> DataFrame:
-    """(a, b): each node with one centre of another component among its buckets.
+def _with_centre(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each node with one centre, that of its buckets which meets most nodes."""
+    met = buckets.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = buckets.join(met, "node")
+    first = F.struct((-F.col("met")).alias("rank"), F.col("node").alias("b"), F.col("size").alias("size_b"))
+    centre = ranked.groupBy("bucket").agg(F.min(first).alias("c"))
+    pairs = buckets.join(centre.select("bucket", "c.*"), "bucket").where("node <> b").where(_near_in_size("size", "size_b", percent))
+    return pairs.groupBy(F.col("node").alias("a")).agg(F.min(F.struct("rank", "b")).alias("c")).select("a", "c.b")
 
-    The centre of a bucket is its first node in an order drawn anew for each seed.
-    """
-    rank = F.xxhash64(F.lit(seed), "node")
-    centre = rows.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))).alias("c"))
-    met = rows.join(centre.select("bucket", "c.*"), "bucket").where("label <> label_b").where(_near_in_size("size", "size_b", percent))
-    return met.groupBy(F.col("node").alias("a")).agg(F.min(F.struct("rank", "b")).alias("c")).select("a", "c.b")
+
+CELL = ["bucket", "low", "high"]
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """``rows`` of buckets as rows of cells: a cell for each pair of cuts of a bucket.
+    Most buckets have one cut and one cell."""
+    cuts = F.greatest(F.ceil(F.col("n") / CUT), F.lit(1)).cast("int")
+    cut = rows.withColumn("cut", F.pmod(F.xxhash64("node"), cuts).cast("int"))
+    other = cut.withColumn("other", F.explode(F.sequence(F.lit(0), cuts - 1)))
+    return other.withColumns({"low": F.least("cut", "other"), "high": F.greatest("cut", "other")}).drop("other")
+
+
+def _each_cell(rows: DataFrame, make, schema: str) -> DataFrame:
+    """``make`` of the columns of each cell, as numpy arrays, one cell at a time."""
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+
+        def made() -> pa.RecordBatch:
+            cell = pa.Table.from_batches(held)
+            return make({c: cell.column(c).to_numpy() for c in cell.column_names})
+
+        for batch in batches:
+            of = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in range(len(CELL))], axis=1)
+            bounds = [0, *(np.flatnonzero((of[1:] != of[:-1]).any(axis=1)) + 1).tolist(), len(of)]
+            for low, high in zip(bounds, bounds[1:], strict=False):
+                if low == high:
+                    continue
+                if held and tuple(of[low]) != now:
+                    yield made()
+                    held.clear()
+                now = tuple(of[low])
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield made()
+
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL).mapInArrow(cells, schema)
+
+
+def _likely_rows(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(cell, node, label, cut): of the rows of open buckets, those with a pair of different
+    components that their registers do not rule out. A pair counts in the first band it shares."""
+
+    def likely(cell: dict[str, np.ndarray]) -> pa.RecordBatch:
+        size, label, cut = cell["size"], cell["label"], cell["cut"]
+        registers = np.stack([np.frombuffer(x, np.uint16) for x in cell["sketch"]])
+        bands = band_keys(registers)
+        names, of = np.unique(label, return_inverse=True)
+        order = np.lexsort((names, np.bincount(of))).argsort()[of]  # small components first
+        across = cell["low"][0] != cell["high"][0]
+        keep = np.zeros(len(size), dtype=bool)
+        for x in np.flatnonzero(order < order.max()):
+            fits = (order > order[x]) & (100 * np.minimum(size, size[x]) >= percent * np.maximum(size, size[x]))
+            at = np.flatnonzero(fits & (cut != cut[x]) if across else fits)
+            at = at[(bands[at] == bands[x]).argmax(axis=1) == cell["band"][0]]
+            at = at[(registers[at] == registers[x]).sum(axis=1) >= FEWEST_EQUAL * REGISTERS]
+            if len(at):
+                own = np.broadcast_to(registers[x], (len(at), REGISTERS))
+                at = at[hopeful(own, registers[at], np.full(len(at), float(size[x])), size[at].astype(float), percent)]
+            keep[at] = True
+            keep[x] |= len(at) > 0
+        columns = [*CELL, "node", "label", "cut"]
+        return pa.RecordBatch.from_arrays([pa.array(cell[c][keep]) for c in columns], columns)
+
+    cells = _cells(rows).join(nodes.select("node", "sketch"), "node").select(*CELL, "band", "node", "size", "label", "cut", "sketch")
+    return _each_cell(cells, likely, "bucket long, low int, high int, node long, label long, cut int")
+
+
+def _links_of_cells(rows: DataFrame, contents: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links by full sets between nodes of different components of a cell, as many
+    as tie these components together."""
+
+    def links(cell: dict[str, np.ndarray]) -> pa.RecordBatch:
+        sets = [shingles(text, words) for text in cell["text"]]
+        there = np.array([len(x) > 0 for x in sets])  # another row of a doc_id may be empty
+        cell, sets = {c: values[there] for c, values in cell.items()}, [x for x in sets if len(x)]
+        if not sets:
+            return pa.RecordBatch.from_pylist([], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        node, cut, sizes = cell["node"], cell["cut"], np.array([len(x) for x in sets])
+        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        _, of = np.unique(cell["label"], return_inverse=True)
+        order = np.bincount(of).argsort(kind="stable").argsort()[of]
+        across = cell["low"][0] != cell["high"][0]
+        found = []
+        in_x = np.zeros(len(codes) + 1, dtype=bool)
+        # Each node against all others; those of the largest component have then met all.
+        for x in np.flatnonzero(order < order.max()):
+            apart = of != of[x]
+            if across:
+                apart &= cut != cut[x]
+            if not apart.any():
+                continue
+            own = codes[starts[x] : starts[x] + sizes[x]]
+            in_x[own] = True
+            common = np.add.reduceat(in_x[codes].astype(np.int64), starts)
+            in_x[own] = False
+            for y in np.flatnonzero(apart & (100 * common >= percent * (sizes[x] + sizes - common))):
+                if of[y] != of[x]:
+                    found.append((node[x], node[y]))
+                    of[of == of[y]] = of[x]  # tied from now on
+        ends = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], ["a", "b"])
+
+    cells = rows.join(contents.select("node", "text"), "node").select(*CELL, "node", "label", "cut", "text")
+    return _each_cell(cells, links, "a long, b long")
 
 
 def link_components(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, label) of the nodes that are linked with another one."""
     buckets = materialise(_buckets(nodes), "buckets")
-    none = buckets.sparkSession.createDataFrame([], "node long, label long")
-    links, labels, tested = None, none, None
-    for seed in range(STAR_ROUNDS + 1):
-        rows = materialise(_open(buckets, labels), "open-buckets")
-        if not rows.take(1):
-            break
-        if seed < STAR_ROUNDS:
-            pairs = _with_centre(rows, seed, percent)
-        else:
-            other = rows.select("bucket", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("label").alias("label_b"))
-            met = rows.withColumnRenamed("node", "a").join(other, "bucket").where("a < b and label <> label_b")
-            pairs = met.where(_near_in_size("size", "size_b", percent)).select("a", "b").distinct()
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        found = materialise(_decide(pairs, nodes, docs, words, percent), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = materialise(components(links), "labels")
-    return labels
+    contents = _contents(buckets, nodes, docs)
+    links = materialise(_decide(_with_centre(buckets, percent), contents, words, percent), "links")
+    labels = materialise(components(links), "labels")
+    likely = materialise(_likely_rows(_open(buckets, labels), nodes, percent), "likely-rows")
+    found = materialise(_links_of_cells(likely, contents, words, percent), "links")
+    return materialise(components(links.union(found)), "labels") if found.take(1) else labels
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
