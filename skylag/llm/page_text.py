@@ -42,11 +42,13 @@ CHROME = frozenset("nav footer aside form menu dialog fieldset".split())
 MAIN = frozenset("article main".split())
 BAD_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline-share comment comments"
-    " consent cookie cookies disqus feedback footer form gdpr header login masthead menu menubar modal nav navbar"
+    " consent cookie cookies disqus feedback footer form gdpr login masthead menu menubar modal nav navbar"
     " navigation newsletter notice notices overlay pagination paywall popup promo promoted promotion recommended"
     " related replies reply search share sharing sidebar signup social sponsor sponsored subscribe subscription"
     " toolbar widget contentinfo complementary alert alertdialog".split()
 )
+# Parts of words that tell as much wherever they stand: "commentlist", "sitefooter".
+BAD_PARTS = re.compile("advert|breadcrumb|comment|cookie|disqus|footer|navbar|navigation|newsletter|pagination|sidebar|sponsor|subscri")
 GOOD_WORDS = frozenset("article content entry main post story text".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -135,8 +137,11 @@ def blocks(html: str) -> list[_Block]:
         for names in _NAMES.finditer(attributes):
             words.update(_WORD.findall((names.group(1) or names.group(2) or names.group(3) or "").lower()))
         in_main = good & 1
-        bad = bad or name in CHROME or name in HIDDEN or (name == "header" and not in_main) or bool(_UNSEEN.search(attributes))
-        bad = bad or (name not in ("html", "body") and not BAD_WORDS.isdisjoint(words))
+        bad = bad or name in CHROME or name in HIDDEN or bool(_UNSEEN.search(attributes))
+        # A header inside the article holds its title; any other is the page's.
+        bad = bad or (not in_main and name not in MAIN and (name == "header" or "header" in words))
+        if words and name not in ("html", "body"):
+            bad = bad or not BAD_WORDS.isdisjoint(words) or any(map(BAD_PARTS.search, words))
         good |= (1 if name in MAIN else 0) | (0 if GOOD_WORDS.isdisjoint(words) else 2)
         elements += 1
         stack.append((name, elements, bad, good, link or name == "a"))

@@ -23,6 +23,15 @@ def test_article_without_the_rest():
     assert p.main_text(PAGE) == TEXT
 
 
+def test_names_in_one_word_and_headers():
+    text = "This is a paragraph of some length, and it ends with a full stop."
+    html = (
+        f"<div class='site-header'><p>{text}</p></div><article class=post><div class='article-header'><h1>Title</h1></div><p>{text}</p>"
+        f"<ol class=commentlist><li>{text}</li></ol></article><div id=pagefooter><p>{text}</p></div>"
+    )
+    assert p.main_text(html) == f"Title\n\n{text}"
+
+
 def test_page_without_article_keeps_its_paragraphs():
     text = "This is a paragraph of some length, and it ends with a full stop."
     html = f"<body><div class=menu><a href=a>Home</a> <a href=b>Help</a></div><div><p>{text}</p><p>{text}</p></div><div class=footer>Copyright.</div>"
