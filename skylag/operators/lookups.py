@@ -130,6 +130,24 @@ def page(
     return df.orderBy(*_order(df.columns, keys, descending)).offset(start).limit(size)
 
 
+def search_after(
+    df: DataFrame, keys: Sequence[str], last: dict, size: int, descending: Sequence[str] = ()
+) -> DataFrame:
+    """The ``size`` rows that follow the row ``last`` (all its columns) in the order of
+    ``page``: the next page without the ones before it. Copies of ``last`` are skipped.
+    """
+    after, same = F.lit(False), F.lit(True)
+    for name in [*keys, *[c for c in df.columns if c not in keys]]:
+        c, value = F.col(name), F.lit(last[name])
+        if name in descending:  # NULL comes last
+            later = F.lit(False) if last[name] is None else (c < value) | c.isNull()
+        else:  # NULL comes first
+            later = c.isNotNull() if last[name] is None else c > value
+        after = after | (same & F.coalesce(later, F.lit(False)))
+        same = same & c.eqNullSafe(value)
+    return page(df.where(after), keys, 0, size, descending)
+
+
 def write_order(df: DataFrame, path: str, keys: Sequence[str], descending: Sequence[str] = ()) -> None:
     """Store ``df`` in order for ``stored_page``: in ranges of the keys and all other
     columns, numbered by ``_range``, equal rows folded into one with their number ``_n``.

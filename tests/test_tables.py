@@ -158,6 +158,17 @@ def test_pages_equal_slices_of_the_sorted_rows(spark, rows, orders, falling, sta
     assert [tuple(r) for r in stored.collect()] == want
 
 
+@pytest.mark.parametrize("falling", [False, True])
+def test_search_after_goes_through_all_different_rows(rows, falling):
+    df, data = rows
+    desc = ["n"] if falling else []
+    want = list(dict.fromkeys(by_brute_force(data, falling)))
+    seen = [lookups.page(df.distinct(), ["k", "n"], 0, 5, desc).collect()]
+    while seen[-1]:
+        seen.append(lookups.search_after(df.distinct(), ["k", "n"], seen[-1][-1].asDict(), 5, desc).collect())
+    assert [tuple(r) for part in seen for r in part] == want
+
+
 def test_page_at_row_a_million(spark, tmp_path):
     path = str(tmp_path / "order")
     hot = spark.range(1_200_000).select(F.lit("hot").alias("k"), F.col("id").alias("n"))
