@@ -41,7 +41,7 @@ LANGUAGES = 32
 BUCKETS = 1 << 14
 TRIGRAMS = 100  # a text counts for so many trigrams at most: they are not independent
 SMOOTHING = 5.0
-LEAST = 0.5
+LEAST = 0.3  # low enough for a short text between two languages
 BROADCAST_ROWS = 200_000
 OTHER = "und"
 
