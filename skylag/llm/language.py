@@ -9,8 +9,9 @@ and these by those of all rows. A row's own text is taken out of the counts befo
 they judge it. Counts are grouped sums, combined before their shuffle.
 
 The trigram model is fitted on a sample of about ``TRAINING_ROWS`` labelled rows,
-taken by a hash of the id; ``LANGUAGES`` at most, the most frequent labels, are
-kept. A language "und" of evenly spread trigrams stands for anything else. Rows are
+taken by a hash of the id and shared out evenly, of each label ``FEWEST_ROWS`` at
+least. Every label is a language: a label is two or three letters, so their number is
+bounded, and counts of trigrams are held sparse. A language "und" of evenly spread trigrams stands for anything else. Rows are
 rejected when "und" is likeliest or the likeliest has less than ``LEAST`` of the
 probability.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,12 +39,13 @@ from pyspark.sql.types import ArrayType, DoubleType
 from skylag.llm.common import materialise, table
 
 TRAINING_ROWS = 8_000
-LANGUAGES = 32
+FEWEST_ROWS = 20  # of a label, expected in the sample; all of a rarer one
 BUCKETS = 1 << 14
+COUNTED_AT_ONCE = 256  # languages whose counts a task holds
 TRIGRAMS = 100  # a text counts for so many trigrams at most: they are not independent
 SMOOTHING = 5.0
 LEAST = 0.3  # low enough for a short text between two languages
-BROADCAST_ROWS = 200_000
+BROADCAST_COUNTS = 5_000_000  # evidence keys times languages
 OTHER = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]")
@@ -68,40 +71,65 @@ def trigrams(text: str) -> np.ndarray:
     return counts
 
 
-def fit(rows: DataFrame, most: int = TRAINING_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities (trigram x language, "und" last) from a sample
-    of labelled rows (id, text, label)."""
+class Trigrams(NamedTuple):
+    """Log-probabilities of trigrams by language, "und" last. Any trigram has ``base`` in a
+    language; those of bucket b have ``more`` in the languages of entries start[b] to start[b + 1]."""
+
+    start: np.ndarray
+    language: np.ndarray
+    more: np.ndarray
+    base: np.ndarray
+
+    def likelihoods(self, counts: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(counts)
+        first, sizes = self.start[at], self.start[at + 1] - self.start[at]
+        entries = np.arange(sizes.sum()) + np.repeat(first - sizes.cumsum() + sizes, sizes)
+        more = np.repeat(counts[at], sizes) * self.more[entries]
+        return np.bincount(self.language[entries], more, len(self.base)) + counts.sum() * self.base
+
+
+def fit(rows: DataFrame, most: int = TRAINING_ROWS) -> tuple[list[str], Trigrams]:
+    """Languages and their trigrams from a sample of labelled rows (id, text, label)."""
     label = language_tag(F.col("label"))
     labelled = rows.select("id", "text", label.alias("label")).where("label is not null and text is not null")
-    sizes = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(LANGUAGES).collect()
-    total = sum(row["count"] for row in sizes)
-    names = sorted(row["label"] for row in sizes)
+    sizes = {row["label"]: row["count"] for row in labelled.groupBy("label").count().collect()}
+    names = sorted(sizes)
     # As many rows of each language, so that a rare one is learnt as well.
-    share = {row["label"]: min(1.0, most / len(sizes) / row["count"]) for row in sizes}
-    if not total:
-        return [], np.full((BUCKETS, 1), -math.log(BUCKETS))
-    part = F.coalesce(*[F.when(F.col("label") == name, F.lit(x)) for name, x in share.items()], F.lit(0.0))
-    drawn = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 30)) < part * (1 << 30)
+    want = max(most / max(len(names), 1), FEWEST_ROWS)
+    share = [(name, at, min(1.0, want / sizes[name])) for at, name in enumerate(names)]
+    shares = rows.sparkSession.createDataFrame(share, "label string, language int, share double")
+    drawn = F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(1 << 30)) < F.col("share") * (1 << 30)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, np.ndarray] = {}
+        found: dict[int, np.ndarray] = {}
         for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[name] = found.get(name, 0) + trigrams(text)
-        for name, counts in found.items():
+            for language, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts = trigrams(text)
+                at = np.flatnonzero(counts)
+                if language not in found and len(found) >= COUNTED_AT_ONCE:
+                    yield from made(found)
+                    found.clear()
+                found.setdefault(language, np.zeros(BUCKETS, dtype=np.int64))[at] += counts[at]
+        yield from made(found)
+
+    def made(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for language, counts in found.items():
             at = np.flatnonzero(counts)
-            columns = [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["label", "bucket", "n"])
+            columns = [pa.array([language] * len(at), pa.int32()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["language", "bucket", "n"])
 
-    sums = labelled.where(drawn).select("label", "text").mapInArrow(count, "label string, bucket int, n long")
-    table_of = np.full((BUCKETS, len(names)), 0.5)
-    for row in sums.groupBy("label", "bucket").agg(F.sum("n").alias("n")).collect():  # LANGUAGES x BUCKETS at most
-        table_of[row.bucket, names.index(row.label)] += row.n
-    logs = np.log(table_of / table_of.sum(axis=0))
-    return names, np.hstack([logs, np.full((BUCKETS, 1), -math.log(BUCKETS))])
+    sample = labelled.join(F.broadcast(shares), "label").where(drawn).select("language", "text")
+    sums = sample.mapInArrow(count, "language int, bucket int, n long").groupBy("language", "bucket").agg(F.sum("n").alias("n"))
+    language, bucket, n = (c.to_numpy() for c in sums.toArrow().columns)  # of the sample alone
+    order = np.lexsort((language, bucket))
+    language, bucket, n = language[order], bucket[order], n[order]
+    start = np.searchsorted(bucket, np.arange(BUCKETS + 1))
+    total = np.bincount(language, n, len(names)) + 0.5 * BUCKETS
+    base = np.append(np.log(0.5 / total), -math.log(BUCKETS))
+    return names, Trigrams(start, language, np.log1p(2.0 * n), base)
 
 
-def text_likelihoods(logs: np.ndarray):
+def text_likelihoods(logs: Trigrams):
     """Column function: log-likelihood of a text in each language, null without letters."""
 
     @F.pandas_udf(ArrayType(DoubleType()))
@@ -113,8 +141,7 @@ def text_likelihoods(logs: np.ndarray):
             total = int(counts.sum())
             if not total:
                 return None
-            at = np.flatnonzero(counts)
-            return (counts[at] @ logs[at]) * (min(total, TRIGRAMS) / total)
+            return logs.likelihoods(counts) * (min(total, TRIGRAMS) / total)
 
         for batch in texts:
             yield batch.map(one, na_action=None)
@@ -146,7 +173,7 @@ def address_suffix(url: Column) -> Column:
 _EVIDENCE = ["_host", "_domain", "_top", "_declared", "_suffix"]
 
 
-def identify(rows: DataFrame, names: list[str], logs: np.ndarray, drop: tuple[str, ...] = ()) -> DataFrame:
+def identify(rows: DataFrame, names: list[str], logs: Trigrams, drop: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with language, confidence and accepted.
 
     Read are text, declared, suffix and host of ``rows``, all strings. Columns in
@@ -160,49 +187,52 @@ def identify(rows: DataFrame, names: list[str], logs: np.ndarray, drop: tuple[st
     best = F.expr("if(_ll is null, null, array_position(_ll, array_max(_ll)) - 1)").cast("int")
     scored = materialise(scored.withColumn("_best", best).drop(*drop), "likelihoods")
 
-    counts = [F.sum(F.when(F.col("_best") == i, 1).otherwise(0)).alias(f"n{i}") for i in range(len(all_names))]
-    seen = materialise(scored.where("_best is not null").groupBy(*_EVIDENCE).agg(*counts), "evidence")
-    sums = [F.sum(f"n{i}").alias(f"n{i}") for i in range(len(all_names))]
+    seen = materialise(scored.where("_best is not null").groupBy(*_EVIDENCE, "_best").agg(F.count("*").alias("n")), "evidence")
 
     def counted(key: str) -> DataFrame:
-        total = F.array(*[F.col(f"n{i}") for i in range(len(all_names))])
-        return seen.where(F.col(key).isNotNull()).groupBy(key).agg(*sums).select(key, total.alias(f"n{key}"))
-
-    overall = [x or 0 for x in seen.agg(*sums).first()]
+        """Of each value, how often it goes with each language, and with any."""
+        each = seen.where(F.col(key).isNotNull()).groupBy(key, "_best").agg(F.sum("n").alias("n"))
+        found = each.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_best", "n"))).alias("of"), F.sum("n").alias(f"t{key}"))
+        places = F.sequence(F.lit(0), F.lit(len(all_names) - 1))
+        dense = F.transform(places, lambda i: F.coalesce(F.col("of")[i], F.lit(0)))
+        return found.select(key, dense.alias(f"n{key}"), f"t{key}")
+
+    overall = [0] * len(all_names)
+    for row in seen.groupBy("_best").agg(F.sum("n").alias("n")).collect():
+        overall[row["_best"]] = row["n"]
     combos = scored.select(*_EVIDENCE).distinct()
     for key in _EVIDENCE:
         combos = combos.join(counted(key), key, "left")
     combos = materialise(combos, "priors")
-    few = combos.count() <= BROADCAST_ROWS
+    few = combos.count() * len(all_names) <= BROADCAST_COUNTS
     shown = [F.coalesce(F.col(k), F.lit("")).alias(f"k{k}") for k in _EVIDENCE]
-    keyed = combos.select(*shown, *[f"n{k}" for k in _EVIDENCE])
+    keyed = combos.select(*shown, *[f"{x}{k}" for k in _EVIDENCE for x in "nt"])
     met = F.lit(True)
     for k in _EVIDENCE:
         met = met & (F.coalesce(F.col(k), F.lit("")) == F.col(f"k{k}"))
     joined = scored.join(F.broadcast(keyed) if few else keyed, met, "left")
 
-    def count_at(key: str, i: int) -> Column:
-        own = F.when(F.col("_best") == i, 1).otherwise(0)
-        return F.greatest(F.coalesce(F.get(f"n{key}", F.lit(i)) - own, F.lit(0)).cast("double"), F.lit(0.0))
-
-    def total_at(key: str) -> Column:
-        return sum((count_at(key, i) for i in range(len(all_names))), F.lit(0.0))
+    def without_own(count: Column, own: Column) -> Column:
+        return F.greatest(F.coalesce(count - own.cast("int"), F.lit(0)).cast("double"), F.lit(0.0))
 
     everything = sum(overall) + SMOOTHING * len(all_names)
-    share = [(n + SMOOTHING) / everything for n in overall]
-    totals = {f"t{k}": total_at(k) for k in _EVIDENCE}
-    joined = joined.withColumns(totals)
-    logs_of = []
-    for i in range(len(all_names)):
-        prior = F.lit(share[i])
+    share = F.array(*[F.lit((n + SMOOTHING) / everything) for n in overall])
+    joined = joined.withColumns({f"t{k}": without_own(F.col(f"t{k}"), F.col("_best").isNotNull()) for k in _EVIDENCE})
+
+    def fused(share: Column, i: Column) -> Column:
+        def count(key: str) -> Column:
+            return without_own(F.get(f"n{key}", i), F.col("_best").eqNullSafe(i))
+
+        prior = share
         for key in ("_top", "_domain", "_host"):
-            prior = (count_at(key, i) + SMOOTHING * prior) / (F.col(f"t{key}") + SMOOTHING)
-        fused = F.log(prior)
+            prior = (count(key) + SMOOTHING * prior) / (F.col(f"t{key}") + SMOOTHING)
+        found = F.log(prior)
         for key in ("_declared", "_suffix"):  # how much likelier the language is where this is declared
-            with_key = (count_at(key, i) + SMOOTHING * share[i]) / (F.col(f"t{key}") + SMOOTHING)
-            fused = fused + F.log(with_key / share[i])
-        logs_of.append(fused + F.coalesce(F.get("_ll", F.lit(i)), F.lit(0.0)))
-    joined = joined.withColumn("_post", F.array(*logs_of)).withColumn("_top_of", F.array_max("_post"))
+            with_key = (count(key) + SMOOTHING * share) / (F.col(f"t{key}") + SMOOTHING)
+            found = found + F.log(with_key / share)
+        return found + F.coalesce(F.get("_ll", i), F.lit(0.0))
+
+    joined = joined.withColumn("_post", F.transform(share, fused)).withColumn("_top_of", F.array_max("_post"))
     weight = F.aggregate("_post", F.lit(0.0), lambda s, x: s + F.exp(x - F.col("_top_of")))
     chosen = F.get(F.array(*map(F.lit, all_names)), (F.array_position("_post", F.col("_top_of")) - 1).cast("int"))
     lost = F.col("_ll").isNull() & F.col("_text")

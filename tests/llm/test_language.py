@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, evidence and odd rows."""
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from skylag.llm import language
@@ -60,3 +62,18 @@ def test_clean_documents_stay(spark):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} >= set(range(10)) and kept.where("doc_id = 90").count() == 0
     assert language.accepted_documents(docs.limit(0)).count() == 0
+
+
+def test_every_label_is_a_language(spark):
+    """Sixty labels of words of their own; the one most rows have crowds out none."""
+    on_workers(spark)
+    tags = ["".join(x) for x in itertools.islice(itertools.product("abcdefghijklmnopqrst", "uvw"), 60)]
+    text = {tag: f"{tag}{tag[::-1]} {tag[0] * 3}{tag} {tag}{tag[1] * 2}{tag[0]} " * 3 for tag in tags}
+    rows = [(i * 100 + k, text[tag], tag, f"{tag}.example") for i, tag in enumerate(tags) for k in range(100 if not i else 3)]
+    rows += [(90_000 + i, text[tag], None, None) for i, tag in enumerate(tags)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    names, logs = language.fit(docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")))
+    assert names == sorted(tags)
+    got = {r.doc_id: r.language for r in language.identify(language._documents(docs), names, logs).collect()}
+    assert [got[90_000 + i] for i in range(60)] == tags
+    assert language.accepted_documents(docs).count() == len(rows)
