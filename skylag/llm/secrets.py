@@ -9,8 +9,8 @@ address both. Strong spans count as parts too.
 Only expressions and joins are used. One pass cuts each text by its patterns and
 turns the pieces' lengths into spans; the spans are written with a row number.
 Linking is an interval join of weak spans with the parts around them, by row, role
-and tile of the text. It is a semi-join, so no pairs are made, and tiles split a
-long text of many spans.
+and tiles of the text that both lie in; the distance is the gap between the spans. It
+is a semi-join, so no pairs are made, and tiles split a long text of many spans.
 
 Defined cases: a null text is an empty one and has no span; repeated rows are
 scanned one by one; a weak span that touches a strong one is left out; an empty
@@ -100,9 +100,11 @@ def linked(rows: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = parts.select("_row", _by_kind(ROLE, F.col("p.kind")).alias("role"), F.explode(tiles).alias("tile"), "p")
     weak = open_rows.select("_row", F.explode("weak").alias("w"))
     weak = weak.withColumn("needs", _by_kind(NEEDS, F.col("w.kind")))
-    weak = weak.select("_row", "w", F.size("needs").alias("n"), F.explode("needs").alias("role"), F.floor(F.col("w.start") / TILE).alias("tile"))
+    weak = weak.select("_row", "w", F.size("needs").alias("n"), F.explode("needs").alias("role"))
+    # Every tile the span lies in: a part is near its start or its end.
+    weak = weak.withColumn("tile", F.explode(F.sequence(F.floor(F.col("w.start") / TILE), F.floor(F.col("w.end") / TILE))))
     w, p = weak.alias("l"), parts.alias("r")
-    near = F.col("w.start").between(F.col("p.start") - scope, F.col("p.end") + scope)
+    near = (F.col("w.start") <= F.col("p.end") + scope) & (F.col("w.end") >= F.col("p.start") - scope)
     on = (F.col("l._row") == F.col("r._row")) & (F.col("l.role") == F.col("r.role")) & (F.col("l.tile") == F.col("r.tile")) & near
     met = w.join(p, on, "left_semi").groupBy("_row", "w", "n").agg(F.count_distinct("role").alias("met"))
     return met.where("met = n").groupBy("_row").agg(F.collect_list("w").alias("more"))

@@ -48,6 +48,23 @@ def test_weak_parts_need_their_complements(spark):
     assert kinds == [["access", "value"], [], ["access"], [], ["id", "value", "endpoint"], [], ["id", "value"]]
 
 
+def test_distance_is_the_gap_between_spans(spark):
+    """A long token is linked on either side of its identifier, up to 200 code points away."""
+    key = "AKIA" + "Q7" * 8
+    texts, want = [], []
+    for size in (24, 300, 511, 1200, 5000):
+        token = ("Zx9-" * size)[:size]
+        for gap in (1, 10, 200, 201):
+            for lead in (0, 690):
+                blank = " " * gap
+                texts += [" " * lead + token + blank + key, " " * lead + key + blank + token]
+                want += [gap <= 200] * 2
+    texts.append(" https://a.example/" + "p" * 400 + f" user=joe {'Zx9-' * 8}")
+    rows = _scan(spark, texts)
+    assert ["value:" in r.s for r in rows[:-1]] == want
+    assert "endpoint:" in rows[-1].s and "Zx9" not in "".join(r.r for r, near in zip(rows, want, strict=False) if near)
+
+
 def test_redaction_keeps_the_rest(spark):
     docs = spark.createDataFrame([(1, "é token = 'abcdefgh', then", 25), (2, "plain", 5), (3, None, None), (1, "é token = 'abcdefgh', then", 25)], "doc_id long, text string, n_chars long")
     rows = s.without_secrets(docs).orderBy("doc_id").collect()
