@@ -7,6 +7,10 @@ follow each other and blocks with a common parent, the stronger the nearer they
 in the tree. The minimum cut, found by maximum flow after fixing all blocks whose
 own cost outweighs their edges, separates content from boilerplate.
 
+A name of boilerplate counts for all an element holds, but not where the element holds
+the page's main part, its longest article, or most of its text (``_excused``). Items of a
+list have the label of a paragraph beside their list.
+
 A page is one row and one unit of work; nothing is shuffled.
 
 Defined cases: a null or empty html has an empty text; broken markup is read as far
@@ -18,7 +22,7 @@ extra columns are kept, those named text or n_chars are replaced.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -49,6 +53,9 @@ BAD_WORDS = frozenset(
 )
 # Parts of words that tell as much wherever they stand: "commentlist", "sitefooter".
 BAD_PARTS = re.compile("advert|breadcrumb|comment|cookie|disqus|footer|navbar|navigation|newsletter|pagination|sidebar|sponsor|subscri")
+# Names that tell what an element has beside or below it, not what it is.
+STATE = re.compile(r"(?:has|no|not|with|without)[-_].*|.*[-_](?:open|closed|enabled|disabled)|(?=.*(?:content|main)).*[-_]wrap(?:per)?")
+LISTS = frozenset("ul ol dl".split())
 GOOD_WORDS = frozenset("article content entry main post story text".split())
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -61,6 +68,8 @@ _UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|di
 _WORD = re.compile(r"[a-z]+")
 _ENDS = re.compile(r"[.!?…。](?:[\"'”’)\]]*)(?:\s|$)")
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 # Costs in hundredths: positive for content.
 BAD_CONTAINER, IN_MAIN, GOOD_NAME, HEADING, IN_ITEM, BARE = -1500, 350, 150, 100, -100, -100
 PER_CHAR, MOST_CHARS, ENDED, LINKED = 2, 150, 100, -500
@@ -68,14 +77,16 @@ FOLLOWS, SIBLINGS = 120, 80
 
 
 class _Block:
-    __slots__ = ("bad", "good", "linked", "name", "parent", "text")
+    __slots__ = ("bad", "beside", "good", "linked", "name", "named", "parent", "text")
 
 
 def blocks(html: str) -> list[_Block]:
     """Blocks of text in page order, with what their ancestors say of them."""
     out: list[_Block] = []
-    # Of each open element: name, number, bad, good, in a link.
-    stack: list[tuple[str, int, bool, int, bool]] = [("", 0, False, 0, False)]
+    # Of each open element: name, number, bad, good, in a link, those of bad names it lies in.
+    stack: list[tuple[str, int, bool, int, bool, tuple[int, ...]]] = [("", 0, False, 0, False, ())]
+    mains: list[tuple[int, ...]] = []
+    articles: dict[int, tuple[int, ...]] = {}
     pieces: list[str] = []
     linked, elements, at, length = 0, 0, 0, len(html)
 
@@ -87,7 +98,9 @@ def blocks(html: str) -> list[_Block]:
             owner = next((e for e in reversed(stack) if e[0] in BLOCK or not e[0]), stack[0])
             block.text, block.linked, block.name = text, min(1.0, linked / len(text)), owner[0]
             block.parent = tuple(e[1] for e in stack[: stack.index(owner)])
-            block.bad, block.good = stack[-1][2], stack[-1][3]
+            block.bad, block.good, block.named = stack[-1][2], stack[-1][3], stack[-1][5]
+            lists = next((k for k, e in enumerate(stack) if e[0] in LISTS), 0)
+            block.beside = block.parent[:lists] if lists else None
             out.append(block)
         pieces.clear()
         linked = 0
@@ -132,23 +145,62 @@ def blocks(html: str) -> list[_Block]:
             closed = CLOSES.get(name, ())
             if stack[-1][0] in closed:
                 stack.pop()
-        _, _, bad, good, link = stack[-1]
-        words = set()
+        _, _, bad, good, link, named = stack[-1]
+        words, telling = set(), set()
         for names in _NAMES.finditer(attributes):
-            words.update(_WORD.findall((names.group(1) or names.group(2) or names.group(3) or "").lower()))
+            for one in (names.group(1) or names.group(2) or names.group(3) or "").lower().split():
+                found = _WORD.findall(one)
+                words.update(found)
+                telling.update(() if STATE.fullmatch(one) else found)
         in_main = good & 1
         bad = bad or name in CHROME or name in HIDDEN or bool(_UNSEEN.search(attributes))
         # A header inside the article holds its title; any other is the page's.
-        bad = bad or (not in_main and name not in MAIN and (name == "header" or "header" in words))
-        if words and name not in ("html", "body"):
-            bad = bad or not BAD_WORDS.isdisjoint(words) or any(map(BAD_PARTS.search, words))
+        bad = bad or (not in_main and name == "header")
+        ill = not in_main and name not in MAIN and "header" in telling
+        if telling and name not in ("html", "body"):
+            ill = ill or not BAD_WORDS.isdisjoint(telling) or any(map(BAD_PARTS.search, telling))
         good |= (1 if name in MAIN else 0) | (0 if GOOD_WORDS.isdisjoint(words) else 2)
         elements += 1
-        stack.append((name, elements, bad, good, link or name == "a"))
+        if name == "main" and not bad:
+            mains.append((*named, elements) if ill else named)
+        elif name == "article" and not bad and not ill:
+            articles[elements] = named
+        stack.append((name, elements, bad, good, link or name == "a", (*named, elements) if ill else named))
     flush()
+    excused = _excused(out, mains, articles)
+    for block in out:
+        block.bad = block.bad or not excused.issuperset(block.named)
     return out
 
 
+def _excused(found: list[_Block], mains: list[tuple[int, ...]], articles: dict[int, tuple[int, ...]]) -> set[int]:
+    """Elements of bad names that hold the content of the page all the same.
+
+    They hold a main element or the article of most text; or half of all text, if they
+    also hold the title or if no paragraph stands outside elements of bad names.
+    """
+    suspects = {e for b in found for e in b.named}
+    if not suspects:
+        return suspects
+    excused = {e for named in mains for e in named}
+    plain = [b for b in found if not b.bad and b.linked < 0.5]
+    size: Counter[int] = Counter()
+    for block in plain:
+        for e in {*block.named, *(articles.keys() & set(block.parent) if articles else ())}:
+            size[e] += len(block.text)
+    if articles:
+        excused.update(articles[max(articles, key=lambda e: (size[e], -e))])
+    total = sum(len(b.text) for b in plain)
+    paragraphs = [b for b in plain if b.name not in HEADINGS and _ENDS.search(b.text)]
+    titles = {e for b in plain if b.name == "h1" for e in b.named}
+    held = Counter(e for b in paragraphs for e in b.named)
+    for e in sorted(suspects - excused):  # the outer ones first
+        if held[e] > 1 and 2 * size[e] >= total:
+            if e in titles or not any(excused.issuperset(b.named) for b in paragraphs):
+                excused.add(e)
+    return excused
+
+
 def cost(block: _Block) -> int:
     """What calling the block boilerplate costs more than calling it content."""
     score = BAD_CONTAINER if block.bad else 0
@@ -235,10 +287,32 @@ def _flow(nodes: list[int], costs: list[int], near: list[dict[int, int]]) -> set
             room[b][a] = room[b].get(a, 0) + most
 
 
+def leaders(found: list[_Block]) -> list[int]:
+    """Of each block the one whose label it has: of an item of a list, the last paragraph
+    before its list or else the first after it, with the same parent; of others itself."""
+    lead = list(range(len(found)))
+    for order in (lead[::-1], lead[:]):  # one before the list outdoes one after it
+        last: dict[tuple[int, ...], int] = {}
+        for i in order:
+            block = found[i]
+            if block.bad or block.linked >= 0.5:
+                continue
+            if block.beside is None:
+                if block.name == "p":
+                    last[block.parent] = i
+            elif block.beside in last:
+                lead[i] = last[block.beside]
+    return lead
+
+
 def main_text(html: str | None) -> str:
     """Text of the content blocks, two line feeds between them."""
     found = blocks(html or "")
-    labels = minimum_cut([cost(b) for b in found], edges(found))
+    lead = leaders(found)
+    costs = [cost(b) if lead[i] == i else 0 for i, b in enumerate(found)]
+    ties = [(lead[a], lead[b], w) for a, b, w in edges(found) if lead[a] != lead[b]]
+    labels = minimum_cut(costs, ties)
+    labels = [labels[i] for i in lead]
     return "\n\n".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
 
 

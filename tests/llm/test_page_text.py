@@ -38,6 +38,35 @@ def test_page_without_article_keeps_its_paragraphs():
     assert p.main_text(html) == f"{text}\n\n{text}"
 
 
+def test_names_of_what_stands_beside_the_article():
+    text = "This is a paragraph of some length, and it ends with a full stop."
+    ill = f"<div class=sidebar><p>{text}</p></div><section class=comments><p>{text}</p><p>{text}</p><p>{text}</p></section>"
+    pages = [
+        f"<div class='content-sidebar-wrap'><main><p>{text}</p></main>{ill}</div>",
+        f"<div class='sidebar-wrap'><main><p>{text}</p></main>{ill}</div>",
+        f"<div class=sidebar-layout><article><p>{text}</p></article>{ill}</div>",
+        f"<div class='has-sidebar'><p>{text}</p>{ill}</div>",
+        f"<article class='post comments-open'><p>{text}</p></article>{ill}",
+        f"<div class='no-comments'><p>{text}</p></div>{ill}",
+        f"<div class='sidebar-left'><h1>Title</h1><p>{text}</p>{ill}</div>",
+        f"<div class='sidebar-left'><p>{text}</p>{ill}</div>",
+        f"<div><p>{text}</p></div>{ill}",
+    ]
+    assert [p.main_text(x).removeprefix("Title\n\n") for x in pages] == [text] * len(pages)
+    assert text not in p.main_text(f"<div><h1>Title</h1></div><div class=cookie-notice><p>{text}</p></div>")
+
+
+def test_items_have_the_label_of_paragraphs_beside_their_list():
+    text = "This is a paragraph of some length, and it ends with a full stop."
+    items = ["Milk", "Eggs", "Flour", "Salt", "Sugar"]
+    ul = "<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>"
+    for html in (f"<p>{text}</p>{ul}", f"{ul}<p>{text}</p>", f"<p>{text}</p>{ul.replace('<li>', '<li><p>')}"):
+        for name in ("", " class=content"):
+            assert sorted(p.main_text(f"<div{name}>{html}</div><div>Menu</div>").split("\n\n")) == sorted([*items, text])
+    linked = ul.replace("<li>", "<li><a href=x>").replace("</li>", "</a></li>")
+    assert p.main_text(f"<div><p>{text}</p></div><div>{linked}</div><div class=footer><p>{text}</p>{ul}</div>") == text
+
+
 def test_least_cut_of_small_graphs():
     rng = random.Random(4)
     for _ in range(300):
