@@ -12,8 +12,8 @@ The trigram model is fitted on a sample of about ``TRAINING_ROWS`` labelled rows
 taken by a hash of the id and shared out evenly, of each label ``FEWEST_ROWS`` at
 least. Every label is a language: a label is two or three letters, so their number is
 bounded, and counts of trigrams are held sparse. A language "und" of evenly spread trigrams stands for anything else. Rows are
-rejected when "und" is likeliest or the likeliest has less than ``LEAST`` of the
-probability.
+rejected when "und" is likeliest or the likeliest has less than ``least`` of the
+probability, which is more than an even share for any number of languages.
 
 Defined cases: a null or empty text has no trigrams and is judged by the other
 evidence; a text without letters is "und" and is rejected; null or empty declared
@@ -45,6 +45,7 @@ COUNTED_AT_ONCE = 256  # languages whose counts a task holds
 TRIGRAMS = 100  # a text counts for so many trigrams at most: they are not independent
 SMOOTHING = 5.0
 LEAST = 0.3  # low enough for a short text between two languages
+ABOVE_FLOOR = 0.125  # of the way from an even share of all languages to certainty
 BROADCAST_COUNTS = 5_000_000  # evidence keys times languages
 OTHER = "und"
 
@@ -173,6 +174,12 @@ def address_suffix(url: Column) -> Column:
 _EVIDENCE = ["_host", "_domain", "_top", "_declared", "_suffix"]
 
 
+def least(languages: int) -> float:
+    """Probability that the likeliest of so many languages, beside "und", must have."""
+    even = 1 / (languages + 1)
+    return round(max(LEAST, even + ABOVE_FLOOR * (1 - even)), 6)
+
+
 def identify(rows: DataFrame, names: list[str], logs: Trigrams, drop: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with language, confidence and accepted.
 
@@ -237,7 +244,7 @@ def identify(rows: DataFrame, names: list[str], logs: Trigrams, drop: tuple[str,
     chosen = F.get(F.array(*map(F.lit, all_names)), (F.array_position("_post", F.col("_top_of")) - 1).cast("int"))
     lost = F.col("_ll").isNull() & F.col("_text")
     joined = joined.withColumns({"language": F.when(lost, OTHER).otherwise(chosen), "confidence": F.round(1 / weight, 6)})
-    accepted = (F.col("language") != OTHER) & (F.col("confidence") >= LEAST)
+    accepted = (F.col("language") != OTHER) & (F.col("confidence") >= least(len(names)))
     made = [c for c in rows.columns if c not in drop and c != "_text"]
     return joined.withColumn("accepted", accepted).select(*made, "language", "confidence", "accepted")
 

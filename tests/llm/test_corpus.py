@@ -30,3 +30,11 @@ def test_pipeline(spark, sf_dir, con):
             assert rows[doc_id].ids == library.encode(text or "", add_special_tokens=False).ids
         elif doc_id in rows:
             assert "redacted" in "".join(rows[doc_id].decoded.split()).replace("</w>", "")
+
+
+def test_documents_in_no_known_language_go(spark, sf_dir):
+    docs = corpus_pipeline.table(spark, sf_dir, "documents")
+    planted = ["Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5, "天地玄黄宇宙洪荒日月盈昃辰宿列张" * 10, "0123 4567 !!"]
+    rows = spark.createDataFrame([(-1 - i, x) for i, x in enumerate(planted)], "doc_id long, text string")
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(rows, allowMissingColumns=True), sf_dir)
+    assert kept.where("doc_id < 0").count() == 0 and kept.count() == docs.count()

@@ -77,3 +77,14 @@ def test_every_label_is_a_language(spark):
     got = {r.doc_id: r.language for r in language.identify(language._documents(docs), names, logs).collect()}
     assert [got[90_000 + i] for i in range(60)] == tags
     assert language.accepted_documents(docs).count() == len(rows)
+
+
+def test_least_confidence_can_reject_for_any_number_of_languages(spark):
+    assert all(language.least(n) > 1 / (n + 1) for n in range(1, 100)) and language.least(4) == language.LEAST
+    on_workers(spark)
+    names, logs = _model(spark)
+    rows = [(i, text, None, None) for i, text in enumerate(["the garden of the king and the house", "der garten des königs und das haus"] * 3)]
+    docs = spark.createDataFrame([*rows, (9, None, None, None)], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in language.identify(language._documents(docs), names, logs).collect()}
+    assert got[9].language in names and 1 / 3 < got[9].confidence and not got[9].accepted
+    assert all(got[i].accepted for i in range(6))
