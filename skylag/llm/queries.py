@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, language, near_dups, page_text, preferences, secrets, token_codes, topk, url_filter, word_bpe
+from skylag.llm import decontaminate, language, merkle, near_dups, page_text, preferences, secrets, token_codes, topk, url_filter, warc, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dups": near_dups.query,
     "op9_url_filter": url_filter.query,
     "op10_word_bpe": word_bpe.query,
+    "op11_warc": warc.query,
+    "op13_merkle": merkle.query,
 }
 
 ORACLE: dict[str, str] = {
@@ -26,4 +28,6 @@ ORACLE: dict[str, str] = {
     "op5_topk": topk.ORACLE_SQL,
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
+    "op11_warc": warc.ORACLE_SQL,
+    "op13_merkle": merkle.ORACLE_SQL,
 }
