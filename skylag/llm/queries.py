@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.llm import decontaminate, language, merkle, near_dups, page_text, preferences, secrets, token_codes, topk, url_filter, warc, word_bpe
+from skylag.llm import decontaminate, language, merkle, near_dups, page_text, preferences, prefix_trie, secrets, token_codes, topk, url_filter, warc, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_codes": token_codes.query,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": url_filter.query,
     "op10_word_bpe": word_bpe.query,
     "op11_warc": warc.query,
+    "op12_prefix_trie": prefix_trie.query,
     "op13_merkle": merkle.query,
 }
 
@@ -29,5 +30,6 @@ ORACLE: dict[str, str] = {
     "op7_decontaminate": decontaminate.ORACLE_SQL,
     "op9_url_filter": url_filter.ORACLE_SQL,
     "op11_warc": warc.ORACLE_SQL,
+    "op12_prefix_trie": prefix_trie.ORACLE_SQL,
     "op13_merkle": merkle.ORACLE_SQL,
 }
