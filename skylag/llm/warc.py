@@ -140,7 +140,8 @@ def write_archives(
     rows = rows.select("key", "uri", F.col("text").cast("binary").alias("content"), F.octet_length("text").cast("long").alias("size"), F.sha2("text", 256).alias("digest"))
     long = rows.where(F.col("size") >= REVISIT_BYTES).select("digest", "key")
     firsts = long.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    known = rows.join(firsts.select("digest", "first"), "digest", "left")
+    # Written, so that its size is known: a small table goes to the pages, not they to it.
+    known = rows.join(materialise(firsts.select("digest", "first"), "warc-firsts"), "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
     body = F.when(~again, F.col("content")).otherwise(F.lit(b""))
     known = known.select("key", "uri", body.alias("content"), "size", "digest", "first", again.alias("again"))
