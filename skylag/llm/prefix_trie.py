@@ -2,10 +2,12 @@
 
 Turns of a conversation stand in columns, one for each of ``BLOCK`` positions, and a
 ROLLUP over the columns makes all prefixes of a block at once; grouping_id tells how
-deep each is. Conversations longer than a block go on in the next one, keyed by the
-node they reached, which its depth and the smallest conversation below it name. A
-second ROLLUP, over the nodes and from the last block to the first, sums up subtrees:
-a block gives the totals of each key to the node it hangs on.
+deep each is. Conversations longer than a block go on in further rows, keyed by the node
+they reached: its key is a running sum, over the blocks before, of digests of their
+turns and places, so the rows of all blocks are rolled up together and the number of
+steps does not depend on the longest conversation. A second ROLLUP, over the nodes,
+sums up subtrees; what lies below a block is added up first, each block giving its
+sums to the blocks it goes on from.
 
 The conversations that end at a node are digested in the order of their ids: ids lie
 in lists of at most ``IDS`` consecutive ones, made by grouping, and a task folds the
@@ -15,8 +17,9 @@ Defined cases: turns are ordered by turn, nulls first, then role, then text, and
 repeated rows are turns of their own; a null role or text is an empty one; rows without
 conversation take no part; a conversation without turns ends at the root; an empty
 table has no node, not even a root. A turn is named by 128 bits of a digest of role
-and text. The turns of one conversation are numbered in one task, which sorts them on
-disk; there are as many rounds as the longest has blocks. Other columns take no part.
+and text, a node by 180. The turns of one conversation are numbered in one task, which
+sorts them on disk; a conversation of b blocks gives b * b / 2 rows of sums. Other
+columns take no part.
 """
 
 from __future__ import annotations
@@ -66,44 +69,91 @@ def rebuilt(turns: DataFrame, base: Column, shared: Column) -> tuple[DataFrame,
     return convs.select("conv_id", "n"), heads.union(rest)
 
 
-def _path(turns: list[Column]) -> Column:
-    return F.sha2(F.concat_ws(",", F.col("key").cast("string"), *turns), 256)
-
-
 def _rolled(rows: DataFrame, measures: str) -> DataFrame:
-    """ROLLUP over the positions, under each key; ``g`` positions are given in a row."""
+    """ROLLUP over the positions, in each block and under each key; ``g`` positions are
+    given in a row."""
     turns = ", ".join(_T)
-    text = f"SELECT key, {turns}, {BLOCK} - bit_count(grouping_id()) AS g, {measures} FROM {{rows}} GROUP BY key, ROLLUP ({turns})"
+    text = f"SELECT block, key, {turns}, {BLOCK} - bit_count(grouping_id()) AS g, {measures} FROM {{rows}} GROUP BY block, key, ROLLUP ({turns})"
     made = rows.sparkSession.sql(text, rows=rows)
     last = F.when(F.col("g") > 0, F.get(F.array(*_T), F.col("g") - 1))
     # A conversation that ended before a position has no prefix of that length.
     return made.withColumn("last", last).where("g = 0 or last is not null")
 
 
-def _nodes(rows: DataFrame, block: int) -> DataFrame:
-    """Nodes of a block from its conversations (conv_id, key, n, t1, ...)."""
+def _parts() -> list[Column]:
+    """Three numbers of 60 bits that stand for the turns of a block at its place."""
+    digest = F.sha2(F.concat_ws(",", F.col("block").cast("string"), *_T), 256)
+    return [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in range(3)]
+
+
+def _key(sums: list[Column]) -> Column:
+    return F.concat_ws(":", *[x.cast("decimal(38,0)").cast("string") for x in sums])
+
+
+def _next_key() -> Column:
+    """The key of the block that goes on from a full one."""
+    old = F.split("key", ":")
+    return _key([F.get(old, F.lit(i)).cast("decimal(38,0)") + part for i, part in enumerate(_parts())])
+
+
+def _path(turns: list[Column], full: Column | None = None) -> Column:
+    """The name of a node: block, key and turns; of a full block the next one's key."""
+    name = F.concat_ws(",", F.col("block").cast("string"), F.col("key"), *turns)
+    if full is not None:
+        name = F.when(full, F.concat_ws(",", (F.col("block") + 1).cast("string"), _next_key())).otherwise(name)
+    return F.sha2(name, 256)
+
+
+def _rows(convs: DataFrame, turns: DataFrame) -> DataFrame:
+    """(conv_id, n, block, key, t1, ...): the blocks of conversations, one at least."""
+    at = F.col("pos") - 1
+    columns = [F.max(F.when(at % BLOCK == i, F.col("turn"))).alias(name) for i, name in enumerate(_T)]
+    blocks = turns.groupBy("conv_id", F.floor(at / BLOCK).alias("block")).agg(*columns)
+    rows = convs.join(blocks, "conv_id", "left").withColumn("block", F.coalesce("block", F.lit(0).cast("long")))
+    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.coalesce(F.sum(part).over(before), F.lit(0)) for part in _parts()]
+    return rows.withColumn("key", _key(sums))
+
+
+def _nodes(rows: DataFrame) -> DataFrame:
+    """Nodes of all blocks with what they add to the sums of their subtrees."""
     made = _rolled(rows, "min(conv_id) AS conv_id, count(*) AS n_convs, max(n) AS longest")
-    depth = F.col("g") + block * BLOCK
+    depth = F.col("g") + F.col("block") * BLOCK
     chars = F.coalesce(F.substring_index("last", ":", -1).cast("long"), F.lit(0))
     leaf = (F.col("longest") == depth).cast("long")
-    return made.select("key", *_T, "g", "conv_id", "n_convs", leaf.alias("leaves"), ((F.col("n_convs") - 1) * chars).alias("saved"))
-
-
-def _totals(nodes: DataFrame, below: DataFrame | None) -> DataFrame:
-    """Nodes of a block with the sums of their subtrees; ``below`` (conv_id, leaves,
-    saved, children) are those of the next block by the node they hang on."""
-    nodes = nodes.withColumn("children", F.lit(0).cast("long"))
-    if below is not None:
-        more = below.select(F.col("conv_id").alias("at"), *[F.col(c).alias(f"_{c}") for c in ("leaves", "saved", "children")])
-        nodes = nodes.join(more, (F.col("g") == BLOCK) & (F.col("conv_id") == F.col("at")), "left")
-        nodes = nodes.withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("leaves", "saved", "children")})
+    made = made.where("g > 0 or block = 0")
+    return made.select("block", "key", *_T, "g", "conv_id", "n_convs", leaf.alias("leaves"), ((F.col("n_convs") - 1) * chars).alias("saved"))
+
+
+def _below(nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(block, key, leaves, saved, children) of each block but the first: the sums of all
+    nodes below the node it goes on from, and how many children that node has."""
+    own = nodes.where("block > 0").groupBy("block", "key").agg(
+        F.min("conv_id").alias("conv_id"), F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"), F.count_if(F.col("g") == 1).alias("children")
+    )
+    # One conversation of a block leads to all blocks it goes on from.
+    way = rows.where("block > 0").select(F.col("conv_id").alias("of"), F.col("block").alias("up"), F.col("key").alias("up_key"))
+    met = own.join(way, (F.col("of") == F.col("conv_id")) & (F.col("up") <= F.col("block")))
+    children = F.max(F.when(F.col("up") == F.col("block"), F.col("children")))
+    sums = met.groupBy("up", "up_key").agg(F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"), children.alias("children"))
+    return sums.select((F.col("up") - 1).alias("block"), F.col("up_key").alias("next"), "leaves", "saved", "children")
+
+
+def _totals(nodes: DataFrame, below: DataFrame) -> DataFrame:
+    """Nodes with the sums of their subtrees and the number of their children."""
+    more = below.select(F.col("block").alias("_block"), "next", *[F.col(c).alias(f"_{c}") for c in ("leaves", "saved", "children")])
+    full = F.col("g") == BLOCK
+    nodes = nodes.withColumn("_next", F.when(full, _next_key()))
+    nodes = nodes.join(more, (F.col("_next") == F.col("next")) & (F.col("block") == F.col("_block")), "left")
+    nodes = nodes.withColumns({c: F.col(c) + F.coalesce(f"_{c}", F.lit(0)) for c in ("leaves", "saved")})
     # Levels are named d here: inside the sums g would be that of the result.
-    nodes = nodes.select("key", *_T, F.col("g").alias("d"), "conv_id", "n_convs", "leaves", "saved", "children")
+    nodes = nodes.select("block", "key", *_T, F.col("g").alias("d"), "conv_id", "n_convs", "leaves", "saved", F.coalesce("_children", F.lit(0)).alias("children"))
     counts = ", ".join(f"count_if(d = {i}) AS c{i}" for i in range(1, BLOCK + 1))
     own = f"max(CASE WHEN d = {BLOCK} THEN children ELSE 0 END) AS c{BLOCK + 1}"
     made = _rolled(nodes, f"min(conv_id) AS conv_id, max(n_convs) AS n_convs, sum(leaves) AS leaves, sum(saved) AS saved, {counts}, {own}")
     children = F.get(F.array(*[f"c{i}" for i in range(1, BLOCK + 2)]), F.col("g"))
-    return made.select("key", *_T, "g", "conv_id", "n_convs", "leaves", "saved", children.alias("children"))
+    made = made.where("g > 0 or block = 0")
+    return made.select("block", "key", *_T, "g", "conv_id", "n_convs", "leaves", "saved", children.alias("children"))
 
 
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,48 +190,25 @@ def _ends(rows: DataFrame) -> DataFrame:
 
 def prefix_trie(convs: DataFrame, turns: DataFrame) -> DataFrame:
     """Nodes of conversations ``convs`` (conv_id, n) with turns (conv_id, pos, turn)."""
-    at = F.col("pos") - 1
-    columns = [F.max(F.when(at % BLOCK == i, F.col("turn"))).alias(name) for i, name in enumerate(_T)]
-    blocks = materialise(turns.groupBy("conv_id", F.floor(at / BLOCK).alias("block")).agg(*columns), "blocks")
-    first, most = convs.agg(F.min("conv_id"), F.max("n")).first()
-    count = max(1, -(-(most or 0) // BLOCK))
-    rows = convs.withColumn("key", F.lit(first or 0).cast("long"))
-    nodes, ends = [], []
-    for block in range(count):
-        rows = rows.join(blocks.where(F.col("block") == block).drop("block"), "conv_id", "left")
-        rows = rows.withColumn("path", _path([F.col(t) for t in _T]))
-        rows = materialise(rows, "rows") if count > 1 else rows
-        found = _nodes(rows, block)
-        nodes.append(materialise(found if block == 0 else found.where("g > 0"), "nodes"))
-        ends.append(rows.where(F.col("n") <= (block + 1) * BLOCK).select("path", "conv_id"))
-        if block + 1 < count:
-            full = nodes[-1].where(F.col("g") == BLOCK).select(_path([F.col(t) for t in _T]).alias("path"), F.col("conv_id").alias("reached"))
-            longer = rows.where(F.col("n") > (block + 1) * BLOCK).select("conv_id", "n", "path")
-            rows = longer.join(full, "path").select("conv_id", "n", F.col("reached").alias("key"))
-    made, below = [], None
-    for block in range(count - 1, -1, -1):
-        totals = materialise(_totals(nodes[block], below), "totals")
-        below = totals.where("g = 0").select(F.col("key").alias("conv_id"), "leaves", "saved", "children")
-        above = [F.when(F.col("g") > i, F.col(t)) for i, t in enumerate(_T, 1)]
-        totals = totals if block == 0 else totals.where("g > 0")
-        totals = totals.select("*", _path([F.col(t) for t in _T]).alias("path"), _path(above).alias("above"))
-        # The node a block hangs on is named by its key.
-        inner = totals.where("g > 1").join(totals.select(F.col("path").alias("above"), F.col("conv_id").alias("parent_conv_id")), "above")
-        parent = F.when(F.col("g") == 1, F.col("key"))
-        outer = totals.where("g <= 1").withColumn("parent_conv_id", parent)
-        digests = _ends(ends[block])
-        whole = outer.unionByName(inner).join(digests, "path", "left")
-        made.append(
-            whole.select(
-                "conv_id", (F.col("g") + block * BLOCK).cast("long").alias("depth"), "parent_conv_id", "n_convs",
-                F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"),
-                F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"),
-            )
-        )
-    result = made[0]
-    for part in made[1:]:
-        result = result.union(part)
-    return result
+    rows = materialise(_rows(convs, turns), "rows")
+    nodes = materialise(_nodes(rows), "nodes")
+    totals = _totals(nodes, materialise(_below(nodes, rows), "below"))
+    above = [F.when(F.col("g") > i, F.col(t)) for i, t in enumerate(_T, 1)]
+    names = [_path([F.col(t) for t in _T], F.col("g") == BLOCK).alias("path"), _path(above).alias("above")]
+    depth = (F.col("g") + F.col("block") * BLOCK).cast("long")
+    totals = totals.select(depth.alias("depth"), "conv_id", "n_convs", "leaves", "saved", "children", *names)
+    totals = materialise(totals, "totals")
+    # The root is the parent of many: its name goes to them as one number.
+    least = convs.agg(F.min("conv_id").alias("least")).scalar()
+    parents = totals.select(F.col("path").alias("above"), F.col("conv_id").alias("parent_conv_id"))
+    inner = totals.where("depth > 1").join(parents, "above")
+    outer = totals.where("depth <= 1").withColumn("parent_conv_id", F.when(F.col("depth") == 1, least))
+    last = rows.where(F.col("n") <= (F.col("block") + 1) * BLOCK)
+    ends = last.select(_path([F.col(t) for t in _T], F.col("n") == (F.col("block") + 1) * BLOCK).alias("path"), "conv_id")
+    return outer.unionByName(inner).join(_ends(ends), "path", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"),
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
