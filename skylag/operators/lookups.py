@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skylag.functions.text import matched_words, query_words
+from skylag.operators import text_index
 from skylag.operators.summaries import fleet_counts
 
 # Rows on one page.
@@ -61,7 +62,8 @@ def get_flight(flights: DataFrame, carrier: str, flight_date: str, flight_num: s
 def list_flights(flights: DataFrame, origin: str, dest: str, flight_date: str) -> DataFrame:
     """Flights of a route on a day by departure and arrival, each with the count."""
     found = search_flights(flights, Origin=origin, Dest=dest, FlightDate=flight_date)
-    return with_total(found, found).orderBy("DepTime", "ArrTime")
+    order = _order(found.columns, ["DepTime", "ArrTime"], ())
+    return with_total(found, found).orderBy(*order)
 
 
 def airplane_flights(
@@ -202,6 +204,40 @@ def airplanes_page(
     return with_total(page(hits, order, start, size, descending=["Relevance"]), hits)
 
 
+def index_airplanes(airplanes: DataFrame, path: str) -> None:
+    """Store the index for the searches below, over all fields, by tail number."""
+    text_index.build_index(airplanes, path, "TailNum", AIRPLANE_FIELDS)
+
+
+def indexed_airplanes(
+    spark: SparkSession, path: str, airplanes: DataFrame, **fields: str | None
+) -> DataFrame:
+    """The airplanes of ``search_airplanes``, found and scored by the index; without
+    any words to look for, all of them with a score of 0."""
+    wanted = _check_fields(fields, AIRPLANE_FIELDS)
+    if not any(query_words(value) for value in wanted.values()):
+        return airplanes.withColumn("Relevance", F.lit(0.0))
+    return text_index.with_documents(text_index.hits(spark, path, **wanted), airplanes, "TailNum")
+
+
+def indexed_airplanes_page(
+    spark: SparkSession, path: str, airplanes: DataFrame, start: int = 0,
+    size: int = AIRPLANES_PER_PAGE, **fields: str | None,
+) -> DataFrame:
+    """One page of an indexed search by owner, best matches first."""
+    hits = indexed_airplanes(spark, path, airplanes, **fields)
+    order = [*AIRPLANE_ORDER, "Relevance"]
+    return with_total(page(hits, order, start, size, descending=["Relevance"]), hits)
+
+
+def best_airplanes(
+    spark: SparkSession, path: str, airplanes: DataFrame, n: int, **fields: str | None
+) -> DataFrame:
+    """The ``n`` airplanes that match best, ties by tail number."""
+    wanted = _check_fields(fields, AIRPLANE_FIELDS)
+    return text_index.top(spark, path, airplanes, "TailNum", n, **wanted)
+
+
 def page_bounds(df: DataFrame, start: int, end: int, size: int, total: str = "total") -> DataFrame:
     """A page with the offsets of its neighbours, never below 0, and whether each
     neighbour is worth a link: it starts before the last row and ends above 0."""

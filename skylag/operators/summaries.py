@@ -17,10 +17,13 @@ def class_counts(df: DataFrame, column: str = "Prediction") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
 
 
+def month_counts(flights: DataFrame) -> DataFrame:
+    return flights.groupBy("Year", "Month").agg(F.count(F.lit(1)).alias("total_flights"))
+
+
 def flights_by_month(flights: DataFrame) -> DataFrame:
     """Flights of each year and month, in order."""
-    counted = flights.groupBy("Year", "Month").agg(F.count(F.lit(1)).alias("total_flights"))
-    return counted.orderBy("Year", "Month")
+    return month_counts(flights).orderBy("Year", "Month")
 
 
 def flights_per_airplane(flights: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import shutil
 import tempfile
 import uuid
@@ -107,3 +108,60 @@ def materialise(df, name: str):
     path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers of this machine import the package from where it lies.
+
+    A cluster gets it by ``--py-files`` or an installed package; the extra path is
+    then one that does not exist.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def _placed(spark: SparkSession, path: str):
+    """The file system of a path, by the names Spark knows, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none where there is no such folder."""
+    system, place = _placed(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(found.getPath().getName() for found in system.listStatus(place))
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a short file that must not be there yet. It appears as a whole."""
+    system, place = _placed(spark, path)
+    _, draft = _placed(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if system.exists(place) or not system.rename(draft, place):
+        system.delete(draft, False)
+        raise FileExistsError(path)
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    """The text of a short file."""
+    system, place = _placed(spark, path)
+    source = system.open(place)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds; nothing happens where there is none."""
+    system, place = _placed(spark, path)
+    system.delete(place, True)

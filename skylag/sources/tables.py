@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from skylag.functions.messages import JSON_OPTIONS
 from skylag.schemas import BATCH_REQUEST, DISTANCES, FEATURES
+from skylag.sinks import folders
 from skylag.sinks.files import day_path
 
 
@@ -103,17 +104,29 @@ def read_collection(
     return df.where(where) if where is not None else df
 
 
+def distances_version(spark: SparkSession, path: str, fmt: str = "parquet") -> str | None:
+    """The name of what ``path`` holds now, for ``read_distances``: a commit of a table in
+    folders, a version folder, or None for a plain table."""
+    if fmt != "parquet":
+        return None
+    numbers = folders.commits(spark, path)
+    return str(numbers[-1]) if numbers else current_version(spark, path)
+
+
 def read_distances(
-    spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options: str
+    spark: SparkSession, path: str | None = None, fmt: str = "parquet", version: str | None = None, **options: str
 ) -> DataFrame:
     """The route distances, columns renamed to the names requests use.
 
     Pass ``keyspace`` and ``table`` as options for a wide-column store; stores
-    that fold names to lower case resolve all the same. Of a table kept in versions
-    the current one is read.
+    that fold names to lower case resolve all the same. Of a table kept in folders or
+    in versions the current state is read, or the one that ``version`` names.
     """
     if path and fmt == "parquet":
-        path = current_version(spark, path) or path
+        version = version or distances_version(spark, path)
+        if version and version.isdigit():
+            return folders.read_folders(spark, path, DISTANCES, int(version))
+        path = version or path
     reader = spark.read.format(fmt).options(**options)
     if fmt == "json":
         reader = reader.schema(DISTANCES)
