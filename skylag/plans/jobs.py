@@ -14,9 +14,9 @@ from skylag.operators import distances as dist
 from skylag.operators import features as feat
 from skylag.operators import lookups, model, requests
 from skylag.session import materialise
-from skylag.sinks import files
+from skylag.sinks import files, folders
 from skylag.sources import tables, topics
-from skylag.streaming import matching, scoring, sinks
+from skylag.streaming import delivery, matching, scoring, sinks, waiting
 
 
 def run_extract(
@@ -117,15 +117,25 @@ def run_distances(
 def run_migrate(spark: SparkSession, source: str, target: str, fmt: str = "json") -> None:
     """Put the distances of ``source`` into the keyed table ``target``.
 
-    The new version is written in full beside the current one before it takes its
-    place; a stream that reads the current one goes on.
+    The table lies in folders by a hash of the route; those that no change touches stay
+    as they are. New files are written beside the current ones before they take their
+    place, so a stream that reads the current ones goes on. A table kept in whole
+    versions is taken over at the first write.
     """
     reader = spark.read.schema(schemas.DISTANCES).format(fmt)
     changes = dist.select_distances(reader.load(source))
-    current = tables.current_version(spark, target)
-    known = spark.read.schema(schemas.DISTANCES)
-    stored = known.parquet(current) if current else spark.createDataFrame([], schemas.DISTANCES)
-    files.write_version(dist.upsert(stored, changes, dist.ROUTE), target, dist.ROUTE)
+    if not folders.commits(spark, target):
+        current = tables.current_version(spark, target)
+        if current:
+            stored = spark.read.schema(schemas.DISTANCES).parquet(current)
+            changes = dist.upsert(stored, changes, dist.ROUTE)
+    folders.upsert_table(changes, target, schemas.DISTANCES, dist.ROUTE)
+
+
+def run_clean(spark: SparkSession, target: str, keep: int = 2) -> None:
+    """Remove files of a table in folders that none of its last ``keep`` states names.
+    Readers that began before these states must have ended."""
+    folders.clean(spark, target, keep)
 
 
 def run_fetch(
@@ -165,10 +175,17 @@ def run_load(
     fmt: str = "parquet", rejects: str | None = None, **options: str,
 ) -> int:
     """One day of results to the result collection. Times stay text, as sent.
-    Lines that do not decode go to the day's folder of ``rejects``; returns how many."""
+
+    A collection of files has a folder for each day, which a day that is loaded again
+    replaces; other stores are appended to. Lines that do not decode go to the day's
+    folder of ``rejects``; returns how many.
+    """
     day_folder = files.day_path(results_path, day)
     good, bad = tables.split_json_lines(spark, day_folder, schemas.BATCH_RESULT)
-    files.append_collection(good, collection, fmt, **options)
+    if fmt in ("parquet", "json", "orc"):
+        good.drop("request_date").write.mode("overwrite").format(fmt).options(**options).save(files.day_path(collection, day))
+    else:
+        files.append_collection(good, collection, fmt, **options)
     return _keep_rejects(bad, rejects, day)
 
 
@@ -179,16 +196,45 @@ def run_stream_scoring(
     trigger: str | None = None, console: bool = False, rejects: str | None = None,
     distances_fmt: str = "parquet", distances_options: dict[str, str] | None = None,
     collection_options: dict[str, str] | None = None, topic_options: dict[str, str] | None = None,
+    independent: bool = False,
 ):
     """Start the continuous job with its sinks; ``sinks.run`` waits for it.
 
+    The topic is read and scored once for all sinks, each of which gets a micro-batch
+    once, and the distances are those that are current when the batch begins. With
+    ``independent`` each sink is a query of its own that reads and scores for itself,
+    with the distances of the start, so a slow sink does not hold up the others.
+
     Messages that do not decode go to ``rejects``. ``topic_options`` may limit the
     rate of a broker (``maxOffsetsPerTrigger``, ``minPartitions``). ``console`` prints
     some rows of each micro-batch as well.
     """
     messages = topics.stream_topic(spark, request_topic, fmt, servers, **(topic_options or {}))
-    known = tables.read_distances(spark, distances_path, distances_fmt, **(distances_options or {}))
-    scored = scoring.score_stream(messages, known, model.load_model(model_path))
+    fitted = model.load_model(model_path)
+
+    def known(version: str | None) -> DataFrame:
+        return tables.read_distances(spark, distances_path, distances_fmt, version, **(distances_options or {}))
+
+    if not independent:
+        writers = {
+            "collection": delivery.collection_writer(collection, collection_fmt, **(collection_options or {})),
+            "topic": delivery.topic_writer(response_topic, fmt, servers),
+            "files": delivery.collection_writer(archive),
+        }
+        if console:
+            writers["console"] = delivery.console_writer()
+        raw = {}
+        if rejects:
+            keep = delivery.collection_writer(rejects)
+            raw["rejects"] = lambda batch, n: keep(split_malformed(batch)[1], n)
+        return {
+            "scored": delivery.deliver(
+                messages, lambda batch, version: scoring.score_stream(batch, known(version), fitted), writers,
+                f"{checkpoints}/scored", f"{checkpoints}/ledger",
+                lambda: tables.distances_version(spark, distances_path, distances_fmt), raw, trigger,
+            )
+        }
+    scored = scoring.score_stream(messages, known(None), fitted)
     targets = {
         "collection": lambda d: sinks.sink_collection(
             d, collection, f"{checkpoints}/collection", collection_fmt, trigger, **(collection_options or {})
@@ -210,16 +256,19 @@ def run_stream_scoring(
 def run_match(
     spark: SparkSession, request_topic: str, response_topic: str, out: str, checkpoint: str,
     fmt: str = "parquet", servers: str = "localhost:9092", wait: str = "20 seconds",
-    trigger: str | None = None,
+    trigger: str | None = None, timers: bool = False,
 ):
-    """Start the job that pairs requests with their responses, by the topics' own times."""
+    """Start the job that pairs requests with their responses, by the topics' own times.
+    With ``timers`` an answer goes out as soon as none before it can come, without
+    them a join gives all rows at the end of the wait."""
     sides = []
     for topic, schema in ((request_topic, schemas.STREAM_REQUEST), (response_topic, schemas.SCORED)):
         rows = topics.stream_topic(spark, topic, fmt, servers).select(
             from_message("value", schema).alias("m"), F.col("timestamp").alias("ts")
         )
         sides.append(rows.where(F.col("m.UUID").isNotNull()).select("m.*", "ts"))
-    matched = matching.match_stream(*sides, wait=wait)
+    match = waiting.wait_stream if timers else matching.match_stream
+    matched = match(*sides, wait=wait)
     return sinks.sink_parquet(matched, out, checkpoint, trigger)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skylag.operators import features as feat
 from skylag.plans import jobs
+from skylag.sinks import files, folders
 from skylag.sources import tables, testbed, topics
 from skylag.streaming import sinks
 
@@ -94,7 +95,8 @@ def test_daily_jobs_from_tasks_to_the_results_page(spark, sf_dir, base, trained,
     for _ in range(2):  # running a day again replaces it
         jobs.run_fetch(spark, f"{base}/tasks", f"{base}/daily", today)
         jobs.run_daily_scoring(spark, f"{base}/daily", trained[0], f"{base}/results", today)
-    jobs.run_load(spark, f"{base}/results", f"{base}/collection", today)
+    for _ in range(2):  # so does loading it
+        jobs.run_load(spark, f"{base}/results", f"{base}/collection", today)
     stored = tables.read_collection(spark, f"{base}/collection")
     assert stored.count() == 50
     assert {"Route", "Prediction"} <= set(stored.columns)
@@ -103,19 +105,22 @@ def test_daily_jobs_from_tasks_to_the_results_page(spark, sf_dir, base, trained,
     assert page.columns[-1] == "PredictedDelay"
 
 
-def test_continuous_job_with_all_sinks(spark, sf_dir, base, trained, distances):
+@pytest.mark.parametrize("independent", [False, True])
+def test_continuous_job_with_all_sinks(spark, sf_dir, base, trained, distances, independent, capsys):
+    at = f"{base}/continuous-{independent}"
     forms = testbed.requests(spark, sf_dir).drop("ts", "UUID", "Timestamp").limit(40)
-    made = jobs.run_prepare(spark, forms, distances, topic=f"{base}/request", on_missing="drop")
+    made = jobs.run_prepare(spark, forms, distances, topic=f"{at}/request", on_missing="drop")
     started = jobs.run_stream_scoring(
-        spark, f"{base}/request", distances, trained[0], f"{base}/response", f"{base}/scored",
-        f"{base}/archive", f"{base}/marks", trigger="available",
+        spark, f"{at}/request", distances, trained[0], f"{at}/response", f"{at}/scored",
+        f"{at}/archive", f"{at}/marks", trigger="available", independent=independent, console=not independent,
     )
-    assert set(started) == {"collection", "topic", "files"}
+    assert set(started) == ({"collection", "topic", "files"} if independent else {"scored"})
     sinks.drain(*started.values())
     ids = sorted(r["UUID"] for r in made.collect())
-    assert sorted(r["key"] for r in topics.read_topic(spark, f"{base}/response").collect()) == ids
-    for path in (f"{base}/scored", f"{base}/archive"):
+    assert sorted(r["key"] for r in topics.read_topic(spark, f"{at}/response").collect()) == ids
+    for path in (f"{at}/scored", f"{at}/archive"):
         assert sorted(r["UUID"] for r in spark.read.parquet(path).collect()) == ids
+    assert independent or capsys.readouterr().out.count("|") > 20
 
 
 def test_bad_lines_and_missing_days(spark, base, trained):
@@ -146,7 +151,25 @@ def test_readers_of_a_version_survive_the_next(spark, base, distances):
     rows = before.count()
     jobs.run_migrate(spark, f"{base}/distances-json", distances)
     assert before.count() == rows
-    assert tables.read_distances(spark, distances).inputFiles() != before.inputFiles()
+    assert not set(tables.read_distances(spark, distances).inputFiles()) & set(before.inputFiles())
+
+
+def test_a_table_in_versions_is_taken_over(spark, base, distances):
+    old = tables.read_distances(spark, distances)
+    files.write_version(old.withColumn("Distance", F.lit(1.0)).where("Origin <> 'A01'"), f"{base}/versions", ["Origin", "Dest"])
+    old.where("Origin = 'A01'").write.json(f"{base}/some-json")
+    jobs.run_migrate(spark, f"{base}/some-json", f"{base}/versions")
+    rows = tables.read_distances(spark, f"{base}/versions")
+    assert rows.count() == old.count() and rows.where("Origin <> 'A01' AND Distance <> 1.0").count() == 0
+    assert rows.where("Origin = 'A01'").exceptAll(old).count() == 0
+
+
+def test_old_states_of_a_table_are_removed(spark, base, distances):
+    before = sorted(map(tuple, tables.read_distances(spark, distances).collect()))
+    jobs.run_clean(spark, distances, keep=1)
+    jobs.run_clean(spark, distances, keep=1)
+    assert sorted(map(tuple, tables.read_distances(spark, distances).collect())) == before
+    assert len(folders.commits(spark, distances)) == 1
 
 
 def test_jobs_have_a_command(spark, flights, base):
