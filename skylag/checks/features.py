@@ -10,7 +10,7 @@ from skylag.checks.common import (
 )
 from skylag.operators import distances as dist
 from skylag.operators import features as feat
-from skylag.operators import model
+from skylag.operators import model, ranks
 from skylag.operators.summaries import class_counts
 from skylag.session import materialise, work_path
 from skylag.sinks import files
@@ -164,6 +164,26 @@ counted AS (SELECT "{_column}" AS label, count(*) AS n FROM routed GROUP BY 1)
 SELECT label, CAST(row_number() OVER (ORDER BY n DESC, label) - 1 AS DOUBLE) AS position FROM counted"""
 
 
+def frequency_index(spark, sf_dir):
+    """The route index by ranges, without labels on the driver."""
+    return ranks.frequency_index(feat.with_route(features(spark, sf_dir)), "Route").withColumnRenamed("Route", "label")
+
+
+QUERIES["frequency_index"] = frequency_index
+ORACLE["frequency_index"] = ORACLE["route_index"]
+
+
+def indexed_features(spark, sf_dir):
+    """The vectors of ``feature_vectors`` as columns, their indexes joined from tables."""
+    rows = model.training_rows(stored_features(spark, sf_dir))
+    for column, name in zip(model.INDEXED, model.INDEX_COLUMNS, strict=True):
+        rows = ranks.with_index(rows, materialise(ranks.frequency_index(rows, column), "index"), column, name)
+    return rows.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(model.VECTOR_COLUMNS)], model.LABEL)
+
+
+QUERIES["indexed_features"] = indexed_features
+
+
 def feature_vectors(spark, sf_dir):
     """All nine numbers of each vector, with the class."""
     from pyspark.ml.functions import vector_to_array
@@ -197,6 +217,7 @@ JOIN i_origin ON routed."Origin" = i_origin.label
 JOIN i_dest ON routed."Dest" = i_dest.label
 JOIN i_route ON routed."Route" = i_route.label"""
 )
+ORACLE["indexed_features"] = ORACLE["feature_vectors"]
 
 
 # Models.

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from skylag.checks import sql
 from skylag.checks.common import distances, flights
+from skylag.operators import daystates, lookups, summaries
 from skylag.operators import distances as dist
-from skylag.operators import lookups, summaries
+from skylag.schemas import DISTANCES
 from skylag.session import tune, work_path
-from skylag.sinks import files
+from skylag.sinks import files, folders, zorder
 from skylag.sources import tables, testbed
 
 QUERIES = {}
@@ -195,6 +196,132 @@ ORDER BY "Owner", "Relevance" DESC, {sql.cols([c for c in sql.AIRPLANE_COLUMNS i
 LIMIT 5 OFFSET 5"""
 
 
+# The same searches by the index, scored by BM25; the SQL scores every row.
+_OWNER_MANY, _TYPE_MANY = "big small widget", "economy brushed tin"
+
+
+def _bm25(field, text):
+    """SQL of the hits (TailNum, s) of one field."""
+    wanted = ", ".join(f"('{w}')" for w in text.split())
+    words = _WORDS.format(c=f'"{field}"')
+    return f"""(WITH docs AS (SELECT "TailNum", {words} AS ws FROM airplanes WHERE len({words}) > 0),
+  size AS (SELECT count(*) AS n, avg(len(ws)) AS average FROM docs),
+  tf AS (SELECT "TailNum", w, len(ws) AS length, len([x FOR x IN ws IF x = w]) AS tf FROM docs, (VALUES {wanted}) AS q(w)),
+  df AS (SELECT w, count(*) AS df FROM tf WHERE tf > 0 GROUP BY w)
+  SELECT "TailNum", sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / average))) AS s
+  FROM tf JOIN df USING (w), size WHERE tf > 0 GROUP BY "TailNum")"""
+
+
+def _indexed_hits(owner, kind):
+    return f"""WITH {sql.AIRPLANES}, found AS (
+  SELECT {sql.cols(sql.AIRPLANE_COLUMNS)}, round(a.s + b.s, 9) AS "Relevance"
+  FROM airplanes JOIN {_bm25('Owner', owner)} a USING ("TailNum") JOIN {_bm25('Model', kind)} b USING ("TailNum")
+)"""
+
+
+def _indexed(spark, sf_dir):
+    planes, path = testbed.airplanes(tune(spark), sf_dir), work_path(spark, "index")
+    lookups.index_airplanes(planes, path)
+    return planes, path
+
+
+def indexed_airplanes(spark, sf_dir):
+    planes, path = _indexed(spark, sf_dir)
+    return lookups.indexed_airplanes(spark, path, planes, Owner=_OWNER_MANY, Model=_TYPE_MANY)
+
+
+QUERIES["indexed_airplanes"] = indexed_airplanes
+ORACLE["indexed_airplanes"] = f"{_indexed_hits(_OWNER_MANY, _TYPE_MANY)} SELECT * FROM found"
+
+
+def indexed_airplanes_page(spark, sf_dir):
+    planes, path = _indexed(spark, sf_dir)
+    return lookups.indexed_airplanes_page(spark, path, planes, start=5, Owner=_OWNER, Model=_MODEL)
+
+
+QUERIES["indexed_airplanes_page"] = indexed_airplanes_page
+ORACLE["indexed_airplanes_page"] = f"""{_indexed_hits(_OWNER, _MODEL)}
+SELECT *, (SELECT count(*) FROM found) AS total FROM found
+ORDER BY "Owner", "Relevance" DESC, {sql.cols([c for c in sql.AIRPLANE_COLUMNS if c != "Owner"])} LIMIT 5 OFFSET 5"""
+
+
+def best_airplanes(spark, sf_dir):
+    """The ten best matches."""
+    planes, path = _indexed(spark, sf_dir)
+    return lookups.best_airplanes(spark, path, planes, 10, Owner=_OWNER_MANY, Model=_TYPE_MANY)
+
+
+QUERIES["best_airplanes"] = best_airplanes
+ORACLE["best_airplanes"] = f"""{_indexed_hits(_OWNER_MANY, _TYPE_MANY)}
+SELECT * FROM found ORDER BY "Relevance" DESC, "TailNum" LIMIT 10"""
+
+
+def upsert_folders(spark, sf_dir):
+    """The changes of ``upsert_distances``, put in two steps into a table in folders."""
+    return folders.read_folders(spark, _folder_table(spark, sf_dir), DISTANCES)
+
+
+def _changes(spark, sf_dir):
+    return flights(spark, sf_dir).select(
+        "Origin",
+        F.when(F.col("Month") <= 6, F.col("Dest")).otherwise(F.concat(F.lit("X"), F.col("Dest"))).alias("Dest"),
+        F.when(F.col("DayofMonth") != 7, F.col("Distance") + F.col("DayofMonth")).alias("Distance"),
+        F.concat_ws(" ", "FlightDate", "FlightNum").alias("seq"),
+    )
+
+
+def _folder_table(spark, sf_dir):
+    path = work_path(spark, "folders")
+    folders.upsert_table(distances(spark, sf_dir), path, DISTANCES, dist.ROUTE, buckets=16)
+    changes = dist.select_distances(_changes(spark, sf_dir), "seq")
+    for part in ("seq < '1995'", "seq >= '1995'"):
+        folders.upsert_table(changes.where(part), path, DISTANCES, dist.ROUTE, seq="seq")
+    return path
+
+
+QUERIES["upsert_folders"] = upsert_folders
+ORACLE["upsert_folders"] = ORACLE["upsert_distances"]
+
+
+def folder_lookup(spark, sf_dir):
+    """One route of that table, from the only folder it can lie in."""
+    return folders.lookup(spark, _folder_table(spark, sf_dir), DISTANCES, Origin="A03", Dest="XA07")
+
+
+QUERIES["folder_lookup"] = folder_lookup
+ORACLE["folder_lookup"] = ORACLE["upsert_distances"] + " AND \"Origin\" = 'A03' AND \"Dest\" = 'XA07'"
+
+
+def distances_by_year(spark, sf_dir):
+    """Mean distances merged from years: all put with wrong distances first, then right,
+    and a year without flights taken back."""
+    path, rows = work_path(spark, "states"), flights(spark, sf_dir)
+    years = [r[0] for r in rows.select("Year").distinct().orderBy("Year").collect()]
+    wrong = rows.withColumn("Distance", F.col("Distance") * 2)
+    extra = wrong.where(F.col("Year") == years[0]).withColumn("Year", F.lit(1900))
+    daystates.put_periods(wrong.unionByName(extra), path, [*years, 1900], "Year")
+    daystates.put_periods(rows, path, years[:2], "Year")
+    daystates.put_periods(rows, path, [*years[2:], 1900], "Year")
+    return daystates.merged_distances(spark, path)
+
+
+QUERIES["distances_by_year"] = distances_by_year
+ORACLE["distances_by_year"] = ORACLE["route_distances"]
+
+
+def zorder_lookup(spark, sf_dir):
+    """Flights to a place on a date, from a table stored by three keys, the first not given."""
+    path = work_path(spark, "zorder")
+    zorder.write_zordered(flights(spark, sf_dir), path, ["Origin", "Dest", "FlightDate"], files=16)
+    return zorder.lookup(spark, path, Dest="A15", FlightDate=LIST_DAY)
+
+
+LIST_DAY = "1996-02-02"
+QUERIES["zorder_lookup"] = zorder_lookup
+ORACLE["zorder_lookup"] = f"""WITH {sql.FLIGHTS}
+SELECT * FROM flights WHERE "Dest" = 'A15' AND "FlightDate" = '{LIST_DAY}'"""
+
+
 def get_flight(spark, sf_dir):
     return lookups.get_flight(flights(spark, sf_dir), "C17", "1998-09-05", "7005")
 
@@ -209,7 +336,6 @@ def list_flights(spark, sf_dir):
     return lookups.list_flights(flights(spark, sf_dir), "A05", "A15", LIST_DAY)
 
 
-LIST_DAY = "1996-02-02"
 QUERIES["list_flights"] = list_flights
 ORACLE["list_flights"] = f"""WITH {sql.FLIGHTS}
 SELECT *, count(*) OVER () AS total FROM flights

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from skylag import schemas
@@ -12,7 +14,7 @@ from skylag.functions.labels import delay_label
 from skylag.operators import distances as dist
 from skylag.operators import requests
 from skylag.plans import jobs
-from skylag.session import tune, work_path
+from skylag.session import materialise, tune, work_path
 from skylag.sinks import files
 from skylag.sources import tables, testbed, topics
 from skylag.streaming import scoring
@@ -69,6 +71,47 @@ ORACLE["topic_replay"] = f"""WITH {sql.REQUESTS}
 SELECT CASE WHEN {WELL_FORMED} THEN {_JSON} ELSE '{READY}' END AS value FROM requests"""
 
 
+def topic_replay_twice(spark, sf_dir):
+    """Two replays of a growing topic, each from where the one before ended; the second
+    is read twice, for the first time it is not finished."""
+    sent = request_messages(spark, sf_dir)
+    early = F.dayofmonth("timestamp") <= 15
+    path, offsets, seen = work_path(spark, "topic"), work_path(spark, "offsets"), []
+    for number, part in enumerate((early, ~early), 1):
+        files.write_topic(sent.where(part), path)
+        if number == 2:
+            topics.read_new(spark, path, offsets)[0].count()
+        messages, finish = topics.read_new(spark, path, offsets)
+        seen.append(materialise(messages.select("value", F.lit(number).alias("replay")), "replay"))
+        finish()
+    return seen[0].union(seen[1])
+
+
+QUERIES["topic_replay_twice"] = topic_replay_twice
+ORACLE["topic_replay_twice"] = f"""WITH {sql.REQUESTS}
+SELECT CASE WHEN {WELL_FORMED} THEN {_JSON} ELSE '{READY}' END AS value,
+  CAST(CASE WHEN "DayOfMonth" <= 15 THEN 1 ELSE 2 END AS INTEGER) AS replay FROM requests"""
+
+
+def prepared_ids(spark, sf_dir):
+    """Forms made requests with random ids and the time of now: are the ids unique, and
+    does every time lie between start and end?"""
+    forms = testbed.requests(tune(spark), sf_dir).drop("ts", "UUID", "Timestamp")
+    known = stored_distances(spark, sf_dir)
+    start = dt.datetime.now(dt.UTC).isoformat()[:19]
+    made = materialise(requests.prepare_requests(forms, known, "zero"), "prepared")
+    end = (dt.datetime.now(dt.UTC) + dt.timedelta(seconds=1)).isoformat()[:19]
+    form = F.col("UUID").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
+    return made.agg(
+        F.count("*").alias("n"), (F.count_distinct("UUID") == F.count("*")).alias("unique_ids"), F.bool_and(form).alias("ids"),
+        F.bool_and(F.substring("Timestamp", 1, 19).between(start, end)).alias("in_time"),
+    )
+
+
+QUERIES["prepared_ids"] = prepared_ids
+ORACLE["prepared_ids"] = "SELECT count(*) AS n, true AS unique_ids, true AS ids, true AS in_time FROM events"
+
+
 def parse_requests(spark, sf_dir):
     raw = request_messages(spark, sf_dir).withColumn("value", F.col("value").cast("binary"))
     return times_as_text(msg.parse_requests(raw))
@@ -316,14 +359,15 @@ ORACLE["decode_results"] = f"WITH {_RESULTS} SELECT {_BASE}, \"Distance\", \"Pre
 
 
 def append_results(spark, sf_dir):
-    """All days of results loaded one after the other into a collection."""
+    """All days of results loaded one after the other into a collection, the first twice."""
     out, collection = work_path(spark, "results"), work_path(spark, "collection")
     results = _results(spark, sf_dir).drop("UUID")
     day = F.substring("Timestamp", 1, 10)
     files.write_days(results, out, day)
-    for row in results.select(day.alias("day")).distinct().orderBy("day").collect():
-        jobs.run_load(spark, out, collection, row.day)
-    return tables.read_collection(spark, collection).drop("Route")
+    days = [row.day for row in results.select(day.alias("day")).distinct().orderBy("day").collect()]
+    for one in [*days, *days[:1]]:
+        jobs.run_load(spark, out, collection, one)
+    return tables.read_collection(spark, collection).drop("Route", "request_date")
 
 
 QUERIES["append_results"] = append_results

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from skylag.checks import sql
-from skylag.checks.common import stored_distances, times_as_text, trained
+from skylag.checks.common import flights, stored_distances, times_as_text, trained
+from skylag.checks.lookups import ORACLE as _LOOKUP_ORACLE
 from skylag.checks.messages import MATCH, ORACLE as _BATCH_ORACLE
 from skylag.checks.messages import WELL_FORMED, request_messages
 from skylag.functions.messages import decode_text, split_malformed
-from skylag.schemas import SCORED
+from skylag.operators import distances as dist
+from skylag.operators import summaries
+from skylag.schemas import DISTANCES, SCORED
 from skylag.session import state_partitions, tune, work_path
-from skylag.sinks import files
+from skylag.sinks import files, folders
 from skylag.sources import tables, testbed, topics
-from skylag.streaming import matching, scoring, sinks
+from skylag.streaming import delivery, matching, scoring, sinks, waiting
+from skylag.streaming import summaries as keeping
 
 QUERIES = {}
 ORACLE = {}
@@ -226,16 +231,24 @@ QUERIES["stream_foreach_batch"] = stream_foreach_batch
 ORACLE["stream_foreach_batch"] = ORACLE["stream_to_table"]
 
 
-def _arriving(spark, rows, name, last, order):
-    """Rows as a stream of four micro-batches in the given order, ``last`` after them."""
-    path = work_path(spark, name)
-    for part in order:
-        rows.where(F.pmod(F.xxhash64("UUID", "ts"), F.lit(4)) == part).write.mode("append").parquet(path)
-    last.write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _fed(spark, sides, order, closing, start):
+    """Run a query over streams whose rows arrive part by part in the given order.
 
+    ``sides`` are tables with UUID and ts, ``closing`` the last row of each. After each
+    part of both sides the query runs until the input is used up and stops; the next
+    run goes on from its checkpoint.
+    """
+    paths = [work_path(spark, "side") for _ in sides]
+    part = F.pmod(F.xxhash64("UUID", "ts"), F.lit(len(order)))
+    for step in order:
+        for path, rows, last in zip(paths, sides, closing, strict=True):
+            rows.where(part == step).write.mode("append").parquet(path)
+            if step == order[-1]:
+                last.write.mode("append").parquet(path)
+        start([spark.readStream.schema(rows.schema).parquet(path) for path, rows in zip(paths, sides, strict=True)])
 
-def _stream_match(order):
+
+def _stream_match(match, order):
     def query(spark, sf_dir):
         late = "9999"
         asked = testbed.requests(tune(spark), sf_dir).select("UUID", F.col("ts").cast("timestamp"))
@@ -244,21 +257,143 @@ def _stream_match(order):
         # Then a row on each side, far later, moves the watermark past all others.
         span = asked.agg((F.max("ts").cast("long") - F.min("ts").cast("long")).alias("s")).first().s
         end = asked.agg((F.max("ts") + F.make_dt_interval(secs=F.lit(3 * span + 86_400))).alias("ts"))
-        closing = end.select(F.lit(late).alias("UUID"), "ts").repartition(1)
-        streams = [
-            _arriving(spark, asked.coalesce(1), "asked", closing, order),
-            _arriving(spark, answers.coalesce(1), "answers", closing.withColumn("Prediction", F.lit(0.0)), order),
-        ]
-        matched = matching.match_stream(*streams, wait="20 seconds", lateness=f"{span + 120} seconds")
-        matched = matched.select("UUID", "status", "Prediction")
-        with state_partitions(spark):
-            out = _run_to(spark, lambda p, c: sinks.sink_parquet(matched, p, c, NOW), "matched")
-        return spark.read.schema(matched.schema).parquet(out).where(F.col("UUID") != late)
+        last = end.select(F.lit(late).alias("UUID"), "ts")
+        out, mark = work_path(spark, "matched"), work_path(spark, "matched-checkpoint")
+
+        def start(streams):
+            matched = match(*streams, wait="20 seconds", lateness=f"{span + 120} seconds")
+            with state_partitions(spark):
+                sinks.drain(sinks.sink_parquet(matched.select("UUID", "status", "Prediction"), out, mark, NOW))
+
+        _fed(spark, [asked, answers], order, [last, last.withColumn("Prediction", F.lit(0.0))], start)
+        rows = spark.read.schema("UUID string, status string, Prediction double").parquet(out)
+        return rows.where(F.col("UUID") != late)
 
     return query
 
 
-# The same rows in two orders of arrival.
-QUERIES["stream_match"] = _stream_match((0, 1, 2, 3))
-QUERIES["stream_match_reversed"] = _stream_match((3, 2, 1, 0))
-ORACLE["stream_match"] = ORACLE["stream_match_reversed"] = MATCH
+# The same rows in two orders of arrival, by a join and by timers.
+QUERIES["stream_match"] = _stream_match(matching.match_stream, (0, 1, 2))
+QUERIES["stream_match_reversed"] = _stream_match(matching.match_stream, (2, 1, 0))
+QUERIES["stream_match_timers"] = _stream_match(waiting.wait_stream, (0, 1, 2))
+QUERIES["stream_match_timers_reversed"] = _stream_match(waiting.wait_stream, (2, 1, 0))
+for _name in ("stream_match", "stream_match_reversed", "stream_match_timers", "stream_match_timers_reversed"):
+    ORACLE[_name] = MATCH
+
+
+def stream_renewed_lookup(spark, sf_dir):
+    """Requests scored before and after the distance table is migrated: those of the
+    second half of a month see the distances of all flights, the others of half a year."""
+    sent = request_messages(spark, sf_dir)
+    early = F.dayofmonth("timestamp") <= 15
+    known, topic, out = work_path(spark, "distances"), _topic(spark, sent.where(early)), work_path(spark, "scored")
+    ledger, mark = work_path(spark, "ledger"), work_path(spark, "checkpoint")
+    all_flights = flights(spark, sf_dir)
+
+    def put(rows):
+        folders.upsert_table(dist.route_distances(rows), known, DISTANCES, dist.ROUTE, buckets=8)
+
+    def score(batch, version):
+        return scoring.enrich_requests(batch, tables.read_distances(spark, known, version=version)).select(*STORED)
+
+    def run():
+        query = delivery.deliver(
+            topics.stream_topic(spark, topic), score, {"out": delivery.collection_writer(out)}, mark, ledger,
+            lambda: tables.distances_version(spark, known), trigger=NOW,
+        )
+        sinks.drain(query)
+
+    put(all_flights.where("Month <= 6"))
+    run()
+    put(all_flights)
+    files.write_topic(sent.where(~early), topic)
+    run()
+    return times_as_text(spark.read.parquet(out).select(*STORED))
+
+
+QUERIES["stream_renewed_lookup"] = stream_renewed_lookup
+ORACLE["stream_renewed_lookup"] = f"""WITH {sql.ENRICHED},
+half AS (SELECT "Origin", "Dest", avg("Distance") AS d FROM flights WHERE "Month" <= 6 GROUP BY 1, 2)
+SELECT e."UUID", e."Carrier", e."Origin", e."Dest", e."DepDelay",
+  CASE WHEN e."DayOfMonth" <= 15 THEN coalesce(half.d, 0.0) ELSE e."Distance" END AS "Distance",
+  e."DayOfWeek", replace(e."Timestamp", 'T', ' ') AS "Timestamp"
+FROM enriched e LEFT JOIN half ON half."Origin" = e."Origin" AND half."Dest" = e."Dest" WHERE {WELL_FORMED}"""
+
+
+def stream_fanout_recovered(spark, sf_dir):
+    """One enriched stream for three sinks; the job dies once in the topic's write and
+    once after it, and each sink, the topic read without doubles, has each row once."""
+    topic, known = _topic(spark, sf_dir=sf_dir), stored_distances(spark, sf_dir)
+    at = {name: work_path(spark, name) for name in ("table", "topic", "files")}
+    ledger, mark = work_path(spark, "ledger"), work_path(spark, "checkpoint")
+    to_topic = delivery.topic_writer(at["topic"])
+
+    def dying(when):
+        def write(batch, batch_id):
+            if when == "before":
+                raise RuntimeError("the job dies")
+            to_topic(batch, batch_id)
+            if when == "after":
+                raise RuntimeError("the job dies")
+
+        return write
+
+    schema = _enriched_stream(spark, sf_dir, topic).schema
+    for when in ("before", "after", "never"):
+        writers = {"table": delivery.collection_writer(at["table"]), "topic": dying(when), "files": delivery.collection_writer(at["files"])}
+        query = delivery.deliver(
+            topics.stream_topic(spark, topic), lambda batch, _: scoring.enrich_requests(batch, known).select(*STORED),
+            writers, mark, ledger, trigger=NOW,
+        )
+        try:
+            sinks.drain(query)
+        except StreamingQueryException:
+            if when == "never":
+                raise
+    stored = {
+        "table": spark.read.parquet(at["table"]),
+        "topic": decode_text(delivery.once(topics.read_topic(spark, at["topic"])), schema),
+        "files": spark.read.parquet(at["files"]),
+    }
+    seen = [df.select(F.lit(name).alias("sink"), "UUID", "Distance") for name, df in stored.items()]
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+QUERIES["stream_fanout_recovered"] = stream_fanout_recovered
+ORACLE["stream_fanout_recovered"] = ORACLE["stream_fanout"]
+
+
+def _kept_summary(rows_of, summarise, keys):
+    """A summary kept from a stream of rows in two parts, with a restart between them."""
+
+    def query(spark, sf_dir):
+        rows = rows_of(spark, sf_dir)
+        source, path, mark = (work_path(spark, name) for name in ("rows", "summary", "checkpoint"))
+        half = F.pmod(F.xxhash64("TailNum"), F.lit(2)) == 0
+        for part in (half, ~half):
+            rows.where(part).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(rows.schema).parquet(source)
+            with state_partitions(spark):
+                sinks.drain(keeping.keep_summary(stream, summarise, keys, path, mark, buckets=8, trigger=NOW))
+        return folders.read_folders(spark, path, summarise(rows).schema)
+
+    return query
+
+
+def _planes(spark, sf_dir):
+    return testbed.airplanes(tune(spark), sf_dir)
+
+
+def _fleet_rows(rows):
+    return rows.where(F.col("TailNum").isNotNull()).groupBy("Carrier", "TailNum").agg(F.count("*").alias("flights"))
+
+
+QUERIES["stream_flights_by_month"] = _kept_summary(flights, summaries.month_counts, ["Year", "Month"])
+ORACLE["stream_flights_by_month"] = _LOOKUP_ORACLE["flights_by_month"]
+QUERIES["stream_flights_per_airplane"] = _kept_summary(flights, summaries.flights_per_airplane, ["TailNum", *summaries.FLIGHT_ENTRY])
+ORACLE["stream_flights_per_airplane"] = _LOOKUP_ORACLE["flights_per_airplane"]
+QUERIES["stream_fleets"] = _kept_summary(flights, _fleet_rows, ["Carrier", "TailNum"])
+ORACLE["stream_fleets"] = f"""WITH {sql.FLIGHTS}
+SELECT "Carrier", "TailNum", count(*) AS flights FROM flights GROUP BY 1, 2"""
+QUERIES["stream_manufacturers"] = _kept_summary(_planes, summaries.manufacturer_totals, ["Manufacturer"])
+ORACLE["stream_manufacturers"] = _LOOKUP_ORACLE["manufacturer_totals"]
