@@ -2,14 +2,15 @@
 
 Encoding. Tasks pack their documents into compressed chunks and deal these to
 blocks of about ``block_chars`` characters: the only shuffle of texts. Each block
-reports its distinct words; the words, shuffled by word and sorted, are encoded
-once each, and the codes go back to the blocks that asked for them. There the
-words of every document, by position, are replaced by their codes. A common word
-is one row for each block, however often it occurs.
+reports its distinct words; the words, shuffled by word, are encoded once each, and
+codes and pieces go back to the blocks that asked for them. There the words of every
+document, by position, are replaced by them. A common word is one row for each
+block, however often it occurs. A word that does not come back is an error.
 
 Decoding joins ids to the pieces of the vocabulary, whose size the tokenizer
 bounds; a tokenizer file without a decoder joins pieces by one space, as the
-library does.
+library does. The ids of each distinct word are decoded by this join, once, and the
+decoded text of a document is that of its words.
 
 Defined cases: a null text is an empty one and has no ids; strings of special
 tokens inside a text are those tokens; repeated rows are encoded row by row; extra
@@ -26,6 +27,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -36,13 +38,15 @@ from skylag.llm.common import table
 
 BLOCK_CHARS = 16_000_000
 CHUNK_CHARS = 1_000_000
-# Encoded words a task gathers before it packs them by block.
+# Words a task gathers before it packs them by block.
 LINES_HELD = 500_000
 
-# Texts of these characters are split here; others by the library's own steps.
-# Left out: separators that only Python takes for white space, a capital with two
-# lower-case characters, and capitals whose lower case lies elsewhere.
-_PLAIN = re.compile("[\x00-\x1b\x20-įı-ȳ‐-‧‰-⁞€]*")
+# Texts of these characters are split here; others by the library's own steps. Left
+# out: separators that only Python takes for white space, and characters whose lower
+# case is not one character of the same range.
+_LAST = 0x233
+_INSIDE = [chr(c) for c in range(_LAST + 1) if not 0x1C <= c <= 0x1F and len(chr(c).lower()) == 1 and ord(chr(c).lower()) <= _LAST]
+_PLAIN = re.compile(f"[{re.escape(''.join(_INSIDE))}‐-‧‰-⁞€]*")
 _LETTER = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-ȳ"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
@@ -172,16 +176,27 @@ def _words_of_blocks(chunks: DataFrame, path: str, text_at: int) -> DataFrame:
     return chunks.mapInArrow(words, "block int, word string")
 
 
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """Rows (block, size, payload): of ``words`` (block, word), the lines
-    "word id id ..." of some words of a block, compressed; ``size`` before that.
+def word_table(words: DataFrame, path: str) -> DataFrame:
+    """(word, codes, decoded) of the distinct ``words``, which must be placed by word:
+    the ids of each in decimal, and the pieces these ids are joined to, both by spaces."""
+
+    @F.pandas_udf("array<int>")
+    def encode(some: pd.Series) -> pd.Series:
+        return some.map(vocabulary(path).encode)
+
+    ids = words.select("word").distinct().select("word", F.posexplode_outer(encode("word")).alias("at", "id"))
+    # The vocabulary, as many rows as the tokenizer has pieces.
+    met = ids.join(F.broadcast(pieces_table(words.sparkSession, path)), "id", "left")
+    found = met.groupBy("word").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece")))).alias("p"))
+    return found.select("word", F.array_join(F.col("p.id").cast("array<string>"), " ").alias("codes"), F.array_join("p.piece", " ").alias("decoded"))
 
-    Rows of a word come together and one after another, so each distinct word is
-    encoded once.
-    """
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, line, held, count = vocabulary(path), None, "", {}, 0
+def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
+    """Rows (block, size, payload): of ``words`` (block, word), the lines word, codes and
+    decoded of some words of a block, compressed; ``size`` before that."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = {}, 0
 
         def lines() -> pa.RecordBatch:
             texts = ["\n".join(found).encode() for found in held.values()]
@@ -190,10 +205,8 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, ["block", "size", "payload"])
 
         for batch in batches:
-            for block, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if word != last:
-                    last, line = word, " ".join([word, *map(str, known.encode(word))])
-                held.setdefault(block, []).append(line)
+            for block, *line in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                held.setdefault(block, []).append("\t".join(line))
             count += batch.num_rows
             if count >= LINES_HELD:
                 yield lines()
@@ -201,8 +214,10 @@ def encode_words(words: DataFrame, path: str) -> DataFrame:
         if held:
             yield lines()
 
-    placed = words.repartition("word").sortWithinPartitions("word")
-    return placed.mapInArrow(encode, "block int, size long, payload binary")
+    # One shuffle by word serves the table of distinct words and the way back.
+    placed = words.repartition("word")
+    back = placed.join(word_table(placed, path), "word").select("block", "word", "codes", "decoded")
+    return back.mapInArrow(pack, "block int, size long, payload binary")
 
 
 # What is made of a document: from its ids in decimal and its decoded text, both
@@ -243,23 +258,24 @@ def encode_documents(
     text_at = docs.columns.index("text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = _chunks(docs, max(1, -(-chars // block_chars)), chunk_chars)
-    codes = encode_words(_words_of_blocks(chunks, path, text_at), path)
+    codes = words_for_blocks(_words_of_blocks(chunks, path, text_at), path)
     kept = [c for c in docs.columns if keep is None or c in keep]
     schema = T.StructType([*docs.select(kept).schema.fields, *made.fields])
     kinds = [pa.int64() if f.dataType == T.LongType() else pa.string() if f.dataType == T.StringType() else pa.list_(pa.int32()) for f in made]
 
     def assemble(chunk_rows: pa.Table, code_rows: pa.Table) -> pa.Table:
         known = vocabulary(path)
-        of_word: dict[str, str] = {}
+        of_word: dict[str, tuple[bytes, bytes]] = {}
         for size, payload in zip(code_rows.column("size").to_pylist(), code_rows.column("payload"), strict=True):
             text = pa.decompress(payload.as_py(), size, codec="zstd", asbytes=True).decode()
-            of_word.update([line.split(" ", 1) for line in text.split("\n")])
-        pieces = {str(i): piece for i, piece in known.pieces.items()}
+            for line in text.split("\n"):
+                word, codes, decoded = line.split("\t")
+                of_word[word] = codes.encode(), decoded.encode()
         of_run: dict[str, tuple[bytes, bytes]] = {}
 
         def codes_of(words: list[str]) -> tuple[bytes, bytes]:
-            codes = " ".join([of_word[w] if w in of_word else " ".join(map(str, known.encode(w))) for w in words])
-            return codes.encode(), " ".join(map(pieces.__getitem__, codes.split(" "))).encode() if codes else b""
+            found = [x for x in map(of_word.__getitem__, words) if x[0]]
+            return b" ".join([c for c, _ in found]), b" ".join([d for _, d in found])
 
         tables = []
         for payload in chunk_rows.column("payload"):
@@ -271,7 +287,7 @@ def encode_documents(
                     runs = text.lower().split()
                     for run in set(runs).difference(of_run):
                         of_run[run] = codes_of(_WORDS.findall(run))
-                    found = list(map(of_run.__getitem__, runs))
+                    found = [x for x in map(of_run.__getitem__, runs) if x[0]]
                     made_rows.append(make(b" ".join([c for c, _ in found]), b" ".join([d for _, d in found])))
                 else:
                     made_rows.append(make(*codes_of(known.words(text))))

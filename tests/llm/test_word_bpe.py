@@ -1,7 +1,9 @@
 """BPE by distinct words against the tokenizers library."""
 
 import hashlib
+import random
 
+import pytest
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -22,6 +24,25 @@ def test_words_give_the_ids_of_the_library(text):
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def _same(texts):
+    known = word_bpe.vocabulary(PATH)
+    for at in range(0, len(texts), 10_000):
+        some = texts[at : at + 10_000]
+        for text, want in zip(some, LIBRARY.encode_batch(some, add_special_tokens=False)):
+            assert [i for word in known.words(text) for i in known.encode(word)] == want.ids, repr(text)
+
+
+def test_every_code_point_alone_and_beside_a_letter():
+    points = [chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
+    _same([f"{c} a{c} {c}B" for c in points])
+
+
+def test_random_strings():
+    dice = random.Random(11)
+    _same(["".join(chr(dice.choice((dice.randint(0, 0x24F), dice.randint(0x20, 0x7E)))) for _ in range(dice.randint(1, 12))) for _ in range(20_000)])
+    _same(["AƁUJA Ɗan", "Saƙon Ɓera", "ƐYƐ"])
+
+
 TEXTS = [
     (1, "Hello, the world's end", "a"), (2, None, "b"), (3, "", "c"), (4, "  \n ", "d"), (5, "<|endoftext|>Éa", "e"),
     (1, "Hello, the world's end", "a"), (6, "word other " * 20_000, "f"), (None, "日本 Σας 12", "g"),
@@ -49,3 +70,12 @@ def test_digests_and_an_empty_table(spark):
     ids = LIBRARY.encode(TEXTS[4][1], add_special_tokens=False).ids
     assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert word_bpe.encode_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_a_word_that_does_not_come_back_is_an_error(spark, monkeypatch):
+    on_workers(spark)
+    whole = word_bpe.word_table
+    monkeypatch.setattr(word_bpe, "word_table", lambda words, path: whole(words, path).where("word <> 'world'"))
+    docs = spark.createDataFrame(TEXTS[:1], "doc_id long, text string, other string")
+    with pytest.raises(Exception, match="KeyError"):
+        word_bpe.encode_documents(docs, PATH).collect()
