@@ -24,14 +24,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm.common import lower_ascii, materialise, table
+from skylag.llm.common import aside, content_key, lower_ascii, materialise, table, without
 
 WORDS = 10
 FILTER_BITS = 1 << 18
 # Windows that are broadcast for the verifying join; above it both sides shuffle.
 BROADCAST_WINDOWS = 1_000_000
-# Row numbers of contaminated documents that are broadcast to drop them.
-BROADCAST_ROWS = 2_000_000
 # Fixed value: a word.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -136,12 +134,12 @@ def decontaminate(
     """``docs`` with n_words, n_hit, item_ids (sorted), spans (start and length in
     words, from 1) and contaminated. Columns in ``drop`` are not carried on."""
     added = ["n_words", "n_hit", "item_ids", "spans", "contaminated"]
-    docs = docs.select(*[c for c in docs.columns if c not in added])
+    docs, back = aside(docs.select(*[c for c in docs.columns if c not in added]), "maybe", "_w", "_p", "_row")
     marked, hits = _verified(docs, items, words, bits, drop)
     hits = hits.groupBy("_row").agg(F.collect_set("span").alias("spans"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     hits = hits.withColumn("n_hit", _covered()(F.col("spans")))
     found = marked.drop("maybe").join(hits, "_row", "left").drop("_row")
-    return found.withColumns(
+    return back(found).withColumns(
         {
             "n_hit": F.coalesce("n_hit", F.lit(0).cast("long")),
             "item_ids": F.coalesce("item_ids", F.array().cast("array<string>")),
@@ -152,11 +150,12 @@ def decontaminate(
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, bits: int = FILTER_BITS) -> DataFrame:
-    """Documents of ``docs`` in which no window of an item occurs."""
-    marked, hits = _verified(docs, items, words, bits)
-    hit = materialise(hits.select("_row").distinct(), "hit-rows")
-    few = hit.count() <= BROADCAST_ROWS
-    return marked.join(F.broadcast(hit) if few else hit, "_row", "left_anti").select(*docs.columns)
+    """Documents of ``docs`` in which no window of an item occurs. What is stored are keys
+    of texts and their candidates."""
+    key = content_key("text")
+    marked, hits = _verified(docs.select(key.alias("key"), "text"), items, words, bits, drop=("text",))
+    gone = marked.join(hits.select("_row").distinct(), "_row").select("key").distinct()
+    return without(docs, materialise(gone, "contaminated"), key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from skylag.llm.common import materialise, table
+from skylag.llm.common import aside, content_key, materialise, table, without
 
 TRAINING_ROWS = 8_000
 FEWEST_ROWS = 20  # of a label, expected in the sample; all of a rarer one
@@ -187,6 +187,8 @@ def identify(rows: DataFrame, names: list[str], logs: Trigrams, drop: tuple[str,
     ``drop`` are not carried on.
     """
     rows = rows.select(*[c for c in rows.columns if c not in ("language", "confidence", "accepted")])
+    inner = [*_EVIDENCE, "_ll", "_best", "_post", "_top_of", *[f"{x}{k}" for x in "knt" for k in _EVIDENCE]]
+    rows, back = aside(rows, *inner)
     all_names = [*names, OTHER]
     suffix = F.when(F.col("suffix") != "", F.lower("suffix"))
     level = dict(zip(_EVIDENCE, [*host_levels(F.col("host")), language_tag(F.col("declared")), suffix], strict=True))
@@ -246,7 +248,7 @@ def identify(rows: DataFrame, names: list[str], logs: Trigrams, drop: tuple[str,
     joined = joined.withColumns({"language": F.when(lost, OTHER).otherwise(chosen), "confidence": F.round(1 / weight, 6)})
     accepted = (F.col("language") != OTHER) & (F.col("confidence") >= least(len(names)))
     made = [c for c in rows.columns if c not in drop and c != "_text"]
-    return joined.withColumn("accepted", accepted).select(*made, "language", "confidence", "accepted")
+    return back(joined.withColumn("accepted", accepted).select(*made, "language", "confidence", "accepted"))
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -272,12 +274,16 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def accepted_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is rejected."""
+    """``docs`` without those whose language is rejected.
+
+    The verdict depends on text, lang and source; what is stored are keys of these.
+    """
     names, logs = fit(docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("label")))
-    added = {"declared", "host", "suffix", "_text", "language", "confidence", "accepted"}
-    clash = {c: f"_kept_{c}" for c in docs.columns if c in added}
-    found = identify(_documents(docs.withColumnsRenamed(clash)), names, logs).where("accepted")
-    return found.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])
+    key = content_key("text", "lang", "source")
+    rows = _documents(docs.select("text", "lang", "source", key.alias("key")))
+    found = identify(rows, names, logs, drop=("text", "lang", "source", "declared", "suffix", "host"))
+    gone = found.where(~F.coalesce("accepted", F.lit(False))).select("key").distinct()
+    return without(docs, materialise(gone, "rejected"), key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,9 +18,10 @@ At a similarity of exactly 0.8 a pair shares no bucket with a probability of
 three in a million, at 0.85 of one in ten thousand million.
 
 Defined cases: a null text or one without words is a node of its own that links
-with nothing; fewer words than a shingle has are one shingle; rows of one doc_id
-are one node; a null doc_id takes no part, has no component and is kept; an empty
-table gives an empty one. Extra columns are kept.
+with nothing; fewer words than a shingle has are one shingle; rows that share a doc_id
+are judged by their texts, each for itself, and are not linked by the id; a null
+doc_id takes no part, has no component and is kept; an empty table gives an empty
+one. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm.common import materialise, table
+from skylag.llm.common import materialise, table, unused, without
 from skylag.llm.components import components
 
 REGISTERS = 256
@@ -125,7 +126,8 @@ def hopeful(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray
 
 
 def sketched(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, of, sketch): ``of`` names the set, null for an empty one."""
+    """(doc_id, h, n_shingles, of, sketch): ``of`` names the set, null for an empty one,
+    ``h`` the text among those of its doc_id."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,12 +138,16 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
                 names.append(xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None)
                 sketches.append(sketch(elements).tobytes() if len(elements) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(sketches, pa.binary())],
-                ["doc_id", "n_shingles", "of", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(sketches, pa.binary())],
+                ["doc_id", "h", "n_shingles", "of", "sketch"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(make, "doc_id long, n_shingles long, of binary, sketch binary")
+    return _texts(docs).mapInArrow(make, "doc_id long, h long, n_shingles long, of binary, sketch binary")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
 
 
 def _registers(column: pa.Array) -> np.ndarray:
@@ -171,13 +177,14 @@ def _near_in_size(a: str, b: str, percent: int):
     return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
 
 
-def _contents(buckets: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def _contents(buckets: DataFrame, nodes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """(node, size, sketch, text) of the nodes in shared buckets."""
-    ids = materialise(buckets.select(F.col("node").alias("doc_id")).distinct(), "bucket-nodes")
+    met = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
+    ids = materialise(met.select("doc_id", "h"), "bucket-nodes")
     few = ids.count() <= BROADCAST_IDS
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    return materialise(nodes.join(texts, nodes["node"] == texts["doc_id"]).select("node", "size", "sketch", "text"), "contents")
+    texts = _texts(docs).join(F.broadcast(ids) if few else ids, ["doc_id", "h"], "left_semi")
+    texts = texts.dropDuplicates(["doc_id", "h"]) if repeated else texts
+    return materialise(nodes.join(texts, ["doc_id", "h"]).select("node", "size", "sketch", "text"), "contents")
 
 
 def _decide(pairs: DataFrame, contents: DataFrame, words: int, percent: int) -> DataFrame:
@@ -297,10 +304,6 @@ def _links_of_cells(rows: DataFrame, contents: DataFrame, words: int, percent: i
 
     def links(cell: dict[str, np.ndarray]) -> pa.RecordBatch:
         sets = [shingles(text, words) for text in cell["text"]]
-        there = np.array([len(x) > 0 for x in sets])  # another row of a doc_id may be empty
-        cell, sets = {c: values[there] for c, values in cell.items()}, [x for x in sets if len(x)]
-        if not sets:
-            return pa.RecordBatch.from_pylist([], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
         node, cut, sizes = cell["node"], cell["cut"], np.array([len(x) for x in sets])
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         _, codes = np.unique(np.concatenate(sets), return_inverse=True)
@@ -331,10 +334,11 @@ def _links_of_cells(rows: DataFrame, contents: DataFrame, words: int, percent: i
     return _each_cell(cells, links, "a long, b long")
 
 
-def link_components(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, label) of the nodes that are linked with another one."""
+def link_components(nodes: DataFrame, docs: DataFrame, words: int, percent: int, repeated: bool) -> DataFrame:
+    """(node, label) of the nodes that are linked with another one. ``repeated`` tells that
+    a row, doc_id and text, may be there more than once."""
     buckets = materialise(_buckets(nodes), "buckets")
-    contents = _contents(buckets, nodes, docs)
+    contents = _contents(buckets, nodes, docs, repeated)
     links = materialise(_decide(_with_centre(buckets, percent), contents, words, percent), "links")
     labels = materialise(components(links), "labels")
     likely = materialise(_likely_rows(_open(buckets, labels), nodes, percent), "likely-rows")
@@ -342,37 +346,50 @@ def link_components(nodes: DataFrame, docs: DataFrame, words: int, percent: int)
     return materialise(components(links.union(found)), "labels") if found.take(1) else labels
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
+def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, h, n_shingles, least, least_h) of every row: the smallest doc_id of its
+    component and the text that stands for it; null for rows that take no part."""
     rows = materialise(sketched(docs, words), "sketches")
     sets = rows.where("doc_id is not null and of is not null")
     first = sets.groupBy("of").agg(
-        F.min("doc_id").alias("node"), F.min_by("n_shingles", "doc_id").alias("size"), F.min_by("sketch", "doc_id").alias("sketch")
+        F.min(F.struct("doc_id", "h")).alias("first"), F.min_by("n_shingles", "doc_id").alias("size"), F.min_by("sketch", "doc_id").alias("sketch")
+    )
+    # The table is written, so its numbers stay.
+    numbered = first.select("of", "first.doc_id", "first.h", "size", "sketch", F.monotonically_increasing_id().alias("node"))
+    nodes = materialise(numbered, "nodes")
+    repeated = bool(sets.groupBy("doc_id", "h").count().where("count > 1").take(1))
+    labels = link_components(nodes, docs, words, percent, repeated)
+    named = nodes.select("of", "node", "doc_id", "h").join(labels, "node", "left")
+    least = named.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("l"))
+    of_set = named.join(least, "label", "left").select(
+        "of", F.coalesce("l.doc_id", "doc_id").alias("least"), F.coalesce("l.h", "h").alias("least_h")
     )
-    nodes = materialise(first, "nodes")
-    labels = link_components(nodes.dropDuplicates(["node"]), docs, words, percent)
-    of_set = nodes.select("of", "node").join(labels, "node", "left").select("of", F.coalesce("label", "node").alias("least"))
-    found = rows.select("doc_id", "n_shingles", "of").join(of_set, "of", "left")
+    return rows.select("doc_id", "h", "n_shingles", "of").join(of_set, "of", "left").drop("of")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
+    found = _classes(docs, words, percent).select("doc_id", "n_shingles", component.alias("component_id"))
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest doc_id; of
-    rows that repeat a doc_id one stays."""
-    found = materialise(near_duplicates(docs, words, percent), "components")
-    gone = found.where("not kept").select("doc_id").distinct()
-    few = gone.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    again = materialise(again, "repeated-ids")
+    rows that repeat a doc_id and a text one stays."""
+    stands = F.col("least").isNull() | F.col("doc_id").isNull() | ((F.col("doc_id") == F.col("least")) & (F.col("h") == F.col("least_h")))
+    found = materialise(_classes(docs, words, percent).select("doc_id", "h", stands.alias("kept")), "components")
+    keys = F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string"))
+    left = without(docs, found.where("not kept").select("doc_id", "h").distinct(), *keys)
+    again = found.where("kept and doc_id is not null").groupBy("doc_id", "h").count().where("count > 1").select("doc_id", "h")
+    again = materialise(again, "repeated-rows")
     if not again.take(1):
         return left
     few = again.count() <= BROADCAST_IDS
-    again = F.broadcast(again) if few else again
-    once = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    names = [unused("key"), unused("key")]
+    more = again.toDF(*names)
+    once = left.withColumns(dict(zip(names, keys, strict=True))).join(F.broadcast(more) if few else more, names, "left_semi")
+    return without(left, again, *keys).unionByName(once.dropDuplicates(names).select(*docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm.common import materialise, table
+from skylag.llm.common import aside, content_key, materialise, table, unused
 
 SCOPE = 200
 TILE = 512
@@ -113,12 +113,12 @@ def linked(rows: DataFrame, scope: int = SCOPE) -> DataFrame:
 def scan(docs: DataFrame, scope: int = SCOPE, drop: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with base and spans: arrays of (start, kind, end), the kind a number in
     ``KINDS``; spans holds the linked ones too. Columns in ``drop`` are not carried on."""
-    docs = docs.select(*[c for c in docs.columns if c not in ("base", "weak", "spans")])
+    docs, back = aside(docs.select(*[c for c in docs.columns if c not in ("base", "spans")]), "weak", "more", "_row")
     rows = materialise(scanned(docs).drop(*drop).withColumn("_row", F.monotonically_increasing_id()), "spans")
     more = linked(rows.select("_row", "base", "weak"), scope)
     found = rows.drop("weak").join(more, "_row", "left").drop("_row")
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast(_SPANS))))
-    return found.withColumn("spans", spans).drop("more")
+    return back(found.withColumn("spans", spans).drop("more"))
 
 
 def listed(spans: Column) -> Column:
@@ -142,12 +142,19 @@ def redacted(text: Column, spans: Column, mark: str = REDACTED) -> Column:
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """``docs`` with the secrets of every text replaced and n_chars, if there, counted anew."""
-    found = scan(docs).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    """``docs`` with the secrets of every text replaced and n_chars, if there, counted anew.
+
+    What is stored are keys of texts with secrets and their spans.
+    """
+    key, at, spans = content_key("text"), unused("key"), unused("spans")
+    found = scan(docs.select(key.alias("key"), "text"), drop=("text",)).where(F.size("spans") > 0)
+    found = materialise(found.select(F.col("key").alias(at), F.col("spans").alias(spans)).dropDuplicates([at]), "secrets")
+    rows = docs.withColumn(at, key).join(found, at, "left")
+    rows = rows.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(spans))))
     if "n_chars" in docs.columns:
-        changed = F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+        changed = F.when(F.col(spans).isNotNull(), F.length("text")).otherwise(F.col("n_chars"))
+        rows = rows.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

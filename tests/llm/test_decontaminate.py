@@ -46,3 +46,12 @@ def test_clean_documents_stay(spark):
     assert [r.doc_id for r in d.without_contaminated(docs, items).orderBy("doc_id").collect()] == [2, 3]
     assert d.without_contaminated(docs, items.limit(0)).count() == 3
     assert d.decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    names = ["n_words", "maybe", "_w", "_p", "_row", "key", "spans"]
+    docs = spark.createDataFrame([(1, "a b c d", *names), (2, "x y", *names)], ["doc_id", "text", *names])
+    items = spark.createDataFrame([("q", "b c d")], "item_id string, text string")
+    assert [tuple(r) for r in d.without_contaminated(docs, items).collect()] == [(2, "x y", *names)]
+    row = d.decontaminate(docs, items).where("doc_id = 1").first()
+    assert (row.n_words, row.maybe, row["_w"], row["_p"], row["_row"], row.key) == (4, *names[1:6])

@@ -88,3 +88,13 @@ def test_least_confidence_can_reject_for_any_number_of_languages(spark):
     got = {r.doc_id: r for r in language.identify(language._documents(docs), names, logs).collect()}
     assert got[9].language in names and 1 / 3 < got[9].confidence and not got[9].accepted
     assert all(got[i].accepted for i in range(6))
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    on_workers(spark)
+    names = ["_ll", "_best", "_host", "declared", "accepted", "key", "_text"]
+    rows = [(i, f"the quick brown fox jumps over the lazy dog number {i} and runs away", "en", "s", *names) for i in range(30)]
+    rows += [(99, "0123 !!", None, None, *names)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    kept = language.accepted_documents(docs).collect()
+    assert len(kept) == 30 and all(list(r)[4:] == names for r in kept)

@@ -83,6 +83,19 @@ def test_one_of_each_group_stays(spark):
     assert near_dups.deduplicated(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_a_doc_id_are_judged_by_their_texts(spark):
+    on_workers(spark)
+    long, other = (" ".join(f"{c}{i}" for i in range(100)) for c in "ab")
+    rows = [(1, long), (1, other), (2, long + " x"), (3, other + " x"), (5, "five six seven eight nine ten"), (5, long + " y"), (6, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept", F.lit("own"))
+    got = sorted((r.doc_id, r.component_id) for r in near_dups.near_duplicates(docs).collect())
+    assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (5, 1), (5, 5), (6, 6), (6, 6)]
+    kept = sorted((r.doc_id, r.text or "", r.kept) for r in near_dups.deduplicated(docs).collect())
+    assert kept == sorted((i, t or "", "own") for i, t in rows if i not in (2, 3) and t != long + " y")
+    many = docs.union(docs).union(docs)
+    assert sorted((r.doc_id, r.text or "", r.kept) for r in near_dups.deduplicated(many).collect()) == kept
+
+
 def test_components_of_chains_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(200, 200), (None, 5), (301, 300), (300, 301)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

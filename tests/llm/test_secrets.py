@@ -70,3 +70,11 @@ def test_redaction_keeps_the_rest(spark):
     rows = s.without_secrets(docs).orderBy("doc_id").collect()
     assert [(r.doc_id, r.text, r.n_chars) for r in rows] == [(1, "é [redacted]', then", 19)] * 2 + [(2, "plain", 5), (3, None, None)]
     assert s.without_secrets(docs.limit(0)).columns == docs.columns and s.scan(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    names = ["base", "weak", "spans", "more", "key", "_row"]
+    docs = spark.createDataFrame([(1, "token = 'abcdefgh'", *names), (2, "plain", *names), (3, None, *names)], ["doc_id", "text", *names])
+    rows = s.without_secrets(docs).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["[redacted]'", "plain", None] and all(list(r)[2:] == names for r in rows)
+    assert s.scan(docs).where("doc_id = 1").select("weak", "more", "key", "_row").first() == ("weak", "more", "key", "_row")
