@@ -93,9 +93,28 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+# Paths given out inside ``scratch``, of each level.
+_SCRATCH: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for held in _SCRATCH[-1:]:
+        held.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Remove at the end what was written to work paths given out inside. Results must
+    be stored by then, for tables that are read lazily would miss their files."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            remove(spark, path)
 
 
 def materialise(df, name: str):
