@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skylag.llm import decontaminate, language, near_dups, secrets, word_bpe
 from skylag.llm.common import on_workers, table
-from skylag.session import work_path
+from skylag.session import scratch, work_path
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -56,10 +56,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over all documents."""
+    """The rows of the last stage over all documents. What a stage writes on its way is
+    removed once its output is stored."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
