@@ -40,6 +40,8 @@ BLOCK_CHARS = 16_000_000
 CHUNK_CHARS = 1_000_000
 # Words a task gathers before it packs them by block.
 LINES_HELD = 500_000
+# Blocks in one list of those that hold a word.
+LISTED = 1 << 16
 
 # Texts of these characters are split here; others by the library's own steps. Left
 # out: separators that only Python takes for white space, and characters whose lower
@@ -176,19 +178,28 @@ def _words_of_blocks(chunks: DataFrame, path: str, text_at: int) -> DataFrame:
     return chunks.mapInArrow(words, "block int, word string")
 
 
-def word_table(words: DataFrame, path: str) -> DataFrame:
-    """(word, codes, decoded) of the distinct ``words``, which must be placed by word:
-    the ids of each in decimal, and the pieces these ids are joined to, both by spaces."""
+def with_codes(words: DataFrame, path: str) -> DataFrame:
+    """``words`` (block, word) with codes and decoded: the ids of the word in decimal, and
+    the pieces these ids are joined to, both by spaces.
+
+    Rows of a word are folded into one with a list of its blocks, of ``LISTED`` at most,
+    so each distinct word is encoded and decoded once and everything happens where the
+    only shuffle put it.
+    """
 
     @F.pandas_udf("array<int>")
     def encode(some: pd.Series) -> pd.Series:
         return some.map(vocabulary(path).encode)
 
-    ids = words.select("word").distinct().select("word", F.posexplode_outer(encode("word")).alias("at", "id"))
+    key = ["word", "part"]
+    table = words.repartition("word").groupBy("word", F.floor(F.col("block") / LISTED).alias("part")).agg(F.collect_list("block").alias("blocks"))
+    ids = table.select(*key, "blocks", F.posexplode_outer(encode("word")).alias("at", "id"))
     # The vocabulary, as many rows as the tokenizer has pieces.
     met = ids.join(F.broadcast(pieces_table(words.sparkSession, path)), "id", "left")
-    found = met.groupBy("word").agg(F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece")))).alias("p"))
-    return found.select("word", F.array_join(F.col("p.id").cast("array<string>"), " ").alias("codes"), F.array_join("p.piece", " ").alias("decoded"))
+    piece = F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece"))
+    found = met.groupBy(*key).agg(F.first("blocks").alias("blocks"), F.array_sort(F.collect_list(piece)).alias("p"))
+    codes = F.array_join(F.col("p.id").cast("array<string>"), " ").alias("codes")
+    return found.select(F.explode("blocks").alias("block"), "word", codes, F.array_join("p.piece", " ").alias("decoded"))
 
 
 def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
@@ -196,11 +207,12 @@ def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
     decoded of some words of a block, compressed; ``size`` before that."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count = {}, 0
+        held, count, codec = {}, 0, pa.Codec("zstd", compression_level=6)
 
         def lines() -> pa.RecordBatch:
-            texts = ["\n".join(found).encode() for found in held.values()]
-            packed = [pa.compress(text, codec="zstd", asbytes=True) for text in texts]
+            # In order, neighbours are alike and take less.
+            texts = ["\n".join(sorted(found)).encode() for found in held.values()]
+            packed = [codec.compress(text, asbytes=True) for text in texts]
             columns = [pa.array(list(held), pa.int32()), pa.array(map(len, texts), pa.int64()), pa.array(packed, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["block", "size", "payload"])
 
@@ -214,10 +226,7 @@ def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
         if held:
             yield lines()
 
-    # One shuffle by word serves the table of distinct words and the way back.
-    placed = words.repartition("word")
-    back = placed.join(word_table(placed, path), "word").select("block", "word", "codes", "decoded")
-    return back.mapInArrow(pack, "block int, size long, payload binary")
+    return with_codes(words, path).mapInArrow(pack, "block int, size long, payload binary")
 
 
 # What is made of a document: from its ids in decimal and its decoded text, both
