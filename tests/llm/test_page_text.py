@@ -96,3 +96,53 @@ def test_odd_pages(spark):
     assert text[7, pages[7][1]] == "Hi &unknown; &"
     assert text[8, pages[8][1]] == "Deep."
     assert p.extract(rows.limit(0)).count() == 0
+
+
+TEXT_LINE = "This is a paragraph of some length, and it ends with a full stop."
+
+
+def test_names_of_sections_inside_the_article():
+    html = (
+        f'<article><p>{TEXT_LINE}</p><h2 id="related-work">Related work</h2><section id="search-algorithms"><p>{TEXT_LINE}</p></section>'
+        f'<p class="social-history">{TEXT_LINE}</p><div class="related-posts"><p>{TEXT_LINE}</p></div><div class="share-buttons">Share it.</div></article>'
+    )
+    assert p.main_text(html) == "\n\n".join([TEXT_LINE, "Related work", TEXT_LINE, TEXT_LINE])
+
+
+def test_short_lines_and_linked_cells_are_decided_by_what_stands_beside_them():
+    poem = ["Roses", "Roses are red", "Violets are blue", "Sugar is sweet", "And so are you"]
+    assert p.main_text("<div class=poem><h1>Roses</h1>" + "".join(f"<p>{x}</p>" for x in poem[1:]) + "</div>") == "\n\n".join(poem)
+    html = f"<article><p>{TEXT_LINE}</p><table><tr><td>Town</td><td><a href=x>Paris</a></td></tr></table><p>{TEXT_LINE}</p></article>"
+    assert p.main_text(html) == "\n\n".join([TEXT_LINE, "Town", "Paris", TEXT_LINE])
+    assert p.won_by_the_cut(html) == (1, 0)
+    menu = "".join(f"<div><a href=x>{x}</a></div>" for x in ("Home", "News", "Help"))
+    # A line that would pass alone, amid links.
+    assert p.won_by_the_cut(f"<div>{menu}<div>All our many pages of this and of the last week now</div>{menu}</div><main><p>{TEXT_LINE}</p></main>") == (0, 1)
+
+
+def test_what_readers_say():
+    for opening in ("<h3>3 thoughts on this</h3>", "<h2>Comments (12)</h2>", "<h3>Leave a comment</h3>"):
+        html = f"<article><p>{TEXT_LINE}</p></article><div><div>{opening}<p>{TEXT_LINE}</p></div></div>"
+        assert p.main_text(html) == TEXT_LINE
+    assert p.main_text(f"<article><h2>Comments on Plato</h2><p>{TEXT_LINE}</p></article>") == f"Comments on Plato\n\n{TEXT_LINE}"
+
+
+def test_broken_tags_and_quotes():
+    assert p.main_text(f"<article><p title='a > b'>{TEXT_LINE}</p></article>") == TEXT_LINE
+    assert p.main_text(f'<article><p title="never closed>{TEXT_LINE}</p></article>') == TEXT_LINE
+    assert p.main_text(f"<article><p>{TEXT_LINE} 1 < 2 and a<b") == f"{TEXT_LINE} 1 < 2 and a<b"
+    assert p.main_text(f"<article><p>{TEXT_LINE}</b></i></x></div><p>{TEXT_LINE}") == f"{TEXT_LINE}\n\n{TEXT_LINE}"
+
+
+def test_reading_takes_time_in_proportion_to_the_page():
+    import time
+
+    def seconds(html):
+        start = time.process_time()
+        p.main_text(html)
+        return time.process_time() - start
+
+    for part in ("<a ", "<div>x", '<a ">" ', "<div>", "<span>", "<div class=menu>x. ", "<!--", "<ul><li>x"):
+        once, more = seconds(part * 2_000), seconds(part * 16_000)
+        assert more < 25 * once + 0.5, part
+    assert seconds("<div>" * 8_000 + "</x>" * 16_000) < 8 and seconds("<table><td>" + "<b><i>" * 8_000 + "</b>" * 16_000) < 8
