@@ -2,15 +2,17 @@
 
 Encoding. Tasks pack their documents into compressed chunks and deal these to
 blocks of about ``block_chars`` characters: the only shuffle of texts. Each block
-reports its distinct words; the words, shuffled by word, are encoded once each, and
-codes and pieces go back to the blocks that asked for them. There the words of every
+reports its distinct words; the words, shuffled by word and sorted, are encoded once
+each, and codes and pieces go back to the blocks that asked for them. There the words of every
 document, by position, are replaced by them. A common word is one row for each
 block, however often it occurs. A word that does not come back is an error.
 
 Decoding joins ids to the pieces of the vocabulary, whose size the tokenizer
 bounds; a tokenizer file without a decoder joins pieces by one space, as the
-library does. The ids of each distinct word are decoded by this join, once, and the
-decoded text of a document is that of its words.
+library does. The ids of each distinct word are decoded by this join, once, where it
+was encoded, and the decoded text of a document is that of its words. A join in Spark
+would shuffle the ids of all words again; ``decode_documents`` is that join, for ids
+that come from elsewhere.
 
 Defined cases: a null text is an empty one and has no ids; strings of special
 tokens inside a text are those tokens; repeated rows are encoded row by row; extra
@@ -27,8 +29,8 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,8 +42,6 @@ BLOCK_CHARS = 16_000_000
 CHUNK_CHARS = 1_000_000
 # Words a task gathers before it packs them by block.
 LINES_HELD = 500_000
-# Blocks in one list of those that hold a word.
-LISTED = 1 << 16
 
 # Texts of these characters are split here; others by the library's own steps. Left
 # out: separators that only Python takes for white space, and characters whose lower
@@ -178,47 +178,47 @@ def _words_of_blocks(chunks: DataFrame, path: str, text_at: int) -> DataFrame:
     return chunks.mapInArrow(words, "block int, word string")
 
 
-def with_codes(words: DataFrame, path: str) -> DataFrame:
-    """``words`` (block, word) with codes and decoded: the ids of the word in decimal, and
-    the pieces these ids are joined to, both by spaces.
-
-    Rows of a word are folded into one with a list of its blocks, of ``LISTED`` at most,
-    so each distinct word is encoded and decoded once and everything happens where the
-    only shuffle put it.
-    """
-
-    @F.pandas_udf("array<int>")
-    def encode(some: pd.Series) -> pd.Series:
-        return some.map(vocabulary(path).encode)
-
-    key = ["word", "part"]
-    table = words.repartition("word").groupBy("word", F.floor(F.col("block") / LISTED).alias("part")).agg(F.collect_list("block").alias("blocks"))
-    ids = table.select(*key, "blocks", F.posexplode_outer(encode("word")).alias("at", "id"))
-    # The vocabulary, as many rows as the tokenizer has pieces.
-    met = ids.join(F.broadcast(pieces_table(words.sparkSession, path)), "id", "left")
-    piece = F.when(F.col("at").isNotNull(), F.struct("at", "id", "piece"))
-    found = met.groupBy(*key).agg(F.first("blocks").alias("blocks"), F.array_sort(F.collect_list(piece)).alias("p"))
-    codes = F.array_join(F.col("p.id").cast("array<string>"), " ").alias("codes")
-    return found.select(F.explode("blocks").alias("block"), "word", codes, F.array_join("p.piece", " ").alias("decoded"))
-
-
 def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
     """Rows (block, size, payload): of ``words`` (block, word), the lines word, codes and
-    decoded of some words of a block, compressed; ``size`` before that."""
+    decoded of some words of a block, compressed; ``size`` before that. Codes are the ids
+    of the word in decimal, decoded the pieces these are joined to, both by spaces.
+
+    Rows of a word come together and one after another, so each distinct word of a
+    batch is encoded and its ids joined to their pieces once.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, count, codec = {}, 0, pa.Codec("zstd", compression_level=6)
+        known, held, count, codec = vocabulary(path), {}, 0, pa.Codec("zstd", compression_level=6)
+        # The vocabulary in the order of its ids: the join is by position.
+        pieces = pa.array([known.pieces.get(i) for i in range(max(known.pieces) + 1)], pa.string())
 
         def lines() -> pa.RecordBatch:
-            # In order, neighbours are alike and take less.
-            texts = ["\n".join(sorted(found)).encode() for found in held.values()]
+            texts = ["\n".join(found).encode() for found in held.values()]
             packed = [codec.compress(text, asbytes=True) for text in texts]
             columns = [pa.array(list(held), pa.int32()), pa.array(map(len, texts), pa.int64()), pa.array(packed, pa.binary())]
             return pa.RecordBatch.from_arrays(columns, ["block", "size", "payload"])
 
         for batch in batches:
-            for block, *line in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                held.setdefault(block, []).append("\t".join(line))
+            runs = pc.run_end_encode(batch.column(1)) if batch.num_rows else None
+            if runs is None:
+                continue
+            distinct = runs.values.to_pylist()
+            found = pa.array(map(known.encode, distinct), pa.list_(pa.int32()))
+            met = pa.ListArray.from_arrays(found.offsets, pieces.take(found.values))
+            texts = [
+                "\t".join(x)
+                for x in zip(
+                    distinct,
+                    pc.binary_join(found.cast(pa.list_(pa.string())), " ").to_pylist(),
+                    pc.binary_join(met, " ").to_pylist(),
+                    strict=True,
+                )
+            ]
+            blocks, start = batch.column(0).to_pylist(), 0
+            for text, end in zip(texts, runs.run_ends.to_pylist(), strict=True):
+                for block in blocks[start:end]:
+                    held.setdefault(block, []).append(text)
+                start = end
             count += batch.num_rows
             if count >= LINES_HELD:
                 yield lines()
@@ -226,7 +226,8 @@ def words_for_blocks(words: DataFrame, path: str) -> DataFrame:
         if held:
             yield lines()
 
-    return with_codes(words, path).mapInArrow(pack, "block int, size long, payload binary")
+    placed = words.repartition("word").sortWithinPartitions("word")
+    return placed.mapInArrow(pack, "block int, size long, payload binary")
 
 
 # What is made of a document: from its ids in decimal and its decoded text, both

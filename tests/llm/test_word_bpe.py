@@ -74,8 +74,8 @@ def test_digests_and_an_empty_table(spark):
 
 def test_a_word_that_does_not_come_back_is_an_error(spark, monkeypatch):
     on_workers(spark)
-    whole = word_bpe.with_codes
-    monkeypatch.setattr(word_bpe, "with_codes", lambda words, path: whole(words, path).where("word <> 'world'"))
+    whole = word_bpe.words_for_blocks
+    monkeypatch.setattr(word_bpe, "words_for_blocks", lambda words, path: whole(words.where("word <> 'world'"), path))
     docs = spark.createDataFrame(TEXTS[:1], "doc_id long, text string, other string")
     with pytest.raises(Exception, match="KeyError"):
         word_bpe.encode_documents(docs, PATH).collect()
