@@ -27,6 +27,7 @@ from skylag.llm.common import aside, content_key, materialise, table, unused
 
 SCOPE = 200
 TILE = 512
+RUN = 128
 REDACTED = "[redacted]"
 
 _VALUE = r"""["']?\x20*[:=]\x20*["']?"""
@@ -71,8 +72,17 @@ def _spans(text: Column, number: int, pattern: str, group: int, least: int) -> C
         found = F.when(piece["keep"], F.concat(done["found"], F.array(span))).otherwise(done["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
+    # A list grows by copying, so pieces are added up in runs of ``RUN`` and then the runs.
     pieces = F.arrays_zip(between.alias("between"), whole.alias("whole"), long_enough.alias("keep"))
-    spans = F.aggregate(pieces, zero, add, lambda done: done["found"])
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(between) - 1) / RUN).cast("int")), lambda k: F.slice(pieces, k * RUN + 1, RUN))
+    sums = F.transform(runs, lambda run: F.aggregate(run, zero, add))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("found"))
+
+    def join(done: Column, run: Column) -> Column:
+        moved = F.transform(run["found"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), s["kind"], (s["end"] + done["at"]).alias("end")))
+        return F.struct((done["at"] + run["at"]).alias("at"), F.concat(done["found"], F.array(moved)).alias("found"))
+
+    spans = F.aggregate(sums, none, join, lambda done: F.flatten(done["found"]))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
 
 
@@ -130,14 +140,19 @@ def listed(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column, mark: str = REDACTED) -> Column:
     """``text`` with each run of spans replaced by ``mark``."""
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    part = "array<struct<start:int,end:int>>"
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(part).alias("kept"))
 
     def add(done: Column, span: Column) -> Column:
-        new = F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mark))
-        out = F.when((span["start"] >= done["at"]) & (span["end"] > done["at"]), new).otherwise(done["out"])
-        return F.struct(out.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
-
-    rest = F.aggregate(spans, zero, add, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+        between = F.struct(done["at"].alias("start"), span["start"].alias("end"))
+        new = (span["start"] >= done["at"]) & (span["end"] > done["at"])
+        kept = F.when(new, F.concat(done["kept"], F.array(between))).otherwise(done["kept"])
+        return F.struct(F.greatest(done["at"], span["end"]).alias("at"), kept.alias("kept"))
+
+    # What stays, cut out piece by piece and joined once.
+    end = F.length(text)
+    kept = F.aggregate(spans, zero, add, lambda done: F.concat(done["kept"], F.array(F.struct(done["at"].alias("start"), end.alias("end")))))
+    rest = F.array_join(F.transform(kept, lambda k: F.substring(text, k["start"] + 1, k["end"] - k["start"])), mark)
     return F.when(F.size(spans) > 0, rest).otherwise(text)
 
 

@@ -78,3 +78,12 @@ def test_columns_of_any_name_stay_as_they_are(spark):
     rows = s.without_secrets(docs).orderBy("doc_id").collect()
     assert [r.text for r in rows] == ["[redacted]'", "plain", None] and all(list(r)[2:] == names for r in rows)
     assert s.scan(docs).where("doc_id = 1").select("weak", "more", "key", "_row").first() == ("weak", "more", "key", "_row")
+
+
+def test_many_spans_in_one_text(spark):
+    one = "token=abcdefg1 x "
+    many = one * 20_000
+    docs = spark.createDataFrame([(1, many)], "doc_id long, text string")
+    row = s.scan(docs).select(F.size("base").alias("n"), F.element_at("base", -1)["end"].alias("end")).first()
+    assert (row.n, row.end) == (20_000, len(many) - 3)
+    assert s.without_secrets(docs).first().text == "[redacted] x " * 20_000
