@@ -1,15 +1,18 @@
 """URL filter: host rules first, then a weighted vocabulary found by Aho-Corasick.
 
-Rules name a host and a path prefix and fit that host and all its subdomains;
-the longest rule wins. A url without a fitting rule is judged by its terms: an
-automaton finds all of them in one pass, a boundary check drops those inside a
-longer word, and the url is blocked on one strict term or on ``soft_hits``
-distinct soft ones. Only the url column is read and nothing is shuffled.
+Rules and terms are tables. A rule names a host and a path prefix and fits that host and
+all its subdomains; the longest rule wins, of equally long ones "block". The suffixes
+of a url's host meet the rules in an equi-join, and a maximum picks the rule, so there
+may be any number of rules. A url without a fitting rule is judged by its terms: an
+automaton of all terms, ``MOST_TERMS`` at most, finds them in one pass, a boundary
+check drops those inside a longer word, and the url is blocked where the weights of its
+distinct terms reach 1: one strict term, or several soft ones.
 
 Defined cases: a null url, an empty one and one without ``://`` have an empty
 host and path, fit no rule and are judged by their terms (none in a null url).
 Repeated rows are judged one by one; extra columns are kept by ``judge``, and
-columns of the same names as its own are replaced.
+columns of the same names as its own are replaced. Rules and terms with a null are
+left out; a term given twice has its larger weight.
 """
 
 from __future__ import annotations
@@ -18,10 +21,10 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylag.llm.common import lower_ascii, table
+from skylag.llm.common import content_key, lower_ascii, materialise, table, unused
 
 # Rules as (verdict, host, path).
 RULES = (
@@ -36,6 +39,8 @@ RULES = (
 STRICT = ("porn", "xxx", "hentai", "camgirl", "milf", "escorts")
 SOFT = ("sex", "adult", "nude", "casino", "poker", "betting", "torrent", "warez", "viagra", "dating")
 SOFT_HITS = 2
+# Terms an automaton is built of, on the driver and in every task.
+MOST_TERMS = 200_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -45,29 +50,43 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return lower_ascii(F.regexp_extract(url, pattern, 1)), F.regexp_extract(url, pattern, 2)
 
 
-def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
-    """(verdict, rule) of the longest rule that fits, null without one."""
-    chosen = F.lit(None).cast("struct<verdict:string,rule:string>")
-    for verdict, domain, prefix in sorted(rules, key=lambda r: len(r[1] + r[2])):
-        fits = ((host == domain) | host.endswith(f".{domain}")) & path.startswith(prefix)
-        rule = F.struct(F.lit(verdict).alias("verdict"), F.lit(domain + prefix).alias("rule"))
-        chosen = F.when(fits, rule).otherwise(chosen)
-    return chosen
+def rules_table(spark: SparkSession, rules=RULES) -> DataFrame:
+    return spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
 
 
-def term_verdict(strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS):
+def terms_table(spark: SparkSession, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS) -> DataFrame:
+    """Terms with their weights: 1 for a strict one, a share of it for a soft one."""
+    rows = [(t, 1.0) for t in strict] + [(t, 1.0 / soft_hits) for t in soft]
+    return spark.createDataFrame(rows, "term string, weight double")
+
+
+def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(key, verdict, rule) of the ``urls`` (key, host, path) that a rule fits."""
+    rules = rules.dropna(subset=["verdict", "host", "path"])
+    most = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
+    labels = F.split("host", r"\.")
+    # No suffix of more labels than a rule has.
+    lengths = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))
+    suffixes = F.transform(lengths, lambda k: F.array_join(F.slice(labels, F.size(labels) - k + 1, k), "."))
+    named = rules.select(F.col("host").alias("suffix"), F.col("path").alias("prefix"), "verdict")
+    met = urls.where("host <> ''").select("key", "path", F.explode(suffixes).alias("suffix")).join(named, "suffix")
+    rule = F.concat("suffix", "prefix")
+    best = F.max(F.struct(F.length(rule).alias("n"), F.col("verdict"), rule.alias("rule"))).alias("best")
+    return met.where(F.col("path").startswith(F.col("prefix"))).groupBy("key").agg(best).select("key", "best.verdict", "best.rule")
+
+
+def term_verdict(terms: list[tuple[str, float]]):
     """Column function: does the vocabulary block this url?
 
     Letters are compared in lower case; a term counts where no ASCII letter or
-    digit stands right before or after it. A term both strict and soft is strict.
+    digit stands right before or after it.
     """
 
     @F.pandas_udf("boolean")
     def blocked(urls: Iterator[pd.Series]) -> Iterator[pd.Series]:
         automaton = ahocorasick.Automaton()
-        for weight, terms in ((1, soft), (soft_hits, strict)):
-            for term in terms:
-                automaton.add_word(term, (term, weight))
+        for term, weight in sorted(terms, key=lambda t: t[1]):
+            automaton.add_word(term, (term, weight))
         automaton.make_automaton()
 
         def outside(char: str) -> bool:
@@ -80,7 +99,7 @@ def term_verdict(strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS):
                 for end, (term, weight) in automaton.iter(text)
                 if outside(text[end - len(term)]) and outside(text[end + 1])
             }
-            return sum(found.values()) >= soft_hits
+            return sum(found.values()) >= 1 - 1e-9
 
         for batch in urls:
             yield batch.map(judge).astype(bool)
@@ -88,15 +107,28 @@ def term_verdict(strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS):
     return blocked
 
 
-def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS) -> DataFrame:
-    """``pages`` with host, path, rule (null without one) and verdict (allow or block)."""
+def judge(pages: DataFrame, rules: DataFrame | None = None, terms: DataFrame | None = None) -> DataFrame:
+    """``pages`` with host, path, rule (null without one) and verdict (allow or block).
+
+    ``rules`` are (verdict, host, path), ``terms`` (term, weight); by default those above.
+    """
+    spark = pages.sparkSession
+    rules = rules_table(spark) if rules is None else rules
+    terms = terms_table(spark) if terms is None else terms
+    words = terms.dropna().where("term <> ''").select(F.lower("term").alias("term"), "weight").take(MOST_TERMS + 1)
+    if len(words) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
     host, path = host_and_path(F.col("url"))
     found = pages.withColumns({"host": host, "path": path})
-    found = found.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
-    by_terms = F.when(term_verdict(strict, soft, soft_hits)(F.col("url")), "block").otherwise("allow")
-    return found.withColumns(
-        {"rule": F.col("rule.rule"), "verdict": F.coalesce(F.col("rule.verdict"), by_terms)}
-    )
+    key = content_key("host", "path")
+    fitting = materialise(fitting_rules(found.select(key.alias("key"), "host", "path"), rules), "fitting")
+    at, verdict = unused("key"), unused("verdict")
+    out = fitting.select(F.col("key").alias(at), F.col("verdict").alias(verdict), "rule")
+    joined = found.drop("rule").withColumn(at, key).join(out, at, "left")
+    # An empty vocabulary blocks nothing.
+    blocked = term_verdict([tuple(w) for w in words])(F.col("url")) if words else F.lit(False)
+    by_terms = F.when(blocked, "block").otherwise("allow")
+    return joined.withColumn("verdict", F.coalesce(F.col(verdict), by_terms)).drop(at, verdict)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
