@@ -2,7 +2,8 @@
 
 A job's arguments are those of its function in ``plans/jobs.py``, with dashes for
 underscores; ``python -m skylag JOB --help`` lists them. Options of a store are given
-as ``--distances-options key=value,key=value``.
+as ``--distances-options key=value,key=value``; what a job passes on to a store or to the
+forest, such as a database or the number of trees, as ``--options key=value,key=value``.
 """
 
 from __future__ import annotations
@@ -27,6 +28,18 @@ def _options(text: str) -> dict[str, str]:
     return dict(part.split("=", 1) for part in text.split(","))
 
 
+def _value(text: str) -> str | int | float | bool:
+    """A setting as a number or a truth value, where it reads as one."""
+    if text.lower() in ("true", "false"):
+        return text.lower() == "true"
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            pass
+    return text
+
+
 def _kind(annotation: str):
     for word, kind in (("dict", _options), ("bool", lambda x: x.lower() == "true"), ("int", int), ("float", float)):
         if word in annotation:
@@ -41,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
         one = names.add_parser(name, help=(inspect.getdoc(job) or "").split("\n")[0])
         for argument, about in list(inspect.signature(job).parameters.items())[1:]:
             if about.kind is about.VAR_KEYWORD:
+                one.add_argument("--options", type=_options, default={}, dest="passed_on", metavar="KEY=VALUE,...")
+                one.set_defaults(numbers="str" not in str(about.annotation))
                 continue
             needed = about.default is about.empty
             kind = _kind(str(about.annotation)) if "DataFrame" not in str(about.annotation) else str
@@ -52,6 +67,12 @@ def parser() -> argparse.ArgumentParser:
 def main(words: list[str] | None = None) -> None:
     given = vars(parser().parse_args(words))
     job = JOBS[given.pop("job")]
+    numbers = given.pop("numbers", False)
+    more = given.pop("passed_on", {})
+    clash = sorted(given.keys() & more.keys())
+    if clash:
+        raise SystemExit(f"given twice: {', '.join(clash)}")
+    given |= {name: _value(text) if numbers else text for name, text in more.items()}
     spark = build_session("skylag")
     if "forms" in given:  # a job that takes rows: JSON lines of forms
         given["forms"] = spark.read.json(given["forms"])

@@ -172,10 +172,15 @@ def test_old_states_of_a_table_are_removed(spark, base, distances):
     assert len(folders.commits(spark, distances)) == 1
 
 
-def test_jobs_have_a_command(spark, flights, base):
+def test_jobs_have_a_command(spark, flights, base, trained):
     from skylag import __main__ as command
 
     given = vars(command.parser().parse_args(["train", "--features-path", "f", "--model-path", "m", "--bucketizer-path", "b", "--holdout", "0.2"]))
     assert (given["job"], given["features_path"], given["holdout"]) == ("train", "f", 0.2)
+    given = vars(command.parser().parse_args(["fetch", "--tasks", "t", "--out", "o", "--day", "d", "--options", "database=flights,uri=mongodb://h"]))
+    assert given["passed_on"] == {"database": "flights", "uri": "mongodb://h"}
+    command.main(["train", "--features-path", f"{base}/features-p", "--model-path", f"{base}/m", "--bucketizer-path", f"{base}/b", "--fmt", "parquet", "--options", "numTrees=2,maxDepth=3,bootstrap=false"])
+    with pytest.raises(SystemExit, match="given twice: day"):
+        command.main(["load", "--results-path", "r", "--collection", "c", "--day", "d", "--options", "day=e"])
     command.main(["distances", "--flights-path", flights, "--out", f"{base}/by-command"])
     assert spark.read.json(f"{base}/by-command").count() > 0
