@@ -72,17 +72,21 @@ def _spans(text: Column, number: int, pattern: str, group: int, least: int) -> C
         found = F.when(piece["keep"], F.concat(done["found"], F.array(span))).otherwise(done["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    # A list grows by copying, so pieces are added up in runs of ``RUN`` and then the runs.
-    pieces = F.arrays_zip(between.alias("between"), whole.alias("whole"), long_enough.alias("keep"))
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(between) - 1) / RUN).cast("int")), lambda k: F.slice(pieces, k * RUN + 1, RUN))
-    sums = F.transform(runs, lambda run: F.aggregate(run, zero, add))
     none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("found"))
 
     def join(done: Column, run: Column) -> Column:
         moved = F.transform(run["found"], lambda s: F.struct((s["start"] + done["at"]).alias("start"), s["kind"], (s["end"] + done["at"]).alias("end")))
         return F.struct((done["at"] + run["at"]).alias("at"), F.concat(done["found"], F.array(moved)).alias("found"))
 
-    spans = F.aggregate(sums, none, join, lambda done: F.flatten(done["found"]))
+    def summed(pieces: Column) -> Column:
+        """A list grows by copying, so pieces are added up in runs and then the runs."""
+        numbers = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / RUN).cast("int"))
+        runs = F.transform(numbers, lambda k: F.aggregate(F.slice(pieces, k * RUN + 1, RUN), zero, add))
+        return F.aggregate(runs, none, join, lambda done: F.flatten(done["found"]))
+
+    # In a list of one, so that the pieces are a variable and are found once.
+    pieces = F.arrays_zip(between.alias("between"), whole.alias("whole"), long_enough.alias("keep"))
+    spans = F.get(F.transform(F.array(pieces), summed), F.lit(0))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
 
 
@@ -149,10 +153,16 @@ def redacted(text: Column, spans: Column, mark: str = REDACTED) -> Column:
         kept = F.when(new, F.concat(done["kept"], F.array(between))).otherwise(done["kept"])
         return F.struct(F.greatest(done["at"], span["end"]).alias("at"), kept.alias("kept"))
 
-    # What stays, cut out piece by piece and joined once.
-    end = F.length(text)
-    kept = F.aggregate(spans, zero, add, lambda done: F.concat(done["kept"], F.array(F.struct(done["at"].alias("start"), end.alias("end")))))
-    rest = F.array_join(F.transform(kept, lambda k: F.substring(text, k["start"] + 1, k["end"] - k["start"])), mark)
+    # What stays is cut out of the list of characters, for a text would be read from its
+    # start for every piece, and joined once.
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(text).alias("end")))
+    kept = F.aggregate(spans, zero, add, lambda done: F.concat(done["kept"], F.transform(whole, lambda w: F.struct(done["at"].alias("start"), w["end"]))))
+
+    def cut(letters: Column) -> Column:
+        pieces = F.transform(kept, lambda k: F.array_join(F.slice(letters, k["start"] + 1, k["end"] - k["start"]), ""))
+        return F.array_join(pieces, mark)
+
+    rest = F.get(F.transform(F.array(F.split(text, "")), cut), F.lit(0))
     return F.when(F.size(spans) > 0, rest).otherwise(text)
 
 
