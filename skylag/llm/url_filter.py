@@ -64,12 +64,13 @@ def fitting_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(key, verdict, rule) of the ``urls`` (key, host, path) that a rule fits."""
     rules = rules.dropna(subset=["verdict", "host", "path"])
     most = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
-    labels = F.split("host", r"\.")
+    urls = urls.where("host <> ''").withColumn("labels", F.split("host", r"\."))
+    labels = F.col("labels")
     # No suffix of more labels than a rule has.
     lengths = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most)))
     suffixes = F.transform(lengths, lambda k: F.array_join(F.slice(labels, F.size(labels) - k + 1, k), "."))
     named = rules.select(F.col("host").alias("suffix"), F.col("path").alias("prefix"), "verdict")
-    met = urls.where("host <> ''").select("key", "path", F.explode(suffixes).alias("suffix")).join(named, "suffix")
+    met = urls.select("key", "path", F.explode(suffixes).alias("suffix")).join(named, "suffix")
     rule = F.concat("suffix", "prefix")
     best = F.max(F.struct(F.length(rule).alias("n"), F.col("verdict"), rule.alias("rule"))).alias("best")
     return met.where(F.col("path").startswith(F.col("prefix"))).groupBy("key").agg(best).select("key", "best.verdict", "best.rule")
