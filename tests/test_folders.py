@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from skylag.operators import daystates
 from skylag.operators import distances as dist
 from skylag.schemas import DISTANCES
-from skylag.session import get_text, names_in, put_text
+from skylag.session import get_text, names_in, put_text, scratch, work_path
 from skylag.sinks import folders
 
 
@@ -94,3 +94,16 @@ def test_states_of_days_merge_and_can_be_taken_back(spark, tmp_path):
     rest = flights.where("FlightDate <> '2024-01-02'")
     daystates.put_periods(rest, path, days[1:2])
     assert same(rest)
+
+
+def test_scratch_is_removed_at_the_end(spark):
+    with scratch(spark):
+        inside = work_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        with scratch(spark):
+            deeper = work_path(spark, "deeper")
+            spark.range(3).write.parquet(deeper)
+        assert names_in(spark, deeper) == [] and names_in(spark, inside)
+    outside = work_path(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    assert names_in(spark, inside) == [] and names_in(spark, outside)
