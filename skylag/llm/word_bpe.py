@@ -38,10 +38,12 @@ from pyspark.sql import types as T
 
 from skylag.llm.common import table
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
 CHUNK_CHARS = 1_000_000
 # Words a task gathers before it packs them by block.
 LINES_HELD = 500_000
+# Runs between white space whose codes a task remembers, beside those of one text.
+RUNS_HELD = 50_000
 
 # Texts of these characters are split here; others by the library's own steps. Left
 # out: separators that only Python takes for white space, and characters whose lower
@@ -275,16 +277,17 @@ def encode_documents(
 
     def assemble(chunk_rows: pa.Table, code_rows: pa.Table) -> pa.Table:
         known = vocabulary(path)
-        of_word: dict[str, tuple[bytes, bytes]] = {}
+        # Codes and decoded text of a word in one value, which takes less than two.
+        of_word: dict[str, bytes] = {}
         for size, payload in zip(code_rows.column("size").to_pylist(), code_rows.column("payload"), strict=True):
-            text = pa.decompress(payload.as_py(), size, codec="zstd", asbytes=True).decode()
-            for line in text.split("\n"):
-                word, codes, decoded = line.split("\t")
-                of_word[word] = codes.encode(), decoded.encode()
+            text = pa.decompress(payload.as_py(), size, codec="zstd", asbytes=True)
+            for line in text.split(b"\n"):
+                word, found = line.split(b"\t", 1)
+                of_word[word.decode()] = found
         of_run: dict[str, tuple[bytes, bytes]] = {}
 
         def codes_of(words: list[str]) -> tuple[bytes, bytes]:
-            found = [x for x in map(of_word.__getitem__, words) if x[0]]
+            found = [x for x in (of_word[w].split(b"\t") for w in words) if x[0]]
             return b" ".join([c for c, _ in found]), b" ".join([d for _, d in found])
 
         tables = []
@@ -295,6 +298,8 @@ def encode_documents(
                     made_rows.append(make(b"", b""))
                 elif known.plain(text):
                     runs = text.lower().split()
+                    if len(of_run) > RUNS_HELD:
+                        of_run.clear()
                     for run in set(runs).difference(of_run):
                         of_run[run] = codes_of(_WORDS.findall(run))
                     found = [x for x in map(of_run.__getitem__, runs) if x[0]]
