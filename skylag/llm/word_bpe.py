@@ -109,7 +109,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def _packed(batches: list[pa.RecordBatch]) -> bytes:
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
     with pa.ipc.new_stream(sink, batches[0].schema, options=options) as out:
         for batch in batches:
             out.write_batch(batch)
