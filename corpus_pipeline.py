@@ -16,6 +16,8 @@ from skylag.llm.common import on_workers, table
 from skylag.session import scratch, work_path
 
 TOKENIZER = "word_bpe_49k.json"
+# Smaller than by default, for ids and decoded texts of a whole block are held at once.
+BLOCK_CHARS = 8_000_000
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     on_workers(spark)
     keep = [c for c in docs.columns if c != "text"]
-    return word_bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), keep=keep)
+    return word_bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), keep=keep, block_chars=BLOCK_CHARS)
 
 
 STAGES = [
