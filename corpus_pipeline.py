@@ -17,16 +17,32 @@ from skylag.session import scratch, work_path
 
 TOKENIZER = "word_bpe_49k.json"
 # Smaller than by default, for ids and decoded texts of a whole block are held at once.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
+# Rows sent to Python at a time, whole texts among them.
+BATCH_ROWS = 1_000
+# Python workers live on from stage to stage: what they free goes back to the system.
+WORKER_ENV = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_MMAP_THRESHOLD_": "1000000",
+    "MALLOC_TRIM_THRESHOLD_": "1000000",
+}
+
+
+def small_workers(spark: SparkSession) -> None:
+    """Settings of this session that bound the memory of Python workers and what is sent
+    to them; they stay on, for stages run when they are written."""
+    on_workers(spark)
+    spark.sparkContext.environment.update(WORKER_ENV)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    on_workers(spark)
+    small_workers(spark)
     return language.accepted_documents(docs)
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    on_workers(spark)
+    small_workers(spark)
     return near_dups.deduplicated(docs, words=5)
 
 
@@ -39,7 +55,7 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    on_workers(spark)
+    small_workers(spark)
     keep = [c for c in docs.columns if c != "text"]
     return word_bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), keep=keep, block_chars=BLOCK_CHARS)
 
