@@ -157,3 +157,32 @@ def test_an_answer_goes_out_before_the_wait_ends(spark, tmp_path):
     # The watermark is at 15 seconds: a's answer is sure, b's wait is not over.
     got = [(r.UUID, r.status) for r in spark.read.schema(waiting.MATCHED).parquet(f"{tmp_path}/out").collect()]
     assert got == [("a", "OK")]
+
+
+def test_timers_stand_for_groups_of_ids(spark, tmp_path):
+    asked = _timed(spark, [(f"u{i}", i) for i in range(60)], "UUID string, ms long")
+    sent = _timed(spark, [(f"u{i}", i + 50, float(i)) for i in range(60)], "UUID string, ms long, Prediction double")
+    streams = []
+    for name, rows in (("asked", asked), ("sent", sent)):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        streams.append(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/{name}"))
+    with state_partitions(spark, 2):
+        query = sinks.sink_parquet(waiting.wait_stream(*streams, groups=3), f"{tmp_path}/out", f"{tmp_path}/mark", NOW)
+        sinks.drain(query)
+    timers = [p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress if p["stateOperators"]]
+    assert timers and 0 < max(timers) <= 3
+
+
+def test_timers_tell_missing_predictions_from_those_that_are_no_number(spark, tmp_path):
+    nan = float("nan")
+    asked = _timed(spark, [("a", 0), ("b", 0), ("c", 0)], "UUID string, ms long")
+    sent = _timed(spark, [("a", 10, nan), ("b", 10, nan), ("b", 10, None), ("c", 10, nan), ("c", 10, 2.0)], "UUID string, ms long, Prediction double")
+    late = _timed(spark, [("late", 10_000_000)], "UUID string, ms long")
+    streams = []
+    for name, rows in (("asked", asked.unionByName(late)), ("sent", sent.unionByName(late.withColumn("Prediction", F.lit(0.0))))):
+        rows.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        streams.append(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/{name}"))
+    with state_partitions(spark, 2):
+        sinks.drain(sinks.sink_parquet(waiting.wait_stream(*streams, groups=1), f"{tmp_path}/out", f"{tmp_path}/mark", NOW))
+    rows = spark.read.schema(waiting.MATCHED).parquet(f"{tmp_path}/out").where("UUID <> 'late'")
+    assert sorted((r.UUID, r.status, repr(r.Prediction)) for r in rows.collect()) == [("a", "OK", "nan"), ("b", "OK", "None"), ("c", "OK", "2.0")]
