@@ -139,3 +139,10 @@ def test_shared_folder_comes_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert session.work_path(spark, "x").startswith(root + "/x-")
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+
+
+def test_shuffles_are_merged_up_to_a_size_that_a_session_may_lower(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for given, kept in (("64MB", "16MB"), ("8m", "8m")):
+        with settings(spark, **{name.replace(".", "__"): given}):
+            assert session.tune(spark).conf.get(name) == kept
