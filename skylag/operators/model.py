@@ -31,6 +31,9 @@ MODEL_INPUTS = [
     "FlightDate", "Carrier", "UUID", "Distance", *INDEX_COLUMNS,
 ]
 
+# Rows a task trains on, at most: a forest holds each with a count for every tree.
+ROWS_A_PART = 1_000_000
+
 # What indexing, assembling and the forest put beside a request.
 HELPERS = [*INDEX_COLUMNS, VECTOR, "rawPrediction", "probability"]
 
@@ -79,6 +82,15 @@ def bins_for(labels: list[list[str]]) -> int:
     return max(32, max(len(found) for found in labels) + 1)
 
 
+def spread(rows: DataFrame, at_most: int = ROWS_A_PART) -> DataFrame:
+    """The rows in even parts of ``at_most`` rows, where they are more than one part. What
+    columnar files pack into one read is many times as large once it is held for training."""
+    parts = -(-rows.count() // at_most)
+    if parts <= 1:
+        return rows
+    return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def train(
     features: DataFrame,
     max_bins: int = MAX_BINS,
@@ -103,7 +115,7 @@ def train(
         seed=seed,
         **forest,
     )
-    return Pipeline(stages=[indexes, assembler(), forest_stage]).fit(rows)
+    return Pipeline(stages=[indexes, assembler(), forest_stage]).fit(spread(rows))
 
 
 def for_serving(model: PipelineModel, handle_invalid: str = "keep") -> PipelineModel:

@@ -143,3 +143,11 @@ def test_minutes(spark, features):
     scored = model.score_minutes(rows, fitted)
     assert set(scored.columns) == {*rows.columns, "Delay"}
     assert -25 < scored.first()["Delay"] < 60
+
+
+def test_rows_are_spread_before_training(spark):
+    rows = spark.range(0, 1000, 1, 1).toDF("x")
+    parts = model.spread(rows, 50)
+    counts = [r["n"] for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(counts) >= 20 and max(counts) <= 100 and sum(counts) == 1000
+    assert model.spread(rows, 1000) is rows
