@@ -48,10 +48,9 @@ def _run_to(spark, start, name):
     return out
 
 
-def _scored_stream(spark, sf_dir):
+def _scored_stream(spark, sf_dir, known, model):
     stream = topics.stream_topic(spark, _topic(spark, sf_dir=sf_dir))
-    model = trained(tune(spark), sf_dir)
-    scored = scoring.score_stream(stream, stored_distances(spark, sf_dir), model)
+    scored = scoring.score_stream(stream, known, model)
     out = _run_to(spark, lambda p, c: sinks.sink_parquet(scored, p, c, NOW), "scored")
     return spark.read.schema(SCORED).parquet(out)
 
@@ -59,7 +58,8 @@ def _scored_stream(spark, sf_dir):
 def stream_score(spark, sf_dir):
     """The continuous job: topic to scored rows in files; is each prediction a class?"""
     valid = F.col("Prediction").isin(0.0, 1.0, 2.0, 3.0).alias("valid")
-    return times_as_text(_scored_stream(spark, sf_dir).select(*STORED, valid))
+    scored = _scored_stream(spark, sf_dir, stored_distances(spark, sf_dir), trained(tune(spark), sf_dir))
+    return times_as_text(scored.select(*STORED, valid))
 
 
 QUERIES["stream_score"] = stream_score
@@ -69,10 +69,10 @@ SELECT {_STORED_SQL}, true AS valid FROM enriched WHERE {WELL_FORMED}"""
 
 def score_parity(spark, sf_dir):
     """Does a request get the same prediction in the stream and in a batch?"""
-    model = trained(tune(spark), sf_dir)
-    batch = scoring.score_stream(request_messages(spark, sf_dir), stored_distances(spark, sf_dir), model)
+    known, model = stored_distances(spark, sf_dir), trained(tune(spark), sf_dir)
+    batch = scoring.score_stream(request_messages(spark, sf_dir), known, model)
     batch = batch.select("UUID", F.col("Prediction").alias("other"))
-    met = _scored_stream(spark, sf_dir).join(batch, "UUID", "full")
+    met = _scored_stream(spark, sf_dir, known, model).join(batch, "UUID", "full")
     return met.select("UUID", F.col("Prediction").eqNullSafe(F.col("other")).alias("same"))
 
 
