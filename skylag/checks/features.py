@@ -59,7 +59,7 @@ def sample_flights(spark, sf_dir):
     """Of each month: all flights with known delays, how many sampled ones are none of
     them, and whether a tenth was drawn, give or take four standard deviations."""
     rows = flights(spark, sf_dir)
-    known = times_as_text(feat.extract_features(rows))
+    known = materialise(times_as_text(feat.extract_features(rows)), "known")
     drawn = materialise(times_as_text(feat.extract_features(rows, fraction=0.1)), "sample")
     month = F.substring("FlightDate", 1, 7).alias("month")
     outside = drawn.join(known, known.columns, "left_anti").groupBy(month).agg(F.count("*").alias("outside"))
