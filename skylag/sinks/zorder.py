@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylag.session import materialise, scratch
+
 BITS = 8
 # Rows the range bounds of the keys are taken from, about.
 SAMPLE = 20_000
@@ -35,11 +37,16 @@ def _bounds(df: DataFrame, keys: Sequence[str], sample: int) -> list[list]:
 
 
 def _number(key: str, cuts: list) -> Column:
-    """How many bounds are not above the key; NULL comes first."""
+    """How many bounds are not above the key, by halving; NULL comes first."""
     if not cuts:
         return F.lit(0)
-    below = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(key)))
-    return F.when(F.col(key).isNull(), 0).otherwise(below)
+    bounds = F.array(*[F.lit(c) for c in cuts])
+    steps = F.array(*[F.lit(1 << bit) for bit in range(len(cuts).bit_length() - 1, -1, -1)])
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when(F.get(bounds, at + step - 1) <= F.col(key), at + step).otherwise(at)
+
+    return F.when(F.col(key).isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further))
 
 
 def curve(numbers: Sequence[Column]) -> Column:
@@ -57,17 +64,22 @@ def write_zordered(
 ) -> None:
     """Replace ``path`` by files along the curve of ``keys``, seven at most, and the
     list of their spans. The bounds come from about ``sample`` rows; all rows are
-    stored, and a wrong bound costs reading, never rows."""
+    stored, and a wrong bound costs reading, never rows. ``df`` is computed once: its
+    rows lie in the work folder while they are counted, sampled and dealt."""
     if not 0 < len(keys) <= 63 // BITS:
         raise ValueError(f"between one and {63 // BITS} keys: {list(keys)}")
-    cuts = _bounds(df, keys, sample)
-    placed = df.withColumn("_curve", curve([_number(k, c) for k, c in zip(keys, cuts, strict=True)]))
-    order = ["_curve", *keys]
-    ranges = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
-    writer = ranges.sortWithinPartitions(*order).drop("_curve").write.mode("overwrite")
-    for key in keys:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
-    writer.parquet(f"{path}/rows")
+    with scratch(df.sparkSession):
+        rows = materialise(df, "rows")
+        cuts = _bounds(rows, keys, sample)
+        names = [f"_range{i}" for i in range(len(keys))]
+        numbered = rows.withColumns({n: _number(k, c) for n, k, c in zip(names, keys, cuts, strict=True)})
+        placed = numbered.withColumn("_curve", curve([F.col(n) for n in names])).drop(*names)
+        order = ["_curve", *keys]
+        ranges = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+        writer = ranges.sortWithinPartitions(*order).drop("_curve").write.mode("overwrite")
+        for key in keys:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true")
+        writer.parquet(f"{path}/rows")
     stored = df.sparkSession.read.parquet(f"{path}/rows")
     spans = [f(k).alias(f"{n}_{k}") for k in keys for n, f in (("min", F.min), ("max", F.max), ("nulls", lambda k: F.count_if(F.col(k).isNull())))]
     stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(*spans).write.mode("overwrite").parquet(f"{path}/spans")

@@ -126,3 +126,27 @@ def test_lookups_by_any_key_read_few_files(spark, stored, keys):
 def test_the_curve_interleaves_bits(spark):
     row = spark.range(1).select(zorder.curve([F.lit(0b11), F.lit(0b01)]).alias("z")).first()
     assert row.z == 0b1011
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 255])
+def test_numbers_of_ranges_are_found_by_halving(spark, n):
+    cuts = [f"k{2 * i:03d}" for i in range(n)]
+    keys = [None, "", "k", *[f"k{i:03d}" for i in range(2 * n + 1)], "z"]
+    rows = spark.createDataFrame([(k,) for k in keys], "k string").withColumn("n", zorder._number("k", cuts))
+    assert {r.k: r.n for r in rows.collect()} == {k: sum(c <= k for c in cuts) if k is not None else 0 for k in keys}
+    # Eight steps at most, not a test for each bound.
+    assert rows._jdf.queryExecution().analyzed().toString().count("filter(") == 0
+
+
+def test_a_table_along_the_curve_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    rows = spark.range(3000).selectExpr("id", "cast(id % 7 as string) AS k").mapInArrow(count, "id long, k string")
+    zorder.write_zordered(rows, str(tmp_path / "z"), ["id", "k"], files=4)
+    assert seen.value == 3000
+    assert zorder.lookup(spark, str(tmp_path / "z"), k="3").count() == 429
