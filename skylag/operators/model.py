@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from skylag.operators.features import with_route
 from skylag.schemas import INDEX_COLUMNS, INDEXED, VECTOR_COLUMNS
@@ -91,6 +92,20 @@ def spread(rows: DataFrame, at_most: int = ROWS_A_PART) -> DataFrame:
     return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism))
 
 
+def fit_forest(rows: DataFrame, prepared: list[Transformer], forest: Estimator) -> PipelineModel:
+    """The pipeline of fitted stages and the forest fitted behind them.
+
+    A forest reads its rows to count, to find splits and to hold them. They are dealt,
+    indexed and assembled once and lie on the disks of the executors meanwhile.
+    """
+    ready = PipelineModel(prepared).transform(rows).select(forest.getFeaturesCol(), forest.getLabelCol())
+    ready.persist(StorageLevel.DISK_ONLY)
+    try:
+        return PipelineModel([*prepared, forest.fit(ready)])
+    finally:
+        ready.unpersist()
+
+
 def train(
     features: DataFrame,
     max_bins: int = MAX_BINS,
@@ -115,7 +130,7 @@ def train(
         seed=seed,
         **forest,
     )
-    return Pipeline(stages=[indexes, assembler(), forest_stage]).fit(spread(rows))
+    return fit_forest(spread(rows), [indexes, assembler()], forest_stage)
 
 
 def for_serving(model: PipelineModel, handle_invalid: str = "keep") -> PipelineModel:
@@ -208,23 +223,20 @@ def train_regressor(
     indexes = StringIndexer(
         inputCols=REGRESSION_INDEXED, outputCols=names, handleInvalid="keep"
     ).fit(rows)
-    stages = [
-        indexes,
-        VectorAssembler(
-            inputCols=[*names, *REGRESSION_NUMERIC],
-            outputCol=VECTOR,
-            handleInvalid="keep",
-        ),
-        RandomForestRegressor(
-            featuresCol=VECTOR,
-            labelCol="ArrDelay",
-            predictionCol="Delay",
-            maxBins=bins_for(indexes.labelsArray),
-            seed=seed,
-            **forest,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    vector = VectorAssembler(
+        inputCols=[*names, *REGRESSION_NUMERIC],
+        outputCol=VECTOR,
+        handleInvalid="keep",
+    )
+    forest_stage = RandomForestRegressor(
+        featuresCol=VECTOR,
+        labelCol="ArrDelay",
+        predictionCol="Delay",
+        maxBins=bins_for(indexes.labelsArray),
+        seed=seed,
+        **forest,
+    )
+    return fit_forest(spread(rows), [indexes, vector], forest_stage)
 
 
 def score_minutes(df: DataFrame, model: PipelineModel, align_dow: bool = False) -> DataFrame:

@@ -151,3 +151,28 @@ def test_rows_are_spread_before_training(spark):
     counts = [r["n"] for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert len(counts) >= 20 and max(counts) <= 100 and sum(counts) == 1000
     assert model.spread(rows, 1000) is rows
+
+
+@pytest.mark.parametrize("train", [model.train, model.train_regressor])
+def test_a_forest_reads_the_rows_it_fits_once_beside_the_indexes(spark, train):
+    def rows_read():
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(parts):
+            for part in parts:
+                seen.add(part.num_rows)
+                yield part
+
+        days = spark.range(400).selectExpr(
+            "concat('C', id % 3) AS Carrier", "concat('A', id % 5) AS Origin", "concat('A', id % 4) AS Dest",
+            "cast(id % 9 as string) AS FlightNum", "cast(id % 31 + 1 as int) AS DayOfMonth", "cast(id % 7 + 1 as int) AS DayOfWeek",
+            "cast(id % 365 + 1 as int) AS DayOfYear", "cast(id % 50 as double) AS Distance", "cast(id % 40 as double) AS DepDelay",
+            "cast(id % 45 - 20 as double) AS ArrDelay",
+        )
+        return days.mapInArrow(count, days.schema), seen
+
+    rows, seen = rows_read()
+    fitted = train(rows, numTrees=2, maxDepth=2)
+    # Counted, indexed and assembled: three reads, whatever the forest's depth.
+    assert 400 <= seen.value <= 1200
+    assert fitted.transform(feat.with_route(rows)).count() == 400

@@ -11,6 +11,7 @@ from skylag.operators import distances as dist
 from skylag.operators import features as feat
 from skylag.operators import lookups, requests, summaries
 from skylag.schemas import DISTANCES
+from skylag.sources import testbed
 
 
 def test_last_write_of_a_key_wins(spark):
@@ -287,3 +288,14 @@ def test_first_response_in_time_counts(spark):
     assert {r["UUID"]: (r["status"], r["Prediction"]) for r in got.collect()} == {
         "a": ("OK", 3.0), "b": ("WAIT", None), "c": ("WAIT", None), "d": ("OK", 2.0),
     }
+
+
+def test_requests_of_one_row_group_are_dealt_over_tasks(spark, tmp_path):
+    events = spark.range(40_000).selectExpr(
+        "id AS event_id", "id % 77 AS user_id", "rand(3) AS value", "timestamp_ntz '1996-02-02 10:00:00' AS ts"
+    )
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    asked = testbed.requests(spark, str(tmp_path))
+    sizes = Counter(r.part for r in asked.select("*", F.spark_partition_id().alias("part")).collect())
+    assert len(sizes) > 1 and max(sizes.values()) < 30_000 and sum(sizes.values()) == 40_000
+    assert asked.select("UUID").distinct().count() == 40_000
