@@ -186,3 +186,12 @@ def test_timers_tell_missing_predictions_from_those_that_are_no_number(spark, tm
         sinks.drain(sinks.sink_parquet(waiting.wait_stream(*streams, groups=1), f"{tmp_path}/out", f"{tmp_path}/mark", NOW))
     rows = spark.read.schema(waiting.MATCHED).parquet(f"{tmp_path}/out").where("UUID <> 'late'")
     assert sorted((r.UUID, r.status, repr(r.Prediction)) for r in rows.collect()) == [("a", "OK", "nan"), ("b", "OK", "None"), ("c", "OK", "2.0")]
+
+
+def test_the_recovered_fanout_makes_its_distances_once(spark, sf_dir, monkeypatch):
+    from skylag.checks import streams
+
+    calls, make = [], streams.stored_distances
+    monkeypatch.setattr(streams, "stored_distances", lambda *at: calls.append(at) or make(*at))
+    streams.stream_fanout_recovered(spark, sf_dir)
+    assert len(calls) == 1
