@@ -236,7 +236,7 @@ def train_regressor(
         seed=seed,
         **forest,
     )
-    return fit_forest(spread(rows), [indexes, vector], forest_stage)
+    return fit_forest(rows, [indexes, vector], forest_stage)
 
 
 def score_minutes(df: DataFrame, model: PipelineModel, align_dow: bool = False) -> DataFrame:
