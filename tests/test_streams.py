@@ -5,11 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from skylag import session
 from skylag.functions.messages import decode_text
 from skylag.operators import model
 from skylag.schemas import DISTANCES, SCORED
 from skylag.sinks import files
-from skylag.sources import topics
+from skylag.sources import testbed, topics
 from skylag.streaming import matching, scoring, sinks
 
 NOW = "available"
@@ -206,3 +207,21 @@ def test_matching_waits_then_gives_up(spark, tmp_path):
     assert got.pop("fast")[0] == "OK"
     assert got == {"edge": ("OK", 2.0), "slow": ("WAIT", None), "never": ("WAIT", None)}
     assert spark.read.parquet(out).where("UUID = 'fast'").count() == 1
+
+
+def test_a_joined_stream_keeps_one_store_a_partition(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1_000_000, 1.0)], "UUID string, s int, Prediction double")
+    path = str(tmp_path / "rows")
+    rows.select("UUID", F.timestamp_seconds("s").alias("ts"), "Prediction").write.parquet(path)
+    streams = [spark.readStream.schema(spark.read.parquet(path).schema).parquet(path) for _ in range(2)]
+    mark = tmp_path / "mark"
+    with session.state_partitions(spark, 2):
+        query = sinks.sink_parquet(matching.match_stream(*streams), str(tmp_path / "out"), str(mark), NOW)
+        sinks.drain(query)
+    joined = [sorted(p.name for p in op.glob("0/*")) for op in (mark / "state").iterdir() if op.name == "1"]
+    assert len(joined) == 1 and not any("keyTo" in name or "keyWith" in name for name in joined[0])
+
+
+def test_answers_to_match_are_dealt_over_tasks(spark, sf_dir):
+    text = testbed.mixed_responses(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" in text and text.count("md5") == 1
