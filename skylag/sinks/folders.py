@@ -92,13 +92,16 @@ def bucket_of(keys: Sequence[str | Column], buckets: int) -> Column:
 
 
 def upsert_table(
-    changes: DataFrame, path: str, schema: StructType, keys: Sequence[str], seq: str | None = None, buckets: int = BUCKETS
+    changes: DataFrame, path: str, schema: StructType, keys: Sequence[str], seq: str | None = None, buckets: int = BUCKETS,
+    once: bool = False,
 ) -> int:
     """Put ``changes`` into the table at ``path`` by key, the last write of a key by
     ``seq`` winning; the number of the commit.
 
     Only folders whose hash occurs among the changed keys are read and written.
-    ``buckets`` counts for a new table; it stays as it began.
+    ``buckets`` counts for a new table; it stays as it began. ``once`` tells that no key
+    occurs twice among the changes, as after an aggregate by ``keys``: where the folders
+    hold nothing yet, they are not grouped again.
     """
     spark = changes.sparkSession
     kept = _listed(spark, path)
@@ -108,8 +111,11 @@ def upsert_table(
     touched = sorted(str(r[0]) for r in changed.select(BUCKET).distinct().collect())
     if not touched:
         return kept["commit"]
-    stored = read_folders(spark, path, schema, only=touched)
-    latest = upsert(stored, changed.drop(BUCKET), keys, seq)
+    if once and not any(value in kept["places"] for value in touched):
+        latest = changed.select(*schema.fieldNames())
+    else:
+        stored = read_folders(spark, path, schema, only=touched)
+        latest = upsert(stored, changed.drop(BUCKET), keys, seq)
     return replace_folders(latest.withColumn(BUCKET, bucket_of(keys, buckets)), path, BUCKET, touched, keys, buckets)
 
 

@@ -24,13 +24,13 @@ def keep_summary(
 
     State holds the running aggregate; a micro-batch gives the new rows of the keys it
     changed, and only their folders are written. Rows replace those of their key, so
-    a batch that is repeated changes nothing. Read the table with ``read_folders``.
+    a batch that is repeated changes nothing; a batch holds each key once. Read the table with ``read_folders``.
     The state grows with the keys: use it for summaries, not for single flights.
     """
     summary = summarise(flights)
     schema = summary.schema
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch, path, schema, keys, buckets=buckets)
+        upsert_table(batch, path, schema, keys, buckets=buckets, once=True)
 
     return _start(summary.writeStream.outputMode("update").foreachBatch(put), checkpoint, trigger)

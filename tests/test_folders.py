@@ -43,6 +43,25 @@ def test_the_last_write_of_a_key_wins_and_null_keys_are_keys(spark, table):
     assert len(got) == 62 and got[("A1", "B1")] == 1.5 and got[(None, "B1")] == 7.0 and got[("new", "B")] is None
 
 
+def test_changes_of_single_keys_are_grouped_only_with_what_is_stored(spark, tmp_path, monkeypatch):
+    grouped = []
+
+    def upsert(*args):
+        grouped.append(args)
+        return dist.upsert(*args)
+
+    monkeypatch.setattr(folders, "upsert", upsert)
+    path = str(tmp_path / "table")
+    rows = [("A", "B", 1.0), (None, "B", 2.0), (None, None, 3.0), ("A", "", 4.0), ("kept", "B", 5.0)]
+    folders.upsert_table(_routes(spark, rows), path, DISTANCES, dist.ROUTE, buckets=1, once=True)
+    assert not grouped and folders.read_folders(spark, path, DISTANCES).count() == 5
+    changes = _routes(spark, [("A", "B", 10.0), (None, "B", None), (None, None, 30.0), ("new", "B", 6.0)])
+    for _ in range(2):
+        folders.upsert_table(changes, path, DISTANCES, dist.ROUTE, once=True)
+    got = {(r.Origin, r.Dest): r.Distance for r in folders.read_folders(spark, path, DISTANCES).collect()}
+    assert got == {("A", "B"): 10.0, (None, "B"): None, (None, None): 30.0, ("A", ""): 4.0, ("kept", "B"): 5.0, ("new", "B"): 6.0}
+
+
 def test_a_key_is_read_from_its_folder_alone(spark, table):
     found = folders.lookup(spark, table, DISTANCES, Origin="A8", Dest="B1")
     assert [r.Distance for r in found.collect()] == [8.0]
