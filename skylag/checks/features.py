@@ -47,7 +47,7 @@ ORACLE["feature_extraction"] = f"WITH {sql.FEATURES} SELECT * FROM features"
 def json_roundtrip(spark, sf_dir):
     """Write bzip2 JSON lines, read them back with the fixed schema."""
     path = work_path(spark, "features-json")
-    files.write_json(features(spark, sf_dir), path, compression="bzip2")
+    files.write_json(feat.alike_together(features(spark, sf_dir)), path, compression="bzip2")
     return times_as_text(tables.read_features(spark, path))
 
 
