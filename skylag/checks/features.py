@@ -279,7 +279,7 @@ SELECT "UUID", "Origin", "Dest", "FlightNum", "Distance", true AS valid FROM enr
 def foreign_features(spark, sf_dir):
     """Features as another writer prints them, with offsets, read again."""
     path = work_path(spark, "features")
-    own = features(spark, sf_dir)
+    own = feat.alike_together(features(spark, sf_dir))
     shown = {c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS") for c in ("CRSDepTime", "CRSArrTime")}
     offset = F.when(F.col("DayOfMonth") % 2 == 0, "-08:00").otherwise("Z")
     printed = own.withColumns({c: F.concat(t, offset) for c, t in shown.items()})
