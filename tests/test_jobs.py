@@ -1,5 +1,7 @@
 """The jobs from flights to stored predictions, end to end."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,11 @@ def test_extract_writes_all_flights_with_known_delays(spark, flights, base, trai
     assert any(f.endswith(".bz2") for f in stored.inputFiles())
 
 
+def test_extract_packs_in_small_blocks(spark, base, trained):
+    names = glob.glob(f"{base}/features/part-*.json.bz2")
+    assert {open(n, "rb").read(4) for n in names} == {b"BZh1"}
+
+
 def test_features_as_columns_train_the_same_way(spark, flights, base, trained):
     jobs.run_extract(spark, flights, f"{base}/features-p", fmt="parquet")
     report = jobs.run_train(
