@@ -7,9 +7,13 @@ term: the query weights of a dimension, times its postings, are added into dense
 score arrays. Each query then selects its best of the block by partition, and the
 bests of all blocks are merged.
 
-Every stated query meets every block of candidates. Blocks have bounded sizes, a
-pair of blocks is one unit of work, and units are dealt over the cluster; neither
-side is broadcast or collected.
+Every stated query meets every block of candidates. Blocks have bounded sizes and are
+dealt over a grid of cells: a query block goes to all cells of one row, a block of
+candidates to all cells of one column. A cell is one unit of work: it holds its query
+blocks, reads its candidates one block after the other, and gives the bests of each
+query once. Neither side is broadcast or collected. The number of cells follows the
+cores, not the blocks, so what is shuffled grows with the vectors; it grows with the
+blocks only where a row's queries would exceed ``TILE_BYTES``.
 
 Defined cases: vectors that are null, empty or hold null or non-finite components
 take no part; shorter vectors have no weight in the dimensions they lack; rows that
@@ -20,6 +24,7 @@ one. Columns other than vec_id and embedding play no part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +39,11 @@ SCALE = 64
 BLOCK_ROWS = 8192
 QUERY_ROWS = 1024
 STRIPE = 256
+# Cells of the grid for each core.
+CELLS = 4
+# Queries, and what is best for them so far, that a cell may hold.
+TILE_BYTES = 64_000_000
+FOUND_BYTES = 24
 
 
 _BLOCK = pa.schema([("kind", pa.string()), ("ids", pa.binary()), ("weights", pa.binary())])
@@ -109,17 +119,46 @@ def _scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best rows, ties to smaller ids; ``ids`` is sorted."""
+def _best(scores: np.ndarray, ids: np.ndarray, own: int, k: int, least: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k best rows, ties to smaller ids; ``ids`` is sorted. Rows
+    below ``least`` are known not to be among them."""
     left, right = np.searchsorted(ids, own), np.searchsorted(ids, own, side="right")
     if left < right:
         scores, ids = np.delete(scores, slice(left, right)), np.delete(ids, slice(left, right))
+    if least is not None:
+        keep = np.flatnonzero(scores >= least)
+        scores, ids = scores[keep], ids[keep]
     if len(scores) > k:
         least = np.partition(scores, len(scores) - k)[len(scores) - k]
         keep = np.flatnonzero(scores >= least)
         scores, ids = scores[keep], ids[keep]
     order = np.lexsort((ids, -scores))[:k]
-    return ids[order], scores[order]
+    return ids[order], scores[order].astype(np.int64)
+
+
+class _Asked:
+    """A query block of a cell, and the best candidates met so far."""
+
+    def __init__(self, kind: str, ids: bytes, weights: bytes, k: int):
+        self.ids, self.terms = _matrix(kind, ids, weights)
+        self.k = k
+        none = np.empty(0, dtype=np.int64)
+        self.best = [(none, none)] * len(self.ids)
+
+    def meet(self, ids: np.ndarray, weights: np.ndarray) -> None:
+        for at, (own, scores) in enumerate(zip(self.ids.tolist(), _scores(self.terms, weights), strict=True)):
+            known = self.best[at]
+            least = known[1][-1] if len(known[1]) == self.k else None
+            new = _best(scores, ids, own, self.k, least)
+            if len(new[0]):
+                both = [np.concatenate(pair) for pair in zip(known, new, strict=True)]
+                order = np.lexsort((both[0], -both[1]))[: self.k]
+                self.best[at] = both[0][order], both[1][order]
+
+    def found(self) -> pa.RecordBatch:
+        counts = [len(ids) for ids, _ in self.best]
+        columns = np.repeat(self.ids, counts), *(np.concatenate(c) for c in zip(*self.best, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
 
 def integer_rows(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -130,42 +169,70 @@ def integer_rows(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return whole.where(~bad).select(F.col("vec_id").cast("long").alias("vec_id"), weights.alias("weights"))
 
 
+def _sizes(blocks: DataFrame) -> tuple[int, int, int, int]:
+    """Blocks, their rows, their bytes, and the bytes of the largest."""
+    row = blocks.agg(
+        F.count("*"), F.sum(F.length("ids") / 8), F.sum(F.length("weights").cast("long")), F.max(F.length("weights"))
+    ).first()
+    return tuple(int(n or 0) for n in row)
+
+
+def _grid(asked: tuple[int, int, int, int], held: tuple[int, int, int, int], k: int, cells: int) -> tuple[int, int]:
+    """Rows and columns of the grid: about ``cells``, of the shape that moves the least.
+
+    A further column moves all queries, and what is found for them, once more; a further
+    row moves all candidates once more. A row has no more queries than a cell may hold.
+    """
+    blocks, number, size, largest = asked
+    found = k * FOUND_BYTES
+    column, row = size + number * found, max(1, held[2])
+    fit = max(1, TILE_BYTES // max(1, largest + QUERY_ROWS * found))
+    rows = max(math.ceil(blocks / fit), round(math.sqrt(cells * column / row)))
+    columns = math.ceil(cells / max(1, rows))
+    columns = max(1, min(held[0], columns))
+    rows = max(rows, math.ceil(cells / columns))
+    return max(1, min(blocks, rows)), columns
+
+
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k best candidates of each query.
 
     Both sides are (vec_id, weights).
     """
     asked, held = _packed(queries, QUERY_ROWS), _packed(candidates, BLOCK_ROWS)
-    rows, columns = max(1, asked.count()), max(1, held.count())
-    # A grid with a row for about each query block and a column for about each
-    # candidate block. Each block is repeated along its row or column, so that every
-    # pair of blocks meets in one cell, by equal keys.
+    rows, columns = _grid(_sizes(asked), _sizes(held), k, CELLS * asked.sparkSession.sparkContext.defaultParallelism)
+    # Queries come before candidates in their cell.
     left = asked.select(
         F.pmod(F.xxhash64("block"), F.lit(rows)).alias("row"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(columns - 1).cast("long"))).alias("column"),
-        F.struct("kind", "ids", "weights").alias("asked"),
+        F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("column"),
+        F.lit(False).alias("candidates"), "kind", "ids", "weights",
     )
     right = held.select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))).alias("row"),
+        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("row"),
         F.pmod(F.xxhash64("block"), F.lit(columns)).alias("column"),
-        F.struct("kind", "ids", "weights").alias("held"),
+        F.lit(True).alias("candidates"), "kind", "ids", "weights",
     )
+    cell = (F.col("row") * columns + F.col("column")).cast("int").alias("cell")
+    dealt = left.unionByName(right).select(cell, "candidates", "kind", "ids", "weights")
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, asked_here = None, []
         for batch in batches:
-            for at in range(batch.num_rows):
-                asked_block, held_block = (batch.column(c)[at].as_py() for c in (0, 1))
-                query_ids, terms = _matrix(**asked_block)
-                ids, weights = _matrix(**held_block)
-                out: list[list[np.ndarray]] = [[], [], []]
-                for own, scores in zip(query_ids.tolist(), _scores(terms, weights), strict=True):
-                    best, values = _best(scores, ids, own, k)
-                    for column, found in zip(out, (np.full(len(best), own), best, values.astype(np.int64)), strict=True):
-                        column.append(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
-
-    pairs = left.join(right, ["row", "column"]).select("asked", "held")
-    found = pairs.mapInArrow(answer, "query_id long, vec_id long, score long")
+            for row in range(batch.num_rows):
+                cell, candidates, *block = (column[row].as_py() for column in batch.columns)
+                if cell != at:
+                    yield from (block.found() for block in asked_here)
+                    at, asked_here = cell, []
+                if not candidates:
+                    asked_here.append(_Asked(*block, k))
+                elif asked_here:
+                    ids, weights = _matrix(*block)
+                    for queries_of in asked_here:
+                        queries_of.meet(ids, weights)
+        yield from (block.found() for block in asked_here)
+
+    cells = dealt.repartitionById(rows * columns, F.col("cell")).sortWithinPartitions("cell", "candidates")
+    found = cells.mapInArrow(answer, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

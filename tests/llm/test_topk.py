@@ -39,3 +39,28 @@ def test_few_and_no_rows(spark):
     got = [tuple(r) for r in topk.top_k(vectors.where("vec_id = 0"), vectors).orderBy("rank").collect()]
     assert got == [(0, 1, 1, 1024), (0, 2, 2, 1024)]
     assert topk.top_k(vectors.limit(0), vectors).count() == topk.top_k(vectors, vectors.limit(0)).count() == 0
+
+
+def test_no_block_goes_through_the_driver(spark, monkeypatch):
+    on_workers(spark)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    vectors = topk.integer_rows(spark.createDataFrame(_rows(60, 4), "vec_id long, embedding array<double>"))
+    plan = topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan
+
+
+def test_copies_of_blocks_do_not_grow_with_the_blocks():
+    def copies(times):
+        asked, held = 30 * times, 75 * times
+        rows, columns = topk._grid((asked, 1024 * asked, 131_072 * asked, 131_072), (held, 8192 * held, 1_048_576 * held, 1_048_576), 20, 48)
+        assert 48 <= rows * columns <= 64
+        return rows, columns
+
+    assert copies(1) == copies(4) == copies(10)
+    # A row's queries fit a cell; few candidates leave the cells to the queries.
+    many, one = 10_000, (1, 100, 12_800, 12_800)
+    rows, _ = topk._grid((many, 1024 * many, 131_072 * many, 131_072), one, 20, 48)
+    assert many * (131_072 + 1024 * 20 * topk.FOUND_BYTES) / rows <= topk.TILE_BYTES
+    assert topk._grid((8, 8192, 8 * 131_072, 131_072), one, 20, 48) == (8, 1)
+    assert topk._grid((0, 0, 0, 0), (0, 0, 0, 0), 20, 48) == (1, 1)
