@@ -260,7 +260,7 @@ def run_match(
 ):
     """Start the job that pairs requests with their responses, by the topics' own times.
     With ``timers`` an answer goes out as soon as none before it can come, without
-    them a join gives all rows at the end of the wait."""
+    them a join gives all rows after the end of the wait, at most one wait later."""
     sides = []
     for topic, schema in ((request_topic, schemas.STREAM_REQUEST), (response_topic, schemas.SCORED)):
         rows = topics.stream_topic(spark, topic, fmt, servers).select(

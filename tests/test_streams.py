@@ -225,3 +225,24 @@ def test_a_joined_stream_keeps_one_store_a_partition(spark, tmp_path):
 def test_answers_to_match_are_dealt_over_tasks(spark, sf_dir):
     text = testbed.mixed_responses(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE" in text and text.count("md5") == 1
+
+
+def _sides(spark, at, asked, sent):
+    """Streams of requests and answers, given with seconds, in a folder that may hold earlier ones."""
+    streams = []
+    for name, rows, schema in (("asked", asked, "UUID string, s double"), ("sent", sent, "UUID string, s double, Prediction double")):
+        timed = spark.createDataFrame(rows, schema).withColumn("ts", F.timestamp_seconds(F.col("s") + 1_000_000)).drop("s")
+        timed.coalesce(1).write.mode("append").parquet(f"{at}/{name}")
+        streams.append(spark.readStream.schema(timed.schema).parquet(f"{at}/{name}"))
+    return streams
+
+
+def test_state_of_joined_streams_is_kept_by_windows_and_groups(spark, tmp_path):
+    asked = [(f"u{i}", i / 20) for i in range(300)]
+    streams = _sides(spark, tmp_path, asked, [(u, s + 3, 1.0) for u, s in asked])
+    with session.state_partitions(spark, 2):
+        query = sinks.sink_parquet(matching.match_stream(*streams, groups=4), f"{tmp_path}/out", f"{tmp_path}/mark", NOW)
+        sinks.drain(query)
+    # One window of requests and two of answers, four groups each.
+    first = [p for p in query.recentProgress if p["numInputRows"]][0]
+    assert 0 < sum(op["numRowsUpdated"] for op in first["stateOperators"]) <= 12
