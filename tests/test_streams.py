@@ -1,6 +1,7 @@
 """Streams over file-backed topics, drained and restarted."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from skylag import session
 from skylag.functions.messages import decode_text
 from skylag.operators import model
+from skylag.operators.requests import answered, earliest_answer
 from skylag.schemas import DISTANCES, SCORED
 from skylag.sinks import files
 from skylag.sources import testbed, topics
@@ -237,6 +239,36 @@ def _sides(spark, at, asked, sent):
     return streams
 
 
+def test_the_joined_streams_answer_like_the_tables_in_any_order_and_after_restarts(spark, tmp_path):
+    dice = random.Random(7)
+    nan = float("nan")
+    asked = [(f"u{i % 30}" if i > 1 else None, dice.choice([dice.uniform(0, 90), 20.0 * dice.randint(0, 4)])) for i in range(90)]
+    sent = [(f"u{dice.randint(0, 35)}", dice.uniform(0, 120), dice.choice([None, nan, 0.0, 1.0])) for _ in range(150)]
+    # At the time of a request, at the end of its wait and just after it; the same time, other predictions.
+    sent += [(u, s + d, p) for u, s in asked[:40] for d, p in ((0.0, 2.0), (20.0, 3.0), (20.000001, 4.0))[dice.randint(0, 2):]]
+    sent += [(u, s, p) for u, s, _ in sent[:40] for p in (nan, 5.0)] + sent[:20]
+    asked += asked[:9]
+    for order in ((0, 1), (1, 0)):
+        at = tmp_path / str(order[0])
+        for step in order:
+            last = step == order[-1]
+            streams = _sides(
+                spark, at, asked[step::2] + [("late", 1e6)] * last, sent[step::2] + [("late", 1e6, 0.0)] * last
+            )
+            with session.state_partitions(spark, 2):
+                matched = matching.match_stream(*streams, lateness="300 seconds", groups=3)
+                sinks.drain(sinks.sink_parquet(matched, f"{at}/out", f"{at}/mark", NOW))
+        sides = [spark.read.parquet(f"{at}/{name}").where("UUID is null or UUID <> 'late'") for name in ("asked", "sent")]
+        answers = sides[1].toDF(*[{"UUID": "_id", "ts": "_at", "Prediction": "_prediction"}[c] for c in sides[1].columns])
+        met = sides[0].join(answers, F.expr("_id = UUID AND _at BETWEEN ts AND ts + INTERVAL 20 SECONDS"), "left")
+        want = answered(met.groupBy("UUID", "ts").agg(earliest_answer()))
+        got = spark.read.schema("UUID string, ts timestamp, status string, Prediction double").parquet(f"{at}/out")
+        got = got.where("UUID is null or UUID <> 'late'")
+        assert got.count() == sides[0].distinct().count()
+        rows = [sorted(repr(tuple(r)) for r in df.select("UUID", "ts", "status", "Prediction").collect()) for df in (got, want)]
+        assert rows[0] == rows[1]
+
+
 def test_state_of_joined_streams_is_kept_by_windows_and_groups(spark, tmp_path):
     asked = [(f"u{i}", i / 20) for i in range(300)]
     streams = _sides(spark, tmp_path, asked, [(u, s + 3, 1.0) for u, s in asked])
